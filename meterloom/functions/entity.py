@@ -23,19 +23,33 @@ def category(rules: EntityRules) -> str:
     )
 
 
-def rejection(rules: EntityRules) -> str:
-    """Why an entity with a category is left out; null when it is kept."""
+def _rejections(rules: EntityRules) -> list[tuple[str, str]]:
+    """(condition, reason) pairs over an entity with a category, in order of precedence."""
     domain = domain_of("statistic_id")
-    word = first_contained("lower(statistic_id)", rules.status_words)
-    return (
-        "CASE WHEN NOT coalesce(contains(statistic_id, '.'), false)"
-        " THEN 'Invalid entity ID format'"
-        f" WHEN NOT ({one_of(domain, rules.include_domains)})"
-        f" THEN concat('Domain \\'', {domain}, '\\' not in include list')"
-        f" WHEN category = {lit(EXCLUDED)}"
-        " THEN 'Excluded by filter patterns or unsupported unit'"
-        f" ELSE concat('Status indicator: ', {word}) END"
-    )
+    name = "lower(statistic_id)"
+    word = first_contained(name, rules.status_words)
+    return [
+        ("NOT coalesce(contains(statistic_id, '.'), false)", "'Invalid entity ID format'"),
+        (
+            f"NOT ({one_of(domain, rules.include_domains)})",
+            f"concat('Domain \\'', {domain}, '\\' not in include list')",
+        ),
+        (
+            f"category = {lit(EXCLUDED)}",
+            "'Excluded by filter patterns or unsupported unit'",
+        ),
+        (contains_any(name, rules.status_words), f"concat('Status indicator: ', {word})"),
+    ]
+
+
+def rejection(rules: EntityRules) -> str:
+    """Why an entity is left out; null when it is kept."""
+    return "CASE " + " ".join(f"WHEN {c} THEN {r}" for c, r in _rejections(rules)) + " END"
+
+
+def is_kept(rules: EntityRules) -> str:
+    """The same decision without the text, short enough to be pushed into a scan."""
+    return " AND ".join(f"NOT ({c})" for c, _ in _rejections(rules))
 
 
 def aggregation_method() -> str:

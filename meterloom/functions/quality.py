@@ -1,5 +1,8 @@
 """Value rules. Limits depend only on unit and category, so they are looked up once per
-entity (`limits`) and each reading only compares numbers."""
+entity (`limits`) and each reading only compares numbers.
+
+An absent limit is the largest finite double, so no comparison meets a null, and because
+Spark orders NaN above every number, NaN and the infinities lie outside of every range."""
 
 from __future__ import annotations
 
@@ -8,11 +11,14 @@ from meterloom.functions.sql import holds, lit, pick, pick_number, total
 from meterloom.functions.time import ntz
 from meterloom.rules import ISSUES, QualityRules
 
+_LARGEST = "1.7976931348623157E308D"
+_SMALLEST = f"-{_LARGEST}"
+
 
 def limits(rules: QualityRules) -> dict[str, str]:
     """The limit columns of an entity, as expressions over its unit and category."""
 
-    def repair(side: int) -> str:
+    def repair(side: int, absent: str) -> str:
         branches = " ".join(
             f"WHEN category = {lit(c)}"
             + (f" AND unit_of_measurement = {lit(u)}" if u is not None else "")
@@ -20,39 +26,56 @@ def limits(rules: QualityRules) -> dict[str, str]:
             for (c, u), r in rules.repair.items()
             if r[side] is not None
         )
-        return f"CASE {branches} END" if branches else "CAST(NULL AS DOUBLE)"
+        return f"CASE {branches} ELSE {absent} END" if branches else absent
+
+    def bound(column: str, values: dict, absent: str) -> str:
+        return f"coalesce({pick_number(column, values)}, {absent})"
 
     unit, kinds = rules.unit_range, rules.category_range
     return {
-        "unit_low": pick_number("unit_of_measurement", {u: r[0] for u, r in unit.items()}),
-        "unit_high": pick_number("unit_of_measurement", {u: r[1] for u, r in unit.items()}),
-        "category_low": pick_number("category", {c: r[0] for c, r in kinds.items()}),
-        "category_high": pick_number("category", {c: r[1] for c, r in kinds.items()}),
-        "repair_low": repair(0),
-        "repair_high": repair(1),
+        "unit_low": bound("unit_of_measurement", {u: r[0] for u, r in unit.items()}, _SMALLEST),
+        "unit_high": bound("unit_of_measurement", {u: r[1] for u, r in unit.items()}, _LARGEST),
+        "category_low": bound("category", {c: r[0] for c, r in kinds.items()}, _SMALLEST),
+        "category_high": bound("category", {c: r[1] for c, r in kinds.items()}, _LARGEST),
+        "repair_low": repair(0, _SMALLEST),
+        "repair_high": repair(1, _LARGEST),
     }
 
 
+# Both kinds of limit taken together, over the limit columns.
+TIGHTEST = {"low": "greatest(unit_low, category_low)", "high": "least(unit_high, category_high)"}
+
+
+def usable_or_null(x: str, rules: QualityRules) -> str:
+    """The value unless it is NaN, infinite or an error sentinel, for which no repair is tried."""
+    sentinel = f"{x} IN ({lit(rules.sentinel_low)}, {lit(rules.sentinel_high)})"
+    return f"CASE WHEN {x} >= {_SMALLEST} AND {x} <= {_LARGEST} AND NOT {sentinel} THEN {x} END"
+
+
+def repaired(usable: str) -> str:
+    """A usable value after the limits: kept, moved to the repair limit, or null."""
+    return (
+        f"CASE WHEN {usable} >= low AND {usable} <= high THEN {usable}"
+        f" WHEN {usable} < repair_low THEN repair_low"
+        f" WHEN {usable} > repair_high THEN repair_high END"
+    )
+
+
 def _beyond(x: str) -> list[str]:
     return [
-        holds(f"{x} < unit_low"),
-        holds(f"{x} > unit_high"),
-        holds(f"{x} < category_low"),
-        holds(f"{x} > category_high"),
+        f"({x} < unit_low)",
+        f"({x} > unit_high)",
+        f"({x} < category_low)",
+        f"({x} > category_high)",
     ]
 
 
-def is_hard_invalid(x: str, rules: QualityRules) -> str:
-    """NaN, infinite or an error sentinel: no repair is tried."""
-    sentinels = f"{lit(rules.sentinel_low)}, {lit(rules.sentinel_high)}"
-    return f"(isnan({x}) OR {is_infinite(x)} OR {x} IN ({sentinels}))"
-
-
-def issue_count(x: str, rules: QualityRules) -> str:
-    """How many issues one value raises; a soft value can break a unit and a category rule."""
+def issue_count(raw: str, usable: str) -> str:
+    """How many issues one value raises: one when it is unusable, else one per rule broken, of
+    which there can be a unit and a category rule."""
     return (
-        f"CASE WHEN {x} IS NULL THEN 0 WHEN {is_hard_invalid(x, rules)} THEN 1"
-        f" ELSE {total(_beyond(x))} END"
+        f"CASE WHEN {raw} IS NULL THEN 0 WHEN {usable} IS NULL THEN 1"
+        f" ELSE {total(_beyond(usable))} END"
     )
 
 
@@ -72,16 +95,6 @@ def issue_codes(x: str, rules: QualityRules) -> str:
     )
 
 
-def repaired(x: str, rules: QualityRules) -> str:
-    """The value after the rules: kept, moved to the repair limit, or null."""
-    return (
-        f"CASE WHEN {x} IS NULL OR {is_hard_invalid(x, rules)} THEN CAST(NULL AS DOUBLE)"
-        f" WHEN NOT ({' OR '.join(_beyond(x))}) THEN {x}"
-        f" WHEN {x} < repair_low THEN repair_low"
-        f" WHEN {x} > repair_high THEN repair_high END"
-    )
-
-
 def is_valid_time(ts: str, rules: QualityRules) -> str:
     """Both ends inclusive; a null time is not valid."""
     return holds(f"{ts} BETWEEN {ntz(rules.earliest)} AND {ntz(rules.latest)}")

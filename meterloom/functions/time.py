@@ -27,8 +27,9 @@ def epoch_to_ntz(seconds: str) -> str:
 
 
 def floor_second(ts: str) -> str:
-    """Drop the fraction of a second."""
-    return f"{ts} - make_dt_interval(0, 0, 0, extract(SECOND FROM {ts}) % 1)"
+    """Drop the fraction of a second, which is the same in every time zone."""
+    fraction = f"pmod(unix_micros(CAST({ts} AS TIMESTAMP)), 1000000L)"
+    return f"timestampadd(MICROSECOND, CAST(-{fraction} AS INT), {ts})"
 
 
 def in_range(ts: str, start: str | None, end: str | None) -> str:

@@ -5,7 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterloom.functions.entity import aggregation_method, aggregation_window, category, rejection
+from meterloom.functions.entity import (
+    aggregation_method,
+    aggregation_window,
+    category,
+    is_kept,
+    rejection,
+)
 from meterloom.functions.numeric import percent
 from meterloom.functions.sql import lit, one_of
 from meterloom.functions.text import name_contains, non_empty
@@ -35,7 +41,14 @@ def decide(meta: DataFrame, rules: EntityRules = RULES) -> DataFrame:
 
 
 def filter_entities(meta: DataFrame, rules: EntityRules = RULES) -> DataFrame:
-    return decide(meta, rules).filter("included").drop("included")
+    """The entities that `decide` includes."""
+    kept = meta.selectExpr("*", f"{category(rules)} AS category").filter(is_kept(rules))
+    return kept.selectExpr(
+        "*",
+        f"{aggregation_method()} AS aggregation_method",
+        f"{aggregation_window()} AS aggregation_window",
+        "concat('Included as ', category) AS reason",
+    )
 
 
 def entity_ids(entities: DataFrame) -> DataFrame:

@@ -14,33 +14,51 @@ from meterloom.schemas import POINT
 
 RECENT, HISTORICAL = "recent", "historical"
 
-# The state if it is a finite number, else the mean if that is, else null.
-_VALUE = f"coalesce({finite_or_null('value')}, {finite_or_null('mean')})"
-
 # Short-term readings go to the recent store, long-term ones to the historical.
 _STORE = f"CASE WHEN table_rank = 0 THEN {lit(RECENT)} ELSE {lit(HISTORICAL)} END"
 
+# The state of a raw reading if it is a finite number, else the mean if that is, else null.
+_RAW_VALUE = f"coalesce({finite_or_null('value')}, {finite_or_null('mean')})"
+
+_TAGS = {
+    "entity_id": object_id_of("statistic_id"),
+    "domain": domain_of("statistic_id"),
+    "unit": non_empty("unit_of_measurement"),
+    "friendly_name": non_empty("friendly_name"),
+    "device_class": non_empty("device_class"),
+}
+
+
+def with_tags(entities: DataFrame, measurement: str | None = None) -> DataFrame:
+    """Attach the point tags to the entity side: text is worked on once per entity, and a
+    reading only picks the tags up. Null means the tag is absent. An id without a dot has no
+    entity tag and gives no points."""
+    given = [f"CAST(NULL AS STRING) AS {c}" for c in _TAGS if c in ("friendly_name", "device_class")
+             and c not in entities.columns]
+    rest = [c for c in entities.columns if c not in _TAGS]
+    known = entities.selectExpr("*", *given)
+    tagged = known.selectExpr(*rest, *[f"{sql} AS {tag}" for tag, sql in _TAGS.items()])
+    name = lit(measurement) if measurement else "coalesce(unit, concat(domain, '_data'))"
+    return tagged.selectExpr("*", f"{name} AS measurement")
+
+
+def build_points(judged: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """One point per reading of a tagged entity that has a valid time and a usable value: the
+    state if there is one, else the mean.
+
+    `store` says where the point belongs; `keep` carries further columns along.
 
-def build_points(
-    readings: DataFrame, measurement: str | None = None, keep: tuple[str, ...] = ()
-) -> DataFrame:
-    """One point per reading that has a usable value and a well-formed entity id. Tags are
-    flat columns; null means the tag is absent. `store` says where the point belongs; `keep`
-    carries further reading columns along. Rejected readings give no point."""
-    if "status" in readings.columns:
-        readings = readings.filter("status <> 'invalid'")
-    unit, domain = non_empty("unit_of_measurement"), domain_of("statistic_id")
-    name = lit(measurement) if measurement else f"coalesce({unit}, concat({domain}, '_data'))"
-    points = readings.selectExpr(
-        f"{name} AS measurement",
-        f"{object_id_of('statistic_id')} AS entity_id",
-        f"{domain} AS domain",
+    Neither the decision nor the value needs min, max or sum, so those are not even read."""
+    points = judged.filter("time_ok").selectExpr(
+        "measurement",
+        "entity_id",
+        "domain",
         "category",
-        f"{unit} AS unit",
+        "unit",
         f"{lit(MIGRATION_SOURCE)} AS source",
-        f"{non_empty('friendly_name')} AS friendly_name",
-        f"{non_empty('device_class')} AS device_class",
-        f"{_VALUE} AS value",
+        "friendly_name",
+        "device_class",
+        "coalesce(value, mean) AS value",
         f"{floor_second('start_ts')} AS ts",
         f"{_STORE} AS store",
         *keep,
@@ -55,7 +73,7 @@ def for_store(points: DataFrame, store: str) -> DataFrame:
 def point_counts(matched_raw: DataFrame) -> DataFrame:
     """Points produced and readings skipped per store when raw readings are written without
     validation; unmatched readings and those without a usable value are skipped."""
-    usable = f"coalesce(matched AND {_VALUE} IS NOT NULL AND contains(statistic_id, '.'), false)"
+    usable = f"coalesce(matched AND {_RAW_VALUE} IS NOT NULL AND contains(statistic_id, '.'), false)"
     flagged = matched_raw.selectExpr(f"{_STORE} AS store", f"{usable} AS usable")
     return flagged.groupBy("store").agg(
         F.count("*").alias("n_readings"),

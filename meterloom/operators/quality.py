@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterloom.functions import quality as q
-from meterloom.functions.numeric import is_infinite, percent
+from meterloom.functions.numeric import finite_or_null, is_infinite, percent
 from meterloom.functions.sql import lit, one_of, total
 from meterloom.rules import QualityRules, ScanRules
 from meterloom.schemas import FIELDS
@@ -17,46 +17,65 @@ SCAN_RULES = ScanRules()
 
 def with_limits(entities: DataFrame, rules: QualityRules = RULES) -> DataFrame:
     """Attach the value limits to the entity side, before it meets the readings."""
-    return entities.selectExpr("*", *[f"{sql} AS {name}" for name, sql in q.limits(rules).items()])
+    limits = [f"{sql} AS {name}" for name, sql in q.limits(rules).items()]
+    tightest = [f"{sql} AS {name}" for name, sql in q.TIGHTEST.items()]
+    return entities.selectExpr("*", *limits).selectExpr("*", *tightest)
+
+
+def screen(first: DataFrame, rules: QualityRules = RULES) -> DataFrame:
+    """The part of the judgement that needs no entity: is the time valid, and what is left of
+    each field without NaN, infinities and sentinels. Done before the entities are attached,
+    it keeps the expressions behind the join small: generated code beyond a certain method
+    size is not compiled by the JVM."""
+    others = [c for c in first.columns if c not in FIELDS]
+    return first.selectExpr(
+        *others,
+        *[f"{f} AS raw_{f}" for f in FIELDS],
+        *[f"{q.usable_or_null(f, rules)} AS usable_{f}" for f in FIELDS],
+        f"{q.is_valid_time('start_ts', rules)} AS time_ok",
+    )
 
 
-def validate(matched: DataFrame, rules: QualityRules = RULES) -> DataFrame:
-    """Judge and repair the five fields of each first reading.
+def judge(screened: DataFrame) -> DataFrame:
+    """Repair the fields of screened readings by the limits of their entities.
 
     Adds status (valid, corrected, invalid), why a reading is invalid, and per-reading counts.
     The raw fields stay available as raw_<field> for reports; unused ones are pruned."""
-    others = [c for c in matched.columns if c not in FIELDS]
-    repaired = matched.selectExpr(
-        *others,
-        *[f"{f} AS raw_{f}" for f in FIELDS],
-        *[f"{q.repaired(f, rules)} AS {f}" for f in FIELDS],
-        f"{q.is_valid_time('start_ts', rules)} AS time_ok",
-        " + ".join(q.issue_count(f, rules) for f in FIELDS) + " AS issues_if_timely",
+    usable = [f"usable_{f}" for f in FIELDS]
+    issue_counts = " + ".join(q.issue_count(f"raw_{f}", f"usable_{f}") for f in FIELDS)
+    repaired = screened.selectExpr(
+        *[c for c in screened.columns if c not in usable],
+        *[f"{q.repaired(u)} AS {f}" for f, u in zip(FIELDS, usable)],
+        f"CASE WHEN time_ok THEN {issue_counts} ELSE 0 END AS n_issues",
     )
     # Repairing never maps a value to itself, so a difference is a correction.
-    moved = total(f"coalesce({f} <> raw_{f}, false)" for f in FIELDS)
-    nulled = total(f"(raw_{f} IS NOT NULL AND {f} IS NULL)" for f in FIELDS)
-    nothing_left = f"coalesce({', '.join(FIELDS)}) IS NULL"
-    return repaired.selectExpr(
-        *[c for c in repaired.columns if c != "issues_if_timely"],
-        "CASE WHEN time_ok THEN issues_if_timely ELSE 0 END AS n_issues",
-        f"{moved} AS n_corrected",
-        f"{nulled} AS n_nulled",
-        f"CASE WHEN NOT time_ok OR {nothing_left} THEN 'invalid'"
-        f" WHEN {moved} > 0 THEN 'corrected' ELSE 'valid' END AS status",
-        f"CASE WHEN NOT time_ok THEN 'time' WHEN {nothing_left} THEN 'no field' END"
+    counted = repaired.selectExpr(
+        "*",
+        total(f"coalesce({f} <> raw_{f}, false)" for f in FIELDS) + " AS n_corrected",
+        total(f"(raw_{f} IS NOT NULL AND {f} IS NULL)" for f in FIELDS) + " AS n_nulled",
+        f"coalesce({', '.join(FIELDS)}) IS NULL AS nothing_left",
+    )
+    return counted.selectExpr(
+        *[c for c in counted.columns if c != "nothing_left"],
+        "CASE WHEN NOT time_ok OR nothing_left THEN 'invalid'"
+        " WHEN n_corrected > 0 THEN 'corrected' ELSE 'valid' END AS status",
+        "CASE WHEN NOT time_ok THEN 'time' WHEN nothing_left THEN 'no field' END"
         " AS invalid_reason",
     )
 
 
-def accepted(validated: DataFrame) -> DataFrame:
-    return validated.filter("status <> 'invalid'")
+def validate(matched: DataFrame, rules: QualityRules = RULES) -> DataFrame:
+    """Screen and judge readings that already carry their entity and its limits."""
+    return judge(screen(matched, rules))
 
 
 def unvalidated(matched: DataFrame) -> DataFrame:
-    """The bypass: every first reading passes as it is."""
+    """The bypass: every first reading passes, but NaN and infinities never become points."""
+    others = [c for c in matched.columns if c not in ("value", "mean")]
     return matched.selectExpr(
-        "*",
+        *others,
+        *[f"{finite_or_null(f)} AS {f}" for f in ("value", "mean")],
+        "true AS time_ok",
         "'valid' AS status",
         "CAST(NULL AS STRING) AS invalid_reason",
         "0 AS n_issues",
@@ -66,10 +85,9 @@ def unvalidated(matched: DataFrame) -> DataFrame:
 
 
 def with_point_flag(validated: DataFrame) -> DataFrame:
-    """Whether a reading leads to a point: accepted, and state or mean survived."""
-    return validated.selectExpr(
-        "*", "status <> 'invalid' AND coalesce(value, mean) IS NOT NULL AS has_point"
-    )
+    """Whether a reading leads to a point: its time is valid and state or mean survived. (One
+    surviving field makes the reading valid, so its status needs no second look.)"""
+    return validated.selectExpr("*", "time_ok AND coalesce(value, mean) IS NOT NULL AS has_point")
 
 
 def _table_metrics(validated: DataFrame) -> DataFrame:

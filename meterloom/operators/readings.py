@@ -99,7 +99,11 @@ def match_entities(
     partition of a hot entity."""
     if small and candidates is not None:
         readings = of_entities(readings, candidates, small)
-    first = first_readings(readings, scope)
+    return attach_entities(first_readings(readings, scope), entities, small)
+
+
+def attach_entities(first: DataFrame, entities: DataFrame, small: bool = False) -> DataFrame:
+    """The entity columns next to the readings; readings of other entities fall away."""
     return first.join(maybe_broadcast(_entity_side(entities), small), "metadata_id")
 
 

@@ -82,7 +82,7 @@ class Sensors:
     @cached_property
     def enriched_entities(self) -> DataFrame:
         rich = md.enriched(self.statistics_meta, self.attributes)
-        return qa.with_limits(ent.filter_entities(rich))
+        return qa.with_limits(pt.with_tags(ent.filter_entities(rich)))
 
     def judged(self, readings: DataFrame, options: ExportOptions = ExportOptions()) -> DataFrame:
         return judged_readings(readings, self.entities, options, self.small, self.candidates)
@@ -386,10 +386,9 @@ def points_skipped(s: Sensors) -> DataFrame:
 @_query
 def points_named(s: Sensors) -> DataFrame:
     """The measurement override."""
-    judged = judged_readings(
-        s.short_term, s.enriched_entities, ExportOptions(), s.small, s.candidates
-    )
-    named = pt.build_points(judged, measurement="sensor_data")
+    rich = ent.filter_entities(md.enriched(s.statistics_meta, s.attributes))
+    entities = qa.with_limits(pt.with_tags(rich, measurement="sensor_data"))
+    named = s.points(s.short_term, entities=entities)
     return named.groupBy("measurement", "unit").agg(F.count("*").alias("n_points"))
 
 
@@ -442,10 +441,6 @@ def incremental_export(s: Sensors) -> DataFrame:
     return points.select("store", "measurement", "domain", "entity_id", "value", "ts")
 
 
-# Entities taken without their attribute history.
-_NO_TAGS = ("CAST(NULL AS STRING) AS friendly_name", "CAST(NULL AS STRING) AS device_class")
-
-
 # --- rollup ---------------------------------------------------------------------------------
 
 @_query
@@ -490,29 +485,40 @@ def lifecycle_flow(s: Sensors) -> DataFrame:
     return _rounded(both, "value").select("store", *SERIES, "value", "ts")
 
 
-@_query
-def rollup_stream(s: Sensors) -> DataFrame:
-    """Events read as a stream, made points, rolled up; hours still open are not emitted."""
+def _utc_session(s: Sensors) -> SparkSession:
+    """Event time is a session-zoned timestamp on the streaming path only."""
     session = s.spark.newSession()
     session.conf.set("spark.sql.session.timeZone", "UTC")
+    return session
+
+
+@_query
+def rollup_stream(s: Sensors) -> DataFrame:
+    """The recent store read as a stream and rolled up; hours still open are not emitted."""
+    store = PointStore(s.spark, scratch_path(s.spark, "recent"))
+    store.replace(s.recent())
+    points = PointStore(_utc_session(s), store.path).read_stream()
+    out = scratch_path(s.spark, "stream-out")
+    st.run_to_parquet(
+        st.rollup_stream(points, "1 hour"), out, scratch_path(s.spark, "stream-checkpoint")
+    )
+    return _rounded(s.spark.read.parquet(out), "value")
+
+
+@_query
+def dedup_stream(s: Sensors) -> DataFrame:
+    """Keys of the first readings seen by the streaming de-duplication of the events."""
+    session = _utc_session(s)
     schema = dt.table(session, s.sf_dir, "events").schema
     events = (
         session.readStream.schema(schema)
         .option("pathGlobFilter", "events.parquet")
         .parquet(s.sf_dir)
     )
-    tagged = Sensors(session, s.sf_dir)
-    plausible = rd.between(
-        dt.short_term_of(events), "2020-01-01 00:00:00", "2030-01-01 00:00:01"
-    )
-    matched = rd.match_raw(plausible, tagged.entities, tagged.small).filter("matched")
-    points = pt.build_points(qa.validate(matched.selectExpr("*", *_NO_TAGS)))
-    points = points.select(*SERIES, "value", "ts")
+    first = st.first_readings_stream(dt.short_term_of(events)).select("metadata_id", "start_ts")
     out = scratch_path(s.spark, "stream-out")
-    st.run_to_parquet(
-        st.rollup_stream(points, "1 hour"), out, scratch_path(s.spark, "stream-checkpoint")
-    )
-    return _rounded(s.spark.read.parquet(out), "value")
+    st.run_to_parquet(first, out, scratch_path(s.spark, "stream-checkpoint"))
+    return s.spark.read.parquet(out)
 
 
 # --- stores ---------------------------------------------------------------------------------
@@ -608,8 +614,8 @@ def unified_timeline(s: Sensors) -> DataFrame:
 @_query
 def historical_dedup(s: Sensors) -> DataFrame:
     """Long-term readings written without de-duplication, reduced to the newest per point."""
-    raw = rd.match_raw(s.long_term, s.candidates, s.small).filter("matched")
-    points = pt.build_points(raw.selectExpr("*", *_NO_TAGS), keep=("id",))
+    raw = rd.match_raw(s.long_term, pt.with_tags(s.candidates), s.small).filter("matched")
+    points = pt.build_points(qa.unvalidated(raw), keep=("id",))
     return tl.newest_per_point(points, "id").select(*SERIES, "value", "ts")
 
 

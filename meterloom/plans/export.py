@@ -30,6 +30,7 @@ class ExportOptions:
     categories: tuple[str, ...] = ()
     validate: bool = True
     dry_run: bool = False
+    measurement: str | None = None
     dedup_scope: str = "run"
     start: str | None = None
     end: str | None = None
@@ -40,7 +41,7 @@ class ExportOptions:
 def select_entities(
     inputs: Inputs, options: ExportOptions, done: DataFrame | None = None
 ) -> DataFrame:
-    """The entities to export, with the value limits attached."""
+    """The entities to export, with point tags and value limits attached."""
     load = md.enriched_latest if options.latest_metadata_only else md.enriched
     chosen = ent.filter_entities(
         load(inputs.statistics_meta, inputs.attributes), options.entity_rules
@@ -51,7 +52,7 @@ def select_entities(
         chosen = ent.named_like(chosen, options.name_filter)
     if done is not None:
         chosen = pg.remaining(chosen, done)
-    return qa.with_limits(chosen, options.quality_rules)
+    return qa.with_limits(pt.with_tags(chosen, options.measurement), options.quality_rules)
 
 
 def judged_readings(
@@ -61,12 +62,16 @@ def judged_readings(
     small: bool = False,
     candidates: DataFrame | None = None,
 ) -> DataFrame:
-    """Readings in range, first per key, matched to their entities and validated."""
-    in_time = rd.between(readings, options.start, options.end)
-    matched = rd.match_entities(in_time, entities, small, candidates, options.dedup_scope)
+    """Readings in range, first per key, matched to their entities and validated. Candidates
+    and small are those of readings.match_entities."""
+    wanted = rd.between(readings, options.start, options.end)
+    if small and candidates is not None:
+        wanted = rd.of_entities(wanted, candidates, small)
+    first = rd.first_readings(wanted, options.dedup_scope)
     if not options.validate:
-        return qa.unvalidated(matched)
-    return qa.validate(matched, options.quality_rules)
+        return qa.unvalidated(rd.attach_entities(first, entities, small))
+    screened = qa.screen(first, options.quality_rules)
+    return qa.judge(rd.attach_entities(screened, entities, small))
 
 
 def run_export(

@@ -533,6 +533,11 @@ _QUERIES = {
         UNION ALL SELECT 'historical', {_SERIES}, round(value, 6), ts FROM historical h
         WHERE NOT EXISTS (SELECT 1 FROM rolled r WHERE r.ts = h.ts
           AND r.entity_id = h.entity_id AND r.domain = h.domain AND r.measurement = h.measurement)""",
+    # The watermark closes the hours that end an hour or more before the latest point.
+    "rollup_stream": f"""
+        SELECT * FROM ({_rollup("recent")})
+        WHERE ts <= (SELECT max(ts) - INTERVAL 1 HOUR FROM recent)""",
+    "dedup_stream": "SELECT DISTINCT metadata_id, start_ts FROM short_term",
     "store_profile": _PROFILE,
     "store_size": f"""
         SELECT store, total_points, total_points * 150 AS size_bytes, days_span,

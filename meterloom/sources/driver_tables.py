@@ -21,22 +21,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def statistics_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
-    units = " ".join(f"WHEN {i} THEN {lit(u)}" for i, u in enumerate(UNITS))
+    units = ", ".join(lit(u) for u in UNITS)
     return table(spark, sf_dir, "part").selectExpr(
         "p_partkey AS id",
         """concat(
-             CASE WHEN p_partkey % 41 = 0 THEN ''
-                  WHEN p_partkey % 8 = 4 THEN 'counter.'
-                  WHEN p_partkey % 8 = 5 THEN 'weather.'
-                  WHEN p_partkey % 8 = 6 THEN 'climate.'
-                  WHEN p_partkey % 8 = 7 THEN 'switch.'
-                  ELSE 'sensor.' END,
+             if(p_partkey % 41 = 0, '', coalesce(get(
+               array('counter.', 'weather.', 'climate.', 'switch.'),
+               CAST(p_partkey % 8 AS INT) - 4), 'sensor.')),
              replace(p_name, ' ', '_'),
-             CASE p_size WHEN 2 THEN '_Status' WHEN 3 THEN '_rssi' WHEN 4 THEN '_online'
-                  ELSE '' END,
+             coalesce(get(array('_Status', '_rssi', '_online'), p_size - 2), ''),
              '_', p_partkey) AS statistic_id""",
         "CASE WHEN p_brand = 'Brand#7' THEN 'tibber' ELSE 'recorder' END AS source",
-        f"CASE p_size % 16 {units} END AS unit_of_measurement",
+        f"get(array({units}), p_size % 16) AS unit_of_measurement",
         "p_size % 2 = 0 AS has_mean",
         "p_size % 3 = 0 AS has_sum",
         "p_name AS name",

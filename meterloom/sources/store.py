@@ -68,6 +68,11 @@ class PointStore:
             rows = rows.filter(f"period <= {self._period_of(ntz(end))}")
         return rows.filter(in_range("ts", start, end)).select(*POINT.names)
 
+    def read_stream(self) -> DataFrame:
+        """The points as a stream: files that appear later are picked up."""
+        rows = self.spark.readStream.schema(_STORED).parquet(self.path)
+        return rows.select(*POINT.names)
+
     def _write(self, rows: DataFrame, path: str) -> None:
         """Rebalance by period: AQE joins small periods into one task and splits a hot one
         over many."""

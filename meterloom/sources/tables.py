@@ -94,8 +94,7 @@ def scan_readings(
         raw = raw.filter(F.col("start_ts") >= epoch_of(start))
     if end is not None:
         raw = raw.filter(F.col("start_ts") < epoch_of(end))
-    # Whole seconds are what a point store keeps; the fraction goes before the conversion.
-    return working_readings(raw, table, epoch_to_ntz("floor(start_ts)"))
+    return working_readings(raw, table, epoch_to_ntz("start_ts"))
 
 
 def working_readings(raw: DataFrame, table: str, start_ts: str = "start_ts") -> DataFrame:
