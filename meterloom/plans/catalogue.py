@@ -498,11 +498,10 @@ def rollup_stream(s: Sensors) -> DataFrame:
     store = PointStore(s.spark, scratch_path(s.spark, "recent"))
     store.replace(s.recent())
     points = PointStore(_utc_session(s), store.path).read_stream()
+    hours = st.rollup_stream(points, "1 hour")
     out = scratch_path(s.spark, "stream-out")
-    st.run_to_parquet(
-        st.rollup_stream(points, "1 hour"), out, scratch_path(s.spark, "stream-checkpoint")
-    )
-    return _rounded(s.spark.read.parquet(out), "value")
+    st.run_to_parquet(hours, out, scratch_path(s.spark, "stream-checkpoint"))
+    return _rounded(s.spark.read.schema(hours.schema).parquet(out), "value")
 
 
 @_query
@@ -518,7 +517,7 @@ def dedup_stream(s: Sensors) -> DataFrame:
     first = st.first_readings_stream(dt.short_term_of(events)).select("metadata_id", "start_ts")
     out = scratch_path(s.spark, "stream-out")
     st.run_to_parquet(first, out, scratch_path(s.spark, "stream-checkpoint"))
-    return s.spark.read.parquet(out)
+    return s.spark.read.schema(first.schema).parquet(out)
 
 
 # --- stores ---------------------------------------------------------------------------------

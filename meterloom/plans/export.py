@@ -119,8 +119,10 @@ def run_export(
         observed.write.format("noop").mode("overwrite").save()
     else:
         staged_at = scratch_path(spark, "points")
-        pt.build_points(observed).write.partitionBy("store").parquet(staged_at)
-        staged = spark.read.parquet(staged_at)
+        to_stage = pt.build_points(observed)
+        to_stage.write.partitionBy("store").parquet(staged_at)
+        # Without points there is no file to take the schema from.
+        staged = spark.read.schema(to_stage.schema).parquet(staged_at)
         recent.replace(pt.for_store(staged, pt.RECENT))
         historical.replace(pt.for_store(staged, pt.HISTORICAL))
         if progress_path is not None:

@@ -85,11 +85,15 @@ class PointStore:
             .parquet(path)
         )
 
+    def _aside(self, rows: DataFrame) -> DataFrame:
+        """Rows written to the scratch folder, without period directories, and read back."""
+        path = scratch_path(self.spark, "aside")
+        rows.select(*_STORED.names).write.parquet(path)
+        return self.spark.read.schema(_STORED).parquet(path)
+
     def _put_in_place(self, rows: DataFrame) -> DataFrame:
         """Write the new content of some periods aside, then over the old."""
-        aside = scratch_path(self.spark, "periods")
-        self._write(rows.select(*_STORED.names), aside)
-        content = self.spark.read.schema(_STORED).parquet(aside)
+        content = self._aside(rows)
         self._write(content, self.path)
         return content
 
@@ -100,9 +104,7 @@ class PointStore:
         if not self.exists():
             self._write(incoming, self.path)
             return
-        staged_at = scratch_path(self.spark, "incoming")
-        self._write(incoming, staged_at)
-        staged = self.spark.read.schema(_STORED).parquet(staged_at)
+        staged = self._aside(incoming)
         touched = staged.select("period").distinct()
         stored = self._in_periods(self._stored(), touched)
         kept = stored.join(staged, _same_point(stored, staged), "left_anti")
