@@ -26,22 +26,36 @@ def latest_attributes(states: DataFrame) -> DataFrame:
     shuffle than any other, and the states are never joined to themselves."""
     newest = F.expr("max_by(attributes_id, struct(last_updated_ts, attributes_id))")
     return (
-        states.filter("attributes_id IS NOT NULL")
+        states.filter("attributes_id IS NOT NULL AND metadata_id IS NOT NULL")
         .groupBy("metadata_id")
         .agg(newest.alias("attributes_id"))
     )
 
 
-def entity_attributes(attributes: Attributes) -> DataFrame:
-    """One row per known entity id with its latest attributes; JSON is read after the join."""
+def entity_attributes(attributes: Attributes, small: bool = False) -> DataFrame:
+    """One row per known entity id with its latest attributes; JSON is read after the join.
+
+    There are far more attribute sets than entities. When the entities were measured as small,
+    a broadcast of the ids in force thins the sets, so their texts are never shuffled."""
     states_meta, states, attribute_sets = attributes
-    joined = states_meta.join(latest_attributes(states), "metadata_id", "left").join(
+    latest = latest_attributes(states)
+    if small:
+        in_force = F.broadcast(latest.select("attributes_id"))
+        attribute_sets = attribute_sets.join(in_force, "attributes_id", "left_semi")
+    joined = states_meta.join(latest, "metadata_id", "left").join(
         attribute_sets, "attributes_id", "left"
     )
     read = [f"{attribute('shared_attrs', key)} AS {key}" for key in ATTRIBUTES]
     return joined.selectExpr("entity_id", "metadata_id", *read)
 
 
+def attributes_of(entities: DataFrame, attributes: Attributes, small: bool = False) -> DataFrame:
+    """Latest attributes of the listed entities, nulls where nothing is known."""
+    looked_up = _one_per_entity(entity_attributes(attributes, small))
+    listed = entities.selectExpr("statistic_id AS entity_id")
+    return listed.join(looked_up, "entity_id", "left")
+
+
 def _one_per_entity(looked_up: DataFrame) -> DataFrame:
     """An entity id listed twice keeps the attributes of its highest metadata id. Grouping and
     the join that follows share the key, so this adds no shuffle of its own."""
@@ -57,13 +71,15 @@ def _joined(meta: DataFrame, looked_up: DataFrame) -> DataFrame:
     return meta.join(looked_up, meta["statistic_id"] == looked_up["entity_id"], "left")
 
 
-def enriched(meta: DataFrame, attributes: Attributes | None) -> DataFrame:
+def enriched(
+    meta: DataFrame, attributes: Attributes | None, small: bool = False
+) -> DataFrame:
     """All metadata rows. An attribute name that is an empty string is kept."""
     if attributes is None:
         return without_attributes(meta)
     base = basic_metadata(meta)
     name = f"coalesce(friendly_name, {display_name('statistic_id')}) AS friendly_name"
-    rows = _joined(base, entity_attributes(attributes))
+    rows = _joined(base, entity_attributes(attributes, small))
     return _drop_timestamp_entities(
         rows.selectExpr(*base.columns, name, "device_class", "state_class")
     )
@@ -79,14 +95,16 @@ def latest_per_entity(meta: DataFrame) -> DataFrame:
     return newest.select("id", "statistic_id", "row.*")
 
 
-def enriched_latest(meta: DataFrame, attributes: Attributes | None) -> DataFrame:
+def enriched_latest(
+    meta: DataFrame, attributes: Attributes | None, small: bool = False
+) -> DataFrame:
     """One row per entity. A missing or empty attribute name is derived from the id."""
     base = latest_per_entity(meta)
     derived = display_name("statistic_id")
     if attributes is None:
         return base.selectExpr("*", f"{derived} AS friendly_name", *_NO_CLASSES)
     name = f"coalesce({non_empty('friendly_name')}, {derived}) AS friendly_name"
-    rows = _joined(base, _one_per_entity(entity_attributes(attributes)))
+    rows = _joined(base, _one_per_entity(entity_attributes(attributes, small)))
     return _drop_timestamp_entities(
         rows.selectExpr(*base.columns, name, "device_class", "state_class")
     )

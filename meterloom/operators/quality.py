@@ -174,17 +174,18 @@ def issues(validated: DataFrame, rules: QualityRules = RULES) -> DataFrame:
     )
 
 
-def _per_entity(issue_rows: DataFrame, category: str) -> DataFrame:
+def _per_entity(issue_rows: DataFrame, *categories: str) -> DataFrame:
     """Issue counts per (category, entity): the common first level of every issue report."""
-    return issue_rows.groupBy(category, "statistic_id").agg(F.count("*").alias("n"))
+    return issue_rows.groupBy(*categories, "statistic_id").agg(F.count("*").alias("n"))
 
 
-def issue_breakdown(issue_rows: DataFrame, category: str = "issue_category") -> DataFrame:
+def issue_breakdown(issue_rows: DataFrame, *categories: str) -> DataFrame:
     """Issues and distinct entities per category. Two levels, so a category with most of the
     issues is already one row per entity when it is brought together."""
+    categories = categories or ("issue_category",)
     return (
-        _per_entity(issue_rows, category)
-        .groupBy(category)
+        _per_entity(issue_rows, *categories)
+        .groupBy(*categories)
         .agg(F.sum("n").alias("n_issues"), F.count("*").alias("n_entities"))
     )
 
@@ -221,22 +222,26 @@ def _fields_as_rows(matched_raw: DataFrame, kind: str) -> DataFrame:
     return rows.filter("kind IS NOT NULL")
 
 
-def raw_issues(matched_raw: DataFrame, rules: ScanRules = SCAN_RULES) -> DataFrame:
-    """Issues of the raw scan: each field of each reading, first match wins. It looks at the
-    readings as stored, without de-duplication or repair."""
+def _issue_type(rules: ScanRules) -> str:
+    """Issue of one raw value, first match wins; null for none."""
     by_unit = " ".join(
         f"WHEN unit_of_measurement = {lit(u)} AND (raw_value < {lit(low)}"
         + (f" OR raw_value > {lit(high)}" if high is not None else "")
         + f") THEN {lit(name)}"
         for u, (name, low, high) in rules.unit_checks.items()
     )
-    kind = (
+    return (
         "CASE WHEN isnan(raw_value) THEN 'NaN'"
         f" WHEN {is_infinite('raw_value')} THEN 'Infinite'"
         f" WHEN raw_value IN ({lit(RULES.sentinel_low)}, {lit(RULES.sentinel_high)}) THEN 'Error'"
         f" {by_unit} END"
     )
-    return _fields_as_rows(matched_raw, kind).withColumnRenamed("kind", "issue_type")
+
+
+def raw_issues(matched_raw: DataFrame, rules: ScanRules = SCAN_RULES) -> DataFrame:
+    """Issues of the raw scan, one row per field concerned. It looks at the readings as stored,
+    without de-duplication or repair."""
+    return _fields_as_rows(matched_raw, _issue_type(rules)).withColumnRenamed("kind", "issue_type")
 
 
 def unusual_values(matched_raw: DataFrame, rules: ScanRules = SCAN_RULES) -> DataFrame:
@@ -250,14 +255,48 @@ def unusual_values(matched_raw: DataFrame, rules: ScanRules = SCAN_RULES) -> Dat
     return _fields_as_rows(matched_raw, kind).drop("kind")
 
 
+def scan_overview(matched_raw: DataFrame, rules: ScanRules = SCAN_RULES) -> DataFrame:
+    """Per table: readings looked at, entities with issues, issues. One pass, in two levels so
+    that a table is already one row per entity when it is brought together."""
+    kind = _issue_type(rules)
+    hits = total(f"(({kind.replace('raw_value', f)}) IS NOT NULL)" for f in FIELDS)
+    per_entity = (
+        matched_raw.filter("matched")
+        .selectExpr("table_rank", "statistic_id", f"{hits} AS hits")
+        .groupBy("table_rank", "statistic_id")
+        .agg(F.count("*").alias("n"), F.sum("hits").alias("hits"))
+    )
+    return per_entity.groupBy("table_rank").agg(
+        F.sum("n").alias("n_readings"),
+        F.expr("count_if(hits > 0)").alias("n_entities"),
+        F.sum("hits").alias("n_issues"),
+    )
+
+
 def worst_entities(issue_rows: DataFrame, n: int = 5) -> DataFrame:
-    """The n entities with the most raw issues, per table and entity."""
+    """The n entities with the most raw issues in each table."""
+    place = (
+        "row_number() OVER (PARTITION BY table_rank ORDER BY n_issues DESC, statistic_id) AS place"
+    )
     return (
         issue_rows.groupBy("table_rank", "statistic_id", "unit_of_measurement")
         .agg(F.count("*").alias("n_issues"))
-        .orderBy(F.desc("n_issues"), "statistic_id", "table_rank")
-        .limit(n)
+        .selectExpr("*", place)
+        .filter(f"place <= {n}")
+    )
+
+
+def worst_examples(issue_rows: DataFrame, n: int = 5, examples: int = 3) -> DataFrame:
+    """The first issues of each of the worst entities, by time and then field order."""
+    # Bounded: n rows per table.
+    worst = F.broadcast(worst_entities(issue_rows, n).select("table_rank", "statistic_id"))
+    fields = ", ".join(lit(f) for f in FIELDS)
+    order = f"start_ts, id, array_position(array({fields}), field)"
+    position = (
+        f"row_number() OVER (PARTITION BY table_rank, statistic_id ORDER BY {order}) AS position"
     )
+    theirs = issue_rows.join(worst, ["table_rank", "statistic_id"], "left_semi")
+    return theirs.selectExpr("*", position).filter(f"position <= {examples}")
 
 
 def reading_sample(readings: DataFrame, n: int = 5000) -> DataFrame:

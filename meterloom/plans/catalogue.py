@@ -51,7 +51,8 @@ class Sensors:
 
     @cached_property
     def small(self) -> bool:
-        """Filtering only removes entities, so the metadata row count bounds the entity side."""
+        """Filtering only removes entities and each is listed once, so the metadata row count
+        bounds the entity side."""
         return is_small(self.statistics_meta)
 
     @cached_property
@@ -81,7 +82,7 @@ class Sensors:
 
     @cached_property
     def enriched_entities(self) -> DataFrame:
-        rich = md.enriched(self.statistics_meta, self.attributes)
+        rich = md.enriched(self.statistics_meta, self.attributes, self.small)
         return qa.with_limits(pt.with_tags(ent.filter_entities(rich)))
 
     def judged(self, readings: DataFrame, options: ExportOptions = ExportOptions()) -> DataFrame:
@@ -148,12 +149,12 @@ def entity_metadata_basic(s: Sensors) -> DataFrame:
 
 @_query
 def entity_metadata_enriched(s: Sensors) -> DataFrame:
-    return md.enriched(s.statistics_meta, s.attributes)
+    return md.enriched(s.statistics_meta, s.attributes, s.small)
 
 
 @_query
 def entity_metadata_latest(s: Sensors) -> DataFrame:
-    rows = md.enriched_latest(s.statistics_meta, s.attributes)
+    rows = md.enriched_latest(s.statistics_meta, s.attributes, s.small)
     return rows.orderBy("statistic_id")
 
 
@@ -162,6 +163,11 @@ def latest_attribute_ids(s: Sensors) -> DataFrame:
     return md.latest_attributes(s.attributes[1])
 
 
+@_query
+def attribute_lookup(s: Sensors) -> DataFrame:
+    return md.attributes_of(s.candidates, s.attributes, s.small)
+
+
 @_query
 def metadata_by_ids(s: Sensors) -> DataFrame:
     return md.by_ids(s.statistics_meta, s.short_term.select("metadata_id"), "metadata_id")
@@ -330,19 +336,24 @@ def issue_sample(s: Sensors) -> DataFrame:
     short = rd.of_entities(s.short_term, s.candidates, s.small)
     long = rd.of_entities(s.long_term, s.candidates, s.small)
     sample = qa.reading_sample(short).unionByName(qa.reading_sample(long))
-    return qa.issue_breakdown(_raw_issues(s, sample), "issue_type")
+    return qa.issue_breakdown(_raw_issues(s, sample), "table_rank", "issue_type")
 
 
 @_query
 def issue_sample_unfiltered(s: Sensors) -> DataFrame:
     """The same report for a long id list, where the sample is cut before the filter."""
     sample = qa.reading_sample(s.short_term).unionByName(qa.reading_sample(s.long_term))
-    return qa.issue_breakdown(_raw_issues(s, sample), "issue_type")
+    return qa.issue_breakdown(_raw_issues(s, sample), "table_rank", "issue_type")
 
 
 @_query
 def validation_report(s: Sensors) -> DataFrame:
-    return qa.issue_breakdown(_raw_issues(s, s.readings), "issue_type")
+    return qa.issue_breakdown(_raw_issues(s, s.readings), "table_rank", "issue_type")
+
+
+@_query
+def validation_overview(s: Sensors) -> DataFrame:
+    return qa.scan_overview(rd.match_raw(s.readings, s.candidates, s.small))
 
 
 @_query
@@ -355,6 +366,15 @@ def worst_offenders(s: Sensors) -> DataFrame:
     return qa.worst_entities(_raw_issues(s, s.readings))
 
 
+@_query
+def worst_offender_examples(s: Sensors) -> DataFrame:
+    rows = qa.worst_examples(_raw_issues(s, s.readings))
+    return rows.selectExpr(
+        "table_rank", "statistic_id", "position", "start_ts", "field", "issue_type",
+        f"{finite_or_null('raw_value')} AS raw_value",
+    )
+
+
 @_query
 def unusual_values(s: Sensors) -> DataFrame:
     rows = qa.unusual_values(rd.match_raw(s.readings, s.candidates, s.small))
@@ -386,7 +406,7 @@ def points_skipped(s: Sensors) -> DataFrame:
 @_query
 def points_named(s: Sensors) -> DataFrame:
     """The measurement override."""
-    rich = ent.filter_entities(md.enriched(s.statistics_meta, s.attributes))
+    rich = ent.filter_entities(md.enriched(s.statistics_meta, s.attributes, s.small))
     entities = qa.with_limits(pt.with_tags(rich, measurement="sensor_data"))
     named = s.points(s.short_term, entities=entities)
     return named.groupBy("measurement", "unit").agg(F.count("*").alias("n_points"))

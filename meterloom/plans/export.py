@@ -43,8 +43,9 @@ def select_entities(
 ) -> DataFrame:
     """The entities to export, with point tags and value limits attached."""
     load = md.enriched_latest if options.latest_metadata_only else md.enriched
+    few = inputs.attributes is not None and is_small(inputs.attributes[0])
     chosen = ent.filter_entities(
-        load(inputs.statistics_meta, inputs.attributes), options.entity_rules
+        load(inputs.statistics_meta, inputs.attributes, few), options.entity_rules
     )
     if options.categories:
         chosen = ent.of_categories(chosen, options.categories)

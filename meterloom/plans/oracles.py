@@ -300,8 +300,9 @@ def _sampled(column: str, source: str, order: str, keep: str = "") -> str:
 
 def _issue_types(source: str) -> str:
     return f"""
-        SELECT issue_type, count(*) AS n_issues, count(DISTINCT statistic_id) AS n_entities
-        FROM {source} WHERE issue_type IS NOT NULL GROUP BY issue_type"""
+        SELECT table_rank, issue_type, count(*) AS n_issues,
+          count(DISTINCT statistic_id) AS n_entities
+        FROM {source} WHERE issue_type IS NOT NULL GROUP BY table_rank, issue_type"""
 
 
 def _sample_report(sample: str) -> str:
@@ -321,6 +322,12 @@ def _first_5000(table: str, condition: str) -> str:
 
 _CHOSEN = "metadata_id IN (SELECT id FROM entities)"
 
+_WORST = """
+    SELECT *, row_number() OVER (PARTITION BY table_rank ORDER BY n_issues DESC, statistic_id)
+      AS place
+    FROM (SELECT table_rank, statistic_id, unit_of_measurement, count(*) AS n_issues
+          FROM raw_issues WHERE issue_type IS NOT NULL GROUP BY 1, 2, 3)"""
+
 # Query -> final statement over the fragments.
 _QUERIES = {
     "entity_metadata_basic": """
@@ -332,6 +339,9 @@ _QUERIES = {
             replace(replace(statistic_id, 'sensor.', ''), '_', ' ')) AS friendly_name)
         FROM rich_meta WHERE id IN (SELECT max(id) FROM meta GROUP BY statistic_id)""",
     "latest_attribute_ids": "SELECT * FROM latest",
+    "attribute_lookup": """
+        SELECT statistic_id AS entity_id, attr_name AS friendly_name, device_class, state_class
+        FROM entities LEFT JOIN attributes ON entities.id = attributes.metadata_id""",
     "metadata_by_ids": "SELECT * FROM meta WHERE id IN (SELECT user_id FROM events)",
     "attribute_health": """
         SELECT count(*) FILTER (WHERE NOT json_valid(shared_attrs)) AS malformed, count(*) AS total
@@ -456,10 +466,23 @@ _QUERIES = {
         "SELECT DISTINCT issue_type, statistic_id FROM raw_issues WHERE issue_type IS NOT NULL",
         "statistic_id",
     ),
-    "worst_offenders": """
-        SELECT table_rank, statistic_id, unit_of_measurement, count(*) AS n_issues FROM raw_issues
-        WHERE issue_type IS NOT NULL GROUP BY 1, 2, 3
-        ORDER BY n_issues DESC, statistic_id, table_rank LIMIT 5""",
+    "validation_overview": f"""
+        SELECT table_rank, n_readings, n_entities, n_issues FROM
+          (SELECT table_rank, count(*) AS n_readings FROM readings WHERE {_CHOSEN} GROUP BY 1)
+          JOIN (SELECT table_rank, count(DISTINCT statistic_id) AS n_entities, count(*) AS n_issues
+                FROM raw_issues WHERE issue_type IS NOT NULL GROUP BY 1) USING (table_rank)""",
+    "worst_offenders": f"""
+        SELECT table_rank, statistic_id, unit_of_measurement, n_issues,
+          CAST(place AS INTEGER) AS place FROM ({_WORST}) WHERE place <= 5""",
+    "worst_offender_examples": f"""
+        SELECT table_rank, statistic_id, CAST(position AS INTEGER) AS position, start_ts, field,
+          issue_type, CASE WHEN NOT isnan(x) AND NOT isinf(x) THEN x END AS raw_value
+        FROM (SELECT *, row_number() OVER (PARTITION BY table_rank, statistic_id
+                ORDER BY start_ts, id, list_position(
+                  ['value', 'mean', 'min_value', 'max_value', 'sum_value'], field)) AS position
+              FROM raw_issues JOIN ({_WORST}) w USING (table_rank, statistic_id)
+              WHERE issue_type IS NOT NULL AND place <= 5)
+        WHERE position <= 3""",
     "unusual_values": """
         SELECT table_rank, metadata_id, start_ts, id, field,
           CASE WHEN NOT isinf(x) THEN x END AS raw_value, isinf(x) AS is_infinite

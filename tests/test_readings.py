@@ -112,6 +112,12 @@ def test_plan_has_one_shuffle_of_the_readings_and_hash_aggregates(spark):
     assert "SortAggregate" not in plan and "Window" not in plan
 
 
+def test_top_n_per_group_is_cut_before_the_shuffle(spark):
+    base = ent.filter_entities(basic_metadata(meta(spark, [(1, "sensor.a", "x", "W")])))
+    plan = ent.category_samples(base)._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
 def test_gaps_against_brute_force(spark):
     rng = random.Random(3)
     rows = []
