@@ -9,12 +9,14 @@ from pyspark.sql import functions as F
 
 from meterloom.functions.quality import is_valid_time
 from meterloom.functions.sql import lit
+from meterloom.functions.time import floor_second
 from meterloom.operators import entities as ent
 from meterloom.operators import metadata as md
 from meterloom.operators import points as pt
 from meterloom.operators import quality as qa
 from meterloom.operators import readings as rd
 from meterloom.operators.sizing import is_small
+from meterloom.operators.timeline import newest_per_point
 from meterloom.rules import EntityRules, QualityRules
 from meterloom.schemas import LONG_TERM, SHORT_TERM
 from meterloom.sources import progress as pg
@@ -115,17 +117,22 @@ def run_export(
         F.expr("count_if(status <> 'invalid')").alias("valid_records"),
         F.expr("count_if(status = 'corrected')").alias("data_corrections"),
         F.expr("count_if(has_point)").alias("total_points"),
+        F.expr(f"count_if(start_ts <> {floor_second('start_ts')})").alias("between_seconds"),
     )
     if options.dry_run:
         observed.write.format("noop").mode("overwrite").save()
     else:
         staged_at = scratch_path(spark, "points")
-        to_stage = pt.build_points(observed)
+        to_stage = pt.build_points(observed, keep=("start_ts",))
         to_stage.write.partitionBy("store").parquet(staged_at)
         # Without points there is no file to take the schema from.
         staged = spark.read.schema(to_stage.schema).parquet(staged_at)
-        recent.replace(pt.for_store(staged, pt.RECENT))
-        historical.replace(pt.for_store(staged, pt.HISTORICAL))
+        for store, name in ((recent, pt.RECENT), (historical, pt.HISTORICAL)):
+            points = staged.filter(F.col("store") == name)
+            if seen.get["between_seconds"]:
+                # Only readings between whole seconds can meet in one point; the later one stays.
+                points = newest_per_point(points, "start_ts")
+            store.replace(points)
         if progress_path is not None:
             rows = entities.selectExpr(
                 "id AS metadata_id",
@@ -138,6 +145,7 @@ def run_export(
             joined = rows.join(last, ["metadata_id", "source_table"], "left")
             pg.record_progress(joined, progress_path, recorded_at)
     counters = {name: int(value) for name, value in seen.get.items()}
+    del counters["between_seconds"]
     counters["total_records"] = counters["short_term_records"] + counters["long_term_records"]
     counters["data_quality_issues"] = counters["total_records"] - counters["valid_records"]
     return counters

@@ -141,6 +141,26 @@ def test_export_end_to_end(spark, sf_dir):
     assert rows_of(recent.read()) == rows_of(s.recent())
 
 
+def test_readings_within_one_second_become_one_point(spark):
+    from frames import meta, readings
+
+    from meterloom.sources.tables import Inputs
+
+    rows = [
+        (1, 1, at("2024-01-01 00:00:00.750000"), 0, 7.0),
+        (2, 1, at("2024-01-01 00:00:00.250000"), 0, 3.0),
+        (3, 1, at("2024-01-01 00:00:01"), 0, 4.0),
+    ]
+    inputs = Inputs(
+        meta(spark, [(1, "sensor.a", "x", "W")]), readings(spark, rows), readings(spark, [])
+    )
+    stores = [PointStore(spark, scratch_path(spark, n)) for n in ("r", "h")]
+    counters = run_export(spark, inputs, *stores)
+    assert counters["total_points"] == 3
+    assert {str(r.ts)[17:]: r.value for r in stores[0].read().collect()} == {"00": 7.0, "01": 4.0}
+    assert stores[1].read().count() == 0
+
+
 def test_export_options_narrow_the_run(spark, sf_dir):
     inputs = dt.inputs(spark, sf_dir)
     stores = [PointStore(spark, scratch_path(spark, n), "month") for n in ("r", "h")]
