@@ -509,6 +509,8 @@ def _utc_session(s: Sensors) -> SparkSession:
     """Event time is a session-zoned timestamp on the streaming path only."""
     session = s.spark.newSession()
     session.conf.set("spark.sql.session.timeZone", "UTC")
+    partitions = "spark.sql.shuffle.partitions"
+    session.conf.set(partitions, s.spark.conf.get(partitions))
     return session
 
 
@@ -528,9 +530,8 @@ def rollup_stream(s: Sensors) -> DataFrame:
 def dedup_stream(s: Sensors) -> DataFrame:
     """Keys of the first readings seen by the streaming de-duplication of the events."""
     session = _utc_session(s)
-    schema = dt.table(session, s.sf_dir, "events").schema
     events = (
-        session.readStream.schema(schema)
+        session.readStream.schema(dt.SCHEMAS["events"])
         .option("pathGlobFilter", "events.parquet")
         .parquet(s.sf_dir)
     )
