@@ -65,7 +65,8 @@ def judged_readings(
     small: bool = False,
     candidates: DataFrame | None = None,
 ) -> DataFrame:
-    """Readings in range, first per key, matched to their entities and validated. Candidates
+    """Readings in range, first per key, matched to their entities and validated. (A range given
+    to tables.open_inputs reaches the scan as well; the one here works on any frame.) Candidates
     and small are those of readings.match_entities."""
     wanted = rd.between(readings, options.start, options.end)
     if small and candidates is not None:
@@ -141,7 +142,7 @@ def run_export(
             )
             # A reading with an impossible time must not mark everything after it as exported.
             plausible = readings.filter(is_valid_time("start_ts", options.quality_rules))
-            last = pg.progress_of(rd.of_entities(plausible, entities, small)).drop("status")
+            last = pg.progress_of(plausible).drop("status")
             joined = rows.join(last, ["metadata_id", "source_table"], "left")
             pg.record_progress(joined, progress_path, recorded_at)
     counters = {name: int(value) for name, value in seen.get.items()}

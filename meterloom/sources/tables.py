@@ -33,9 +33,14 @@ def require_columns(df: DataFrame, table: str, expected) -> DataFrame:
     return df
 
 
-def open_inputs(available: Mapping[str, Callable[[], DataFrame]]) -> Inputs:
+def open_inputs(
+    available: Mapping[str, Callable[[], DataFrame]],
+    start: str | None = None,
+    end: str | None = None,
+) -> Inputs:
     """Check the contract, then open the tables. `available` maps a table name to a reader,
-    for example ``lambda: spark.read.parquet(path)`` or a JDBC read."""
+    for example ``lambda: spark.read.parquet(path)`` or a JDBC read. The optional half-open
+    range restricts both readings tables at the scan."""
     missing = [t for t in REQUIRED if t not in available]
     if missing:
         raise ValueError(f"required tables missing: {missing}")
@@ -50,8 +55,8 @@ def open_inputs(available: Mapping[str, Callable[[], DataFrame]]) -> Inputs:
         )
     return Inputs(
         statistics_meta=meta,
-        short_term=scan_readings(available, schemas.SHORT_TERM),
-        long_term=scan_readings(available, schemas.LONG_TERM),
+        short_term=scan_readings(available, schemas.SHORT_TERM, start, end),
+        long_term=scan_readings(available, schemas.LONG_TERM, start, end),
         attributes=attributes,
     )
 

@@ -156,7 +156,9 @@ def test_scan_pushes_range_and_prunes_columns(spark, tmp_path):
     available = tables.parquet_tables(spark, root)
     assert set(available) == {"statistics", "statistics_short_term", "statistics_meta"}
     inputs = tables.open_inputs(available)
-    assert inputs.attributes is None
+    assert inputs.attributes is None and inputs.short_term.count() == 10
+    late = tables.open_inputs(available, start="2024-01-01 00:00:07")
+    assert late.short_term.count() == late.long_term.count() == 3
     scanned = tables.scan_readings(
         available, "statistics", "2024-01-01 00:00:03", "2024-01-01 00:00:05"
     )
