@@ -32,6 +32,8 @@ class ExportOptions:
     categories: tuple[str, ...] = ()
     validate: bool = True
     dry_run: bool = False
+    # Only readings after the recorded progress, instead of skipping finished entities.
+    incremental: bool = False
     measurement: str | None = None
     dedup_scope: str = "run"
     start: str | None = None
@@ -78,6 +80,14 @@ def judged_readings(
     return qa.judge(rd.attach_entities(screened, entities, small))
 
 
+def _recorded(spark: SparkSession, path: str) -> DataFrame | None:
+    """Recorded progress, or None before the first run."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not root.getFileSystem(spark._jsc.hadoopConfiguration()).exists(root):
+        return None
+    return pg.read_progress(spark, path)
+
+
 def run_export(
     spark: SparkSession,
     inputs: Inputs,
@@ -93,20 +103,19 @@ def run_export(
     whether it may be broadcast. Points of both stores are staged in one pass over the readings,
     and the counters are observed during that same pass; they sit in its last stage, whose
     finished tasks are counted once even when executors are lost."""
+    progress = None if progress_path is None else _recorded(spark, progress_path)
     done = None
-    if progress_path is not None:
-        try:
-            done = pg.completed(pg.read_progress(spark, progress_path), (SHORT_TERM, LONG_TERM))
-        except Exception as error:
-            if "PATH_NOT_FOUND" not in str(error):
-                raise
-            done = None
+    if progress is not None and not options.incremental:
+        done = pg.completed(progress, (SHORT_TERM, LONG_TERM))
     entities_at = scratch_path(spark, "entities")
     select_entities(inputs, options, done).write.parquet(entities_at)
     entities = spark.read.parquet(entities_at)
     small = is_small(entities)
 
-    readings = rd.both_tables(inputs.short_term, inputs.long_term)
+    everything = rd.both_tables(inputs.short_term, inputs.long_term)
+    readings = everything = rd.between(everything, options.start, options.end)
+    if progress is not None and options.incremental:
+        readings = pg.newer_than_progress(readings, progress, is_small(progress))
     judged = qa.with_point_flag(
         judged_readings(readings, entities, options, small, entities if small else None)
     )
@@ -141,7 +150,7 @@ def run_export(
                 "'completed' AS status",
             )
             # A reading with an impossible time must not mark everything after it as exported.
-            plausible = readings.filter(is_valid_time("start_ts", options.quality_rules))
+            plausible = everything.filter(is_valid_time("start_ts", options.quality_rules))
             last = pg.progress_of(plausible).drop("status")
             joined = rows.join(last, ["metadata_id", "source_table"], "left")
             pg.record_progress(joined, progress_path, recorded_at)

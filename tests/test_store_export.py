@@ -141,6 +141,20 @@ def test_export_end_to_end(spark, sf_dir):
     assert rows_of(recent.read()) == rows_of(s.recent())
 
 
+def test_incremental_runs_add_up_to_a_full_run(spark, sf_dir):
+    s, inputs = Sensors(spark, sf_dir), dt.inputs(spark, sf_dir)
+    stores = [PointStore(spark, scratch_path(spark, n), "month") for n in ("r", "h")]
+    path = scratch_path(spark, "progress")
+    first = ExportOptions(latest_metadata_only=False, end="2024-01-15 00:00:00")
+    before = run_export(spark, inputs, *stores, first, path, "2024-01-15 00:00:00")
+    assert 0 < stores[0].read().count() < s.recent().count()
+    rest = ExportOptions(latest_metadata_only=False, incremental=True)
+    after = run_export(spark, inputs, *stores, rest, path, "2024-02-01 00:00:00")
+    assert rows_of(stores[0].read()) == rows_of(s.recent())
+    assert rows_of(stores[1].read()) == rows_of(s.historical())
+    assert before["total_points"] + after["total_points"] == sum(x.read().count() for x in stores)
+
+
 def test_readings_within_one_second_become_one_point(spark):
     from frames import meta, readings
 
