@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from meterloom.llm import bpe, host_quality, token_store
+from meterloom.llm import bpe, decontaminate, host_quality, simhash, token_store
 from meterloom.llm.common import table
 from meterloom.sources.scratch import scratch_path
 
@@ -27,6 +28,16 @@ def op4_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *host_quality.COUNTS, "base_failed", "kept", "host_rejected")
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(spark, table(spark, sf_dir, "documents"))
+    hexed = F.lower(F.lpad(F.hex("fp"), 16, "0"))
+    return found.select("doc_id", hexed.alias("fingerprint"), "component_id")
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(
         table(spark, sf_dir, "documents"),
@@ -37,5 +48,5 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def llm_queries() -> dict[str, Query]:
     return {
-        name: fn for name, fn in globals().items() if name.startswith("op") and callable(fn)
+        name: fn for name, fn in globals().items() if name.startswith("op") and name[2].isdigit() and callable(fn)
     }
