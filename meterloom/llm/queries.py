@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterloom.llm import bpe, decontaminate, host_quality, simhash, token_store
+from meterloom.llm import bpe, decontaminate, host_quality, line_align, simhash, token_store
 from meterloom.llm.common import table
 from meterloom.sources.scratch import scratch_path
 
@@ -38,6 +38,10 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", hexed.alias("fingerprint"), "component_id")
 
 
+def op7_line_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_align.report(spark, table(spark, sf_dir, "documents"))
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(
         table(spark, sf_dir, "documents"),
