@@ -20,6 +20,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -165,24 +166,45 @@ def codec(path: str, pattern: str) -> BytePairCodec:
 def encode_documents(
     docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """doc_id, ids array<int>, decoded binary (the bytes that decoding the ids gives)."""
+    """doc_id, ids array<int>."""
     slim = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = codec(path, pattern)
         for batch in batches:
-            ids = [bpe.encode(t) for t in str_texts(batch.column("text"))]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    pa.array(ids, pa.list_(pa.int32())),
-                    pa.array([bpe.decode(x) for x in ids], pa.binary()),
-                ],
-                names=["doc_id", "ids", "decoded"],
-            )
+            for at in range(0, batch.num_rows, 256):
+                some = batch.slice(at, 256)
+                ids = [np.array(bpe.encode(t), np.int32) for t in str_texts(some.column("text"))]
+                offsets = np.cumsum([0, *map(len, ids)])
+                flat = pa.array(np.concatenate(ids))
+                lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), flat)
+                yield pa.RecordBatch.from_arrays(
+                    [some.column("doc_id"), lists], names=["doc_id", "ids"]
+                )
+
+    kind = slim.schema["doc_id"].dataType.simpleString()
+    return slim.mapInArrow(encode, f"doc_id {kind}, ids array<int>")
+
+
+def decode_documents(
+    encoded: DataFrame, path: str, pattern: str, doc_id: str = "doc_id", ids: str = "ids"
+) -> DataFrame:
+    """doc_id, decoded binary; null ids decode to nothing."""
+    slim = encoded.select(F.col(doc_id).alias("doc_id"), F.col(ids).alias("ids"))
+
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe = codec(path, pattern)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                some = batch.slice(at, 256)
+                texts = [bpe.decode(x or []) for x in some.column("ids").to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [some.column("doc_id"), pa.array(texts, pa.binary())],
+                    names=["doc_id", "decoded"],
+                )
 
     kind = slim.schema["doc_id"].dataType.simpleString()
-    return slim.mapInArrow(encode, f"doc_id {kind}, ids array<int>, decoded binary")
+    return slim.mapInArrow(decode, f"doc_id {kind}, decoded binary")
 
 
 def encode_digests(

@@ -1,7 +1,150 @@
-"""SQL statements of the queries that SQL can express."""
+"""SQL statements (DuckDB) of the queries that SQL can express. The others need XXH64, CRC-32, a
+tokenizer or a model, which SQL lacks; tests hold them against brute force instead."""
 
 from __future__ import annotations
 
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_BLANK = r"\x20\x09-\x0D"
+_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+
+def _lowered(column: str) -> str:
+    return f"translate({column}, '{_UPPER}', '{_UPPER.lower()}')"
+
+
+CHAT_FORMAT = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL
+  SELECT -7, i, CASE i WHEN 0 THEN 'user' ELSE 'assistant' END, '\### Assistant: </turn> ok'
+  FROM range(2) AS r(i)
+), sized AS (
+  SELECT *,
+    4 + length(regexp_replace(role, '[\\:]', 'xx', 'g')) + 2
+      + length(regexp_replace(text, '\\|###|</turn>|<\|', '\0x', 'g')) + 8 AS formatted
+  FROM turns
+)
+SELECT conv_id,
+  count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(formatted) AS BIGINT) AS formatted_chars,
+  CAST(0 AS BIGINT) AS n_attachments
+FROM sized GROUP BY conv_id
+"""
+
+URL_FILTER = f"""
+WITH parts AS (
+  SELECT page_id,
+    CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest
+  FROM pages
+), split AS (
+  SELECT page_id, {_lowered("regexp_extract(rest, '^[^/?#]*')")} AS host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM parts
+), ruled AS (
+  SELECT *, '.' || host AS dotted, CASE
+    WHEN ends_with('.' || host, '.example.net') AND starts_with(path, '/en/') THEN 'example.net/en/'
+    WHEN ends_with('.' || host, '.example.com') AND starts_with(path, '/de/') THEN 'example.com/de/'
+    WHEN ends_with('.' || host, '.org') AND starts_with(path, '/fr/') THEN 'org/fr/'
+    WHEN ends_with('.' || host, '.net') AND starts_with(path, '/') THEN 'net/' END AS rule
+  FROM split
+)
+SELECT page_id, host, path, rule,
+  CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' ELSE 'allow' END AS verdict
+FROM ruled
+"""
+
+HOST_QUALITY = rf"""
+WITH texts AS (
+  SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[^{_BLANK}]+') AS words
+  FROM documents
+), placed AS (
+  SELECT r, unnest(words) AS a, generate_subscripts(words, 1) AS i FROM texts
+), threes AS (
+  SELECT r, i, a, lead(a, 1) OVER w AS b, lead(a, 2) OVER w AS c
+  FROM placed WINDOW w AS (PARTITION BY r ORDER BY i)
+), windows AS (
+  SELECT r, i, count(*) OVER (PARTITION BY r, a, b, c) AS times FROM threes WHERE c IS NOT NULL
+), repeated AS (
+  SELECT r, count(DISTINCT i + shift) AS n FROM windows, range(3) AS s(shift) WHERE times > 1 GROUP BY r
+), lines AS (
+  SELECT r, unnest(string_split(text, chr(10))) AS line FROM texts
+), dup_lines AS (
+  SELECT r, count(*) - count(DISTINCT line) AS n FROM lines
+  WHERE regexp_matches(line, '[^{_BLANK}]') GROUP BY r
+), counted AS (
+  SELECT r, doc_id, source,
+    CAST(len(words) AS BIGINT) AS n_words,
+    CAST(coalesce(length(array_to_string(words, '')), 0) AS BIGINT) AS word_chars,
+    CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+    CAST(coalesce(d.n, 0) AS BIGINT) AS n_dup_lines,
+    CAST(coalesce(p.n, 0) AS BIGINT) AS n_repeat_words
+  FROM texts LEFT JOIN dup_lines d USING (r) LEFT JOIN repeated p USING (r)
+), based AS (
+  SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counted
+), hosts AS (
+  SELECT source, CAST(count(*) AS DOUBLE) AS n,
+    CAST(count(*) FILTER (base_failed) AS DOUBLE) AS failed
+  FROM based GROUP BY source
+), sums AS (
+  SELECT count(*) AS hosts, sum(n) AS n, sum(failed) / sum(n) AS mean,
+    sum(failed * failed / n) / sum(n) AS squares
+  FROM hosts
+), between_hosts AS (
+  SELECT mean, mean * (1 - mean) AS spread,
+    squares - mean * mean - mean * (1 - mean) * hosts / n AS v FROM sums
+), prior AS (
+  SELECT mean, least(greatest(CASE WHEN v > 0 THEN spread / v - 1 ELSE 1e6 END, 1.0), 1e6) AS k
+  FROM between_hosts
+), verdicts AS (
+  SELECT source, (failed + mean * k) / (n + k) > 0.5 AS host_rejected FROM hosts, prior
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT (base_failed OR host_rejected) AS kept, host_rejected
+FROM based b JOIN verdicts v ON b.source IS NOT DISTINCT FROM v.source
+"""
+
+DECONTAMINATE = rf"""
+WITH items AS (
+  SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item,
+    regexp_extract_all({_lowered("coalesce(text, '')")}, '{_WORD}') AS words FROM benchmark
+), item_starts AS (
+  SELECT item, words, least(len(words), 10) AS n,
+    unnest(range(1, len(words) - least(len(words), 10) + 2)) AS i
+  FROM items WHERE len(words) > 0
+), grams AS (
+  SELECT DISTINCT item, n, array_to_string(words[i:i + n - 1], ' ') AS gram FROM item_starts
+), docs AS (
+  SELECT row_number() OVER () AS r, doc_id,
+    regexp_extract_all({_lowered("coalesce(text, '')")}, '{_WORD}') AS words FROM documents
+), doc_starts AS (
+  SELECT r, words, n, unnest(range(1, len(words) - n + 2)) AS i
+  FROM docs, (SELECT DISTINCT n FROM grams) WHERE len(words) >= n
+), hits AS (
+  SELECT r, i, d.n, item
+  FROM (SELECT r, i, n, array_to_string(words[i:i + n - 1], ' ') AS gram FROM doc_starts) d
+  JOIN grams USING (gram)
+), hit_words AS (
+  SELECT r, count(DISTINCT p) AS n_hit
+  FROM (SELECT DISTINCT r, unnest(range(i, i + n)) AS p FROM hits) GROUP BY r
+), hit_items AS (
+  SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
+  FROM (SELECT DISTINCT r, item FROM hits) GROUP BY r
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+  coalesce(n_items, 0) AS n_items, sha256(coalesce(listed, '')) AS items_sha256,
+  n_hit IS NOT NULL AS contaminated
+FROM docs LEFT JOIN hit_words USING (r) LEFT JOIN hit_items USING (r)
+"""
+
 
 def llm_oracles() -> dict[str, str]:
-    return {}
+    return {
+        "op1_chat_format": CHAT_FORMAT,
+        "op3_url_filter": URL_FILTER,
+        "op4_host_quality": HOST_QUALITY,
+        "op5_decontaminate": DECONTAMINATE,
+    }

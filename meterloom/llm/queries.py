@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -112,6 +113,16 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Query]:
-    return {
-        name: fn for name, fn in globals().items() if name.startswith("op") and name[2].isdigit() and callable(fn)
-    }
+    operators = (
+        op1_chat_format,
+        op2_token_store,
+        op3_url_filter,
+        op4_host_quality,
+        op5_decontaminate,
+        op6_simhash,
+        op7_line_align,
+        op8_unigram_count,
+        op9_byte_bpe,
+        op10_secret_scan,
+    )
+    return {fn.__name__: fn for fn in operators} | {"pipeline": corpus_pipeline.run}

@@ -1,0 +1,397 @@
+"""Each method against brute force, an exact tokenizer, an exact round trip or held-out labels."""
+
+from __future__ import annotations
+
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+import xxhash
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer, models, pre_tokenizers
+
+from meterloom.llm import (
+    bpe,
+    chat_format,
+    decontaminate,
+    host_quality,
+    line_align,
+    secret_scan,
+    simhash,
+    token_store,
+    unigram_count,
+)
+from meterloom.llm.components import connected
+from meterloom.sources.scratch import scratch_path
+
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
+SCRAPS = [
+    "a", "b", " ", "  ", "\n", "\t", "é", "the", " the", "ing", "1", "23", "'s", "!", "==", " ", " ",
+    "日本", "😀", "aaaa", "\r\n", "<|endoftext|>", "\x1c", "▁", "<unk>", "<s>", "ꙮꙮ", "<0x41>", "\\", "###",
+    "</turn>", "<|", "|>", "<|image:0|>", "### user:\n",
+]
+texts = st.lists(st.sampled_from(SCRAPS), max_size=25).map("".join)
+
+
+def _components(n, links):
+    root = list(range(n))
+
+    def top(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in links:
+        a, b = top(a), top(b)
+        root[max(a, b)] = min(a, b)
+    return [top(i) for i in range(n)]
+
+
+# --- byte-level BPE, unigram counts ---------------------------------------------------------
+
+
+@settings(max_examples=400, deadline=None)
+@given(texts)
+def test_bpe_equals_exact_encoder(text):
+    codec = bpe.codec(RANKS, public_tokenizers.PATTERN)
+    exact = tiktoken.Encoding(
+        "own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=codec.ranks, special_tokens={}
+    )
+    ids = codec.encode(text)
+    assert ids == exact.encode_ordinary(text)
+    assert codec.decode(ids) == text.encode()
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.binary(min_size=1, max_size=40) | st.text("ab", min_size=1, max_size=60).map(str.encode))
+def test_piece_equals_plain_merging(piece):
+    codec = bpe.codec(RANKS, public_tokenizers.PATTERN)
+    assert [codec.bytes_of[i] for i in codec.encode_piece(piece)] == bpe.merge(piece, codec.ranks)
+
+
+@pytest.mark.parametrize("byte_fallback", [True, False])
+def test_unigram_counts_equal_exact_tokenizer(byte_fallback):
+    vocabulary, unk = unigram_count.read_vocabulary(PIECES)
+    exact = Tokenizer(models.Unigram(vocabulary, unk, byte_fallback))
+    exact.pre_tokenizer = pre_tokenizers.Metaspace(replacement="▁", prepend_scheme="always", split=True)
+    counter = unigram_count.UnigramCounter(vocabulary, unk, byte_fallback)
+    rng = random.Random(3)
+    for _ in range(1500):
+        text = "".join(rng.choice(SCRAPS) for _ in range(rng.randint(0, 20)))
+        assert counter.count(text) == len(exact.encode(text, add_special_tokens=False).ids), text
+        word = unigram_count.SPACE + text.replace(" ", "")
+        assert counter.count_word(word) == counter.count_with_unknowns(word)
+
+
+def test_unigram_ties_follow_the_tokenizer():
+    vocabulary = [("<unk>", 0.0), ("a", -1.0), ("aa", -2.0), ("aaa", -3.0), ("b", -1.0), ("ab", -2.0)]
+    exact = Tokenizer(models.Unigram(vocabulary, 0, False))
+    counter = unigram_count.UnigramCounter(vocabulary, 0, False)
+    for n in range(1, 5):
+        for text in ("a" * n, "a" * n + "b" * n, "ba" * n, "ac" * n + "b"):
+            assert counter.count_word(text) == len(exact.encode(text).ids), text
+
+
+# --- token store ----------------------------------------------------------------------------
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(texts, max_size=8))
+def test_store_encoder_equals_tokenizer(some):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    exact = Tokenizer.from_file(path)
+    exact.encode_special_tokens = True
+    made = [np.frombuffer(x, "<u2").tolist() for x in token_store.encoder(path).encode(some)]
+    assert made == [exact.encode(t, add_special_tokens=False).ids for t in some]
+
+
+def test_store_gives_single_documents(spark):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    exact = Tokenizer.from_file(path)
+    rng = random.Random(5)
+    rows = [(i, " ".join(rng.choice(["the", "ring", "é", "x1"]) for _ in range(i % 40))) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    folder = scratch_path(spark, "store")
+    manifest = token_store.write_store(docs, folder, path, token_store.StoreOptions(shard_bytes=500))
+    shards = sorted(manifest.collect(), key=lambda r: (r["part"], r["shard"]))
+    assert len(shards) > 4 and sum(r["n_docs"] for r in shards) == 300
+    seen = []
+    for r in shards:
+        reader = token_store.ShardReader(folder, r["path"])
+        for k, doc_id in enumerate(reader.index["id"].tolist()):
+            assert reader.ids(k).tolist() == [*exact.encode(rows[doc_id][1]).ids, 2]
+            seen.append(doc_id)
+        assert [x.tolist() for x in reader.all_ids(block=64)] == [reader.ids(k).tolist() for k in range(len(reader.index))]
+    assert seen == list(range(300))
+
+
+def test_store_refuses_another_dictionary(spark):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    docs = spark.createDataFrame([(1, "one two"), (2, "three")], "doc_id long, text string")
+    folder = scratch_path(spark, "store")
+    name = token_store.write_store(docs, folder, path).first()["path"]
+    with open(f"{folder.removeprefix('file://')}/dictionary", "ab") as out:
+        out.write(b"x")
+    with pytest.raises(ValueError, match="dictionary"):
+        token_store.ShardReader(folder, name)
+
+
+# --- chats ----------------------------------------------------------------------------------
+
+
+@settings(max_examples=300, deadline=None)
+@given(texts, texts, st.sampled_from(["user", "assistant", "a:b\\", "", None]))
+def test_turns_read_back(first, second, role):
+    parts = [
+        {"type": "text", "text": first}, None, {"type": "image", "ref": "i", "width": 30, "height": 15},
+        {"type": "text", "text": second}, {"type": "text", "text": first}, {"type": "odd"},
+    ]
+    made = chat_format.format_turn(role, parts)
+    read_role, text, slots = chat_format.read_turn(made["formatted"])
+    assert (read_role, text, slots) == (role or "", first + second + first, ["<|image:0|>", "<|odd:1|>"])
+    masked = [made["formatted"][s["start"] : s["start"] + s["length"]] for s in made["loss"]]
+    assert "".join(map(chat_format.unescape, masked)) == (text if role == "assistant" else "")
+
+
+def test_attachments_expand():
+    parts = [
+        {"type": "image", "ref": "a.png", "width": 28, "height": 29}, {"type": "audio", "ref": "b.wav", "seconds": 1.5},
+        {"type": "document", "ref": "c.pdf", "pages": 2}, {"type": "image", "ref": None},
+    ]
+    made = chat_format.format_turn("user", parts)["attachments"]
+    assert [(a["ordinal"], a["kind"], a["ref"], a["n_tokens"]) for a in made] == [
+        (0, "image", "a.png", 6), (1, "audio", "b.wav", 38), (2, "document", "c.pdf", 2048), (3, "image", None, 1),
+    ]
+
+
+# --- host rules -----------------------------------------------------------------------------
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from(["a", "b", "c", "dé"]), max_size=40))
+def test_repeated_words(words):
+    data = [w.encode() for w in words]
+    windows = Counter(zip(data, data[1:], data[2:]))
+    hit = {i + s for i, w in enumerate(zip(data, data[1:], data[2:])) if windows[w] > 1 for s in range(3)}
+    assert host_quality.repeated_words(data) == len(hit)
+
+
+def test_bad_hosts_go_and_small_ones_are_shrunk(spark):
+    good, bad = " ".join(f"w{i}" for i in range(60)), "too short"
+    rows = [("good", good)] * 300 + [("bad", bad)] * 80 + [("bad", good)] * 5 + [("tiny", bad), ("tiny", good)]
+    rows += [(f"h{k}", t) for k in range(40) for t in [good] * 10]
+    docs = spark.createDataFrame([(i, h, t) for i, (h, t) in enumerate(rows)], "doc_id long, source string, text string")
+    judged = host_quality.judge(spark, docs).collect()
+    rejected = {r["host"] for r in judged if r["host_rejected"]}
+    assert rejected == {"bad"}
+    assert all(r["kept"] == (r["host"] != "bad" and not r["base_failed"]) for r in judged)
+    kept = {r["doc_id"] for r in host_quality.keep_good(spark, docs).collect()}
+    assert kept == {r["doc_id"] for r in judged if r["kept"]}
+
+
+# --- decontamination ------------------------------------------------------------------------
+
+
+def _words(text):
+    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)
+
+
+def test_decontamination_equals_brute_force(spark):
+    rng = random.Random(11)
+    word = lambda: rng.choice(["Alpha", "beta", "gÉ", "d4", "eps", "zeta"])
+    items = [(i, " ".join(word() for _ in range(n))) for i, n in enumerate([12, 10, 3, 0, 25, 11, 3])]
+    items += [(1, "beta, ALPHA!"), (None, "solo9"), (7, None)]
+    docs = []
+    for i in range(60):
+        body = [word() for _ in range(rng.choice([0, 2, 30, 1100]))]
+        if i % 2:
+            at = rng.randint(0, len(body))
+            body[at:at] = (rng.choice(items)[1] or "").upper().split()
+        docs.append((i, rng.choice([" ", "-", "\n"]).join(body) if i % 7 else None))
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    grams = {}
+    for i, t in items:
+        w = _words(t)
+        n = min(10, len(w))
+        for k in range(len(w) - n + 1) if w else ():
+            grams.setdefault(tuple(w[k : k + n]), set()).add("" if i is None else str(i))
+    expected = {}
+    for i, t in docs:
+        w, hit, found = _words(t), set(), set()
+        for n in {len(g) for g in grams}:
+            for k in range(len(w) - n + 1):
+                if g := grams.get(tuple(w[k : k + n])):
+                    hit |= set(range(k, k + n))
+                    found |= g
+        expected[i] = (len(w), len(hit), len(found), bool(hit))
+    for limit in (decontaminate.BROADCAST_WINDOWS, 0):  # with and without a broadcast
+        scanned = decontaminate.scan(frame, bench, {"doc_id": F.col("doc_id")}, max_broadcast=limit)
+        rows = scanned.select("doc_id", "n_words", decontaminate.covered(F.col("hits")).alias("hit"), "items").collect()
+        assert {r["doc_id"]: (r["n_words"], r["hit"], len(r["items"]), r["hit"] > 0) for r in rows} == expected
+    clean = {r["doc_id"] for r in decontaminate.drop_documents(frame, bench).collect()}
+    assert clean == {i for i, e in expected.items() if not e[3]}
+    for r in decontaminate.drop_spans(frame, bench).collect():
+        n, hit, _, _ = expected[r["doc_id"]]
+        assert len(_words(r["text"])) == n - hit
+
+
+# --- near-duplicates ------------------------------------------------------------------------
+
+
+def _plain_fingerprint(text):
+    w = text.encode().lower().split()
+    if not w:
+        return 0
+    h = [xxhash.xxh64_intdigest(b" ".join(w[i : i + 4]), 42) for i in range(max(1, len(w) - 3))]
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.sampled_from(["A", "b", "é", "dd", "e5"]), max_size=30), st.integers(1, 9))
+def test_fingerprint(words, block):
+    text = " ".join(words)
+    assert simhash.fingerprint(text.encode(), block=block) == _plain_fingerprint(text)
+
+
+def test_linked_fingerprints_meet_at_an_anchor():
+    rng = np.random.default_rng(1)
+    base = rng.integers(0, 2**64, 400, dtype=np.uint64)
+    for flips in range(5):
+        other = base.copy()
+        for i in range(len(other)):
+            for bit in rng.choice(64, flips, replace=False):
+                other[i] ^= np.uint64(1) << np.uint64(bit)
+        homes = []
+        for fps in (base, other):
+            at = [set() for _ in fps]
+            for anchor, row in simhash.anchors(fps.view(np.int64), 4):
+                for a, r in zip(anchor.tolist(), row.tolist()):
+                    at[r].add(a)
+            homes.append(at)
+        assert all(a & b for a, b in zip(*homes))
+
+
+def test_components_equal_brute_force(spark):
+    rng = np.random.default_rng(2)
+    centres = rng.integers(0, 2**64, 6, dtype=np.uint64)
+    fps = [int(c) for c in centres]
+    for _ in range(500):  # walks away from the centres, in dense groups and chains
+        x = fps[rng.integers(len(fps))]
+        for bit in rng.choice(64, rng.integers(0, 4), replace=False):
+            x ^= 1 << int(bit)
+        fps.append(x)
+    fps += [int(x) for x in rng.integers(0, 2**64, 300, dtype=np.uint64)]
+    links = [(i, j) for j in range(len(fps)) for i in range(j) if (fps[i] ^ fps[j]).bit_count() <= 4]
+    expected = Counter(_components(len(fps), links))
+    signed = np.array(fps, np.uint64).view(np.int64).tolist()
+    frame = spark.createDataFrame([(x,) for x in signed], "fp long")
+    stars = connected(spark, simhash.near_pairs(frame.distinct(), 4)).collect()
+    root = {r["a"]: r["b"] for r in stars}
+    found = Counter(root.get(x, x) for x in signed)
+    assert sorted(found.values()) == sorted(expected.values())
+
+
+def test_components_of_paths_and_stars(spark):
+    edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 160)] + [(7, 7), (9, 8)]
+    stars = connected(spark, spark.createDataFrame(edges, "a long, b long")).collect()
+    assert {r["a"]: r["b"] for r in stars} == {
+        **{i: 0 for i in range(1, 41)}, **{i: 100 for i in range(101, 160)},
+    }
+
+
+# --- line alignment -------------------------------------------------------------------------
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from("abcdefgh"), max_size=15), st.lists(st.sampled_from("abcdefgh"), max_size=15))
+def test_alignment_is_a_common_subsequence(a, b):
+    pairs = line_align.align(a, b)
+    assert all(a[i] == b[j] for i, j in pairs)
+    assert all(p[0] < q[0] and p[1] < q[1] for p, q in zip(pairs, pairs[1:]))
+    if len(set(a)) == len(a) and set(a) == set(b) and len(b) == len(a):
+        # Two orders of distinct lines: as long as the longest increasing run.
+        best = [1] * len(b)
+        for j in range(len(b)):
+            for i in range(j):
+                if a.index(b[i]) < a.index(b[j]):
+                    best[j] = max(best[j], best[i] + 1)
+        assert len(pairs) == max(best, default=0)
+
+
+def test_lines_equal_brute_force(spark):
+    rng = random.Random(9)
+    pool = [" ".join(f"{rng.choice('abcdefg')}{rng.randint(0, 999)}" for _ in range(rng.randint(2, 16))) for _ in range(60)]
+    docs = []
+    for i in range(80):
+        lines = [rng.choice(pool + ["", "x"]) if rng.random() < 0.5 else f"own {i} {k} " + "z" * 30 for k in range(rng.randint(0, 9))]
+        if i and rng.random() < 0.3:
+            start = rng.randrange(i)
+            lines += docs[start][1].split("\n")
+        docs.append((i, "\n".join(lines)))
+    docs += [(80 + k, docs[5][1]) for k in range(3)]
+    rules = line_align.LineRules(max_df=6, min_chars=40)
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    found = {r["row"]["doc_id"]: r["cleaned"] for r in line_align.dedup_lines(spark, frame, rules).collect()}
+
+    firsts = {}
+    for i, t in docs:
+        firsts.setdefault(t, i)
+    distinct = {i: [x.encode() if x.strip() else line_align.BLANK for x in t.split("\n")] for t, i in firsts.items()}
+    df = Counter(x for lines in distinct.values() for x in set(lines) if x != line_align.BLANK)
+    first = {}
+    for i in sorted(distinct):
+        for x in distinct[i]:
+            first.setdefault(x, i)
+    for i, t in docs:
+        lines = distinct[firsts[t]]
+        shared = {x: df[x] for x in lines if df[x] > 1}
+        least = min(shared.values(), default=0)
+        partners = {first[x] for x, n in shared.items() if n <= max(rules.max_df, least)} - {firsts[t]}
+        sizes = [0 if x == line_align.BLANK else len(x.decode()) for x in lines]
+        lost = {
+            j + k
+            for p in partners if p < firsts[t]
+            for j, n in line_align.common_blocks(distinct[p], lines, sizes, rules.min_chars)
+            for k in range(n)
+        }
+        if i > firsts[t] and sum(sizes) >= rules.min_chars:
+            assert found[i] == ""
+        else:
+            assert found[i] == "\n".join(x for k, x in enumerate(t.split("\n")) if k not in lost)
+
+
+# --- secrets --------------------------------------------------------------------------------
+
+
+def test_forest_on_held_out_documents(spark):
+    rng = random.Random(4)
+    pick = lambda alphabet, n: "".join(rng.choice(alphabet) for _ in range(n))
+    docs, labels = [], []
+    for i in range(600):
+        kind = i % 6
+        value = [
+            f'token = "{pick("0123456789abcdef", 40)}"', f"password={pick('0123456789abcdef', 18)}",
+            f"the {pick('0123456789', 16)} of", f"mail some.{i}@mail{i}.example.com now",
+            f"at 10.{i % 250}.7.{i % 99} from", f"LOUDWORDS{pick('ABCDEF', 6)}!! said",
+        ][kind]
+        docs.append((i, f"some words here {value} and more"))
+        pos = {0: 5, 1: 3}.get(kind, 4 if kind in (2, 3, 4) else 3)
+        labels.append((i, pos, int(kind < 2)))
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    marked = spark.createDataFrame(labels, "doc_id long, pos int, label int")
+    found = secret_scan.scan(spark, frame, RANKS, marked).collect()
+    held = [r for r in found if r["held_out"] and r["label"] is not None]
+    assert len(held) > 30
+    assert np.mean([r["is_secret"] == bool(r["label"]) for r in held]) > 0.95
+    # Without labels of both kinds nothing is dropped.
+    kept = secret_scan.scan(spark, frame, RANKS, marked.filter("label = 0")).collect()
+    assert len(kept) == len(found) and all(r["is_secret"] and r["score"] is None for r in kept)
