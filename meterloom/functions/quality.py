@@ -95,6 +95,32 @@ def issue_codes(x: str, rules: QualityRules) -> str:
     )
 
 
+def category_counts(fields: list[str], rules: QualityRules) -> dict[str, str]:
+    """Issue category -> how many issues of it the fields raise together. The same decisions as
+    issue_codes, as sums of conditions."""
+    groups: dict[str, list[str]] = {}
+
+    def add(code: str, condition: str) -> None:
+        groups.setdefault(ISSUES[code][0], []).append(condition)
+
+    for x in fields:
+        hard = f"(isnan({x}) OR {is_infinite(x)} OR {x} IN ({lit(rules.sentinel_low)}, {lit(rules.sentinel_high)}))"
+        add("nan", holds(f"isnan({x})"))
+        add("infinite", holds(is_infinite(x)))
+        add("sentinel_low", holds(f"{x} = {lit(rules.sentinel_low)}"))
+        add("sentinel_high", holds(f"{x} = {lit(rules.sentinel_high)}"))
+        unit_low, unit_high, kind_low, kind_high = _beyond(x)
+        add("below_minimum", holds(f"NOT {hard} AND {unit_low}"))
+        add("above_maximum", holds(f"NOT {hard} AND {unit_high}"))
+        for category, (_, _, below, above) in rules.category_range.items():
+            of_kind = f"NOT {hard} AND category = {lit(category)}"
+            if below:
+                add(below, holds(f"{of_kind} AND {kind_low}"))
+            if above:
+                add(above, holds(f"{of_kind} AND {kind_high}"))
+    return {group: total(conditions) for group, conditions in groups.items()}
+
+
 def is_valid_time(ts: str, rules: QualityRules) -> str:
     """Both ends inclusive; a null time is not valid."""
     return holds(f"{ts} BETWEEN {ntz(rules.earliest)} AND {ntz(rules.latest)}")

@@ -19,26 +19,34 @@ def without_attributes(meta: DataFrame) -> DataFrame:
     return basic_metadata(meta).selectExpr("*", "name AS friendly_name", *_NO_CLASSES)
 
 
-def latest_attributes(states: DataFrame) -> DataFrame:
-    """The attribute set in force per entity: newest state that has one, ties by highest id.
-
-    One aggregate with map-side combine, so an entity with a long history costs no more
-    shuffle than any other, and the states are never joined to themselves."""
-    newest = F.expr("max_by(attributes_id, struct(last_updated_ts, attributes_id))")
-    return (
-        states.filter("attributes_id IS NOT NULL AND metadata_id IS NOT NULL")
-        .groupBy("metadata_id")
-        .agg(newest.alias("attributes_id"))
-    )
-
-
-def entity_attributes(attributes: Attributes, small: bool = False) -> DataFrame:
+def latest_attributes(states: DataFrame, untimed: bool = False) -> DataFrame:
+    """The attribute set in force per entity: newest state that has one, ties by highest id. A
+    state without a time counts only if `untimed`, and then behind all others.
+
+    All buffers are fixed-width numbers, so these are hash aggregates with map-side combine; an
+    entity with a long history costs no more shuffle than any other."""
+    known = states.filter("attributes_id IS NOT NULL AND metadata_id IS NOT NULL")
+    if not untimed:
+        known = known.filter("last_updated_ts IS NOT NULL")
+    sets = known.groupBy("metadata_id", "attributes_id").agg(F.max("last_updated_ts").alias("at"))
+    newest = sets.groupBy("metadata_id").agg(F.max("at").alias("newest_at"))
+    tied = sets.join(newest, "metadata_id").filter("at <=> newest_at")
+    return tied.groupBy("metadata_id").agg(F.max("attributes_id").alias("attributes_id"))
+
+
+def entity_attributes(
+    attributes: Attributes, small: bool = False, untimed: bool = False
+) -> DataFrame:
     """One row per known entity id with its latest attributes; JSON is read after the join.
 
-    There are far more attribute sets than entities. When the entities were measured as small,
-    a broadcast of the ids in force thins the sets, so their texts are never shuffled."""
+    There are far more attribute sets than entities. When the entities (states_meta) were measured
+    as small, a broadcast of their ids in force thins the sets, so their texts are never shuffled;
+    states of other entities do not count towards it."""
     states_meta, states, attribute_sets = attributes
-    latest = latest_attributes(states)
+    if small:
+        listed = F.broadcast(states_meta.select("metadata_id"))
+        states = states.join(listed, "metadata_id", "left_semi")
+    latest = latest_attributes(states, untimed)
     if small:
         in_force = F.broadcast(latest.select("attributes_id"))
         attribute_sets = attribute_sets.join(in_force, "attributes_id", "left_semi")
@@ -51,7 +59,7 @@ def entity_attributes(attributes: Attributes, small: bool = False) -> DataFrame:
 
 def attributes_of(entities: DataFrame, attributes: Attributes, small: bool = False) -> DataFrame:
     """Latest attributes of the listed entities, nulls where nothing is known."""
-    looked_up = _one_per_entity(entity_attributes(attributes, small))
+    looked_up = _one_per_entity(entity_attributes(attributes, small, untimed=True))
     listed = entities.selectExpr("statistic_id AS entity_id")
     return listed.join(looked_up, "entity_id", "left")
 
@@ -104,15 +112,16 @@ def enriched_latest(
     if attributes is None:
         return base.selectExpr("*", f"{derived} AS friendly_name", *_NO_CLASSES)
     name = f"coalesce({non_empty('friendly_name')}, {derived}) AS friendly_name"
-    rows = _joined(base, _one_per_entity(entity_attributes(attributes, small)))
+    rows = _joined(base, _one_per_entity(entity_attributes(attributes, small, untimed=True)))
     return _drop_timestamp_entities(
         rows.selectExpr(*base.columns, name, "device_class", "state_class")
     )
 
 
 def by_ids(meta: DataFrame, ids: DataFrame, id_column: str = "id") -> DataFrame:
-    """Basic metadata of the listed ids."""
-    wanted = ids.selectExpr(f"{id_column} AS id")
+    """Basic metadata of the listed ids. The list may be the id column of a fact table; it is made
+    distinct with map-side combine, so a hot id is one row per task."""
+    wanted = ids.selectExpr(f"{id_column} AS id").distinct()
     return basic_metadata(meta).join(wanted, "id", "left_semi")
 
 

@@ -77,10 +77,13 @@ def first_per_series(points: DataFrame, n: int) -> DataFrame:
 
 
 def sample_size(points: DataFrame, now: str, days: int = 7, per_series: int = 1000) -> DataFrame:
-    """How many points a sample of at most per_series points per series over the last days
-    would hold. Counting needs no ordering, so no window."""
+    """How many points the last days hold, and how many of them a sample of at most per_series
+    points per series would take. Counting needs no ordering, so no window."""
     counts = aged(points, now, days).groupBy(*SERIES).agg(F.count("*").alias("n"))
-    return counts.selectExpr(f"coalesce(sum(least(n, {per_series})), 0) AS sample_points")
+    return counts.selectExpr(
+        "coalesce(sum(n), 0) AS all_points",
+        f"coalesce(sum(least(n, {per_series})), 0) AS sample_points",
+    )
 
 
 def preview(

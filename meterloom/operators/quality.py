@@ -190,6 +190,26 @@ def issue_breakdown(issue_rows: DataFrame, *categories: str) -> DataFrame:
     )
 
 
+def issue_totals(validated: DataFrame, rules: QualityRules = RULES) -> DataFrame:
+    """The same breakdown for the issues of validated readings, without a row or a text per
+    issue: integers per category are summed by entity, then turned into one row per category."""
+    counts = q.category_counts([f"raw_{f}" for f in FIELDS], rules)
+    names = [f"c{i}" for i in range(len(counts))]
+    per_entity = (
+        validated.filter("n_issues > 0")
+        .selectExpr("statistic_id", *[f"{sql} AS {n}" for n, sql in zip(names, counts.values())])
+        .groupBy("statistic_id")
+        .agg(*[F.sum(n).alias(n) for n in names])
+    )
+    rows = ", ".join(f"{lit(group)}, {n}" for n, group in zip(names, counts))
+    long_form = per_entity.selectExpr(f"stack({len(names)}, {rows}) AS (issue_category, n)")
+    return (
+        long_form.filter("n > 0")
+        .groupBy("issue_category")
+        .agg(F.sum("n").alias("n_issues"), F.count("*").alias("n_entities"))
+    )
+
+
 def issue_entity_samples(
     issue_rows: DataFrame, n: int = 3, category: str = "issue_category"
 ) -> DataFrame:
@@ -299,6 +319,8 @@ def worst_examples(issue_rows: DataFrame, n: int = 5, examples: int = 3) -> Data
     return theirs.selectExpr("*", position).filter(f"position <= {examples}")
 
 
-def reading_sample(readings: DataFrame, n: int = 5000) -> DataFrame:
-    """The first n readings by entity and time (a bounded top-n, the feature of the report)."""
+def reading_sample(readings: DataFrame, n: int | None = None) -> DataFrame:
+    """The readings that a report looks at: all of them, or the first n by entity and time."""
+    if n is None:
+        return readings
     return readings.orderBy("metadata_id", "start_ts", "table_rank", "id").limit(n)

@@ -10,6 +10,7 @@ from meterloom.operators.sizing import maybe_broadcast
 from meterloom.schemas import FIELDS
 
 _RANK_BIT = 62
+_NO_ID = f"{(1 << _RANK_BIT) - 1}L"
 
 
 def between(readings: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:
@@ -59,8 +60,12 @@ def first_readings(readings: DataFrame, scope: str = "run") -> DataFrame:
     if scope not in ("run", "table"):
         raise ValueError(f"unknown scope: {scope}")
     keys = ["metadata_id", "start_ts"] + (["table_rank"] if scope == "table" else [])
-    # (table_rank, id) as one number; ids are positive row ids below 2**62.
-    order = f"shiftleft(CAST(table_rank AS BIGINT), {_RANK_BIT}) | coalesce(id, 0L) AS place"
+    # (table_rank, id) as one number: ids are row ids from 0 below 2**62 - 1; none sorts last.
+    position = (
+        f"CASE WHEN id IS NULL THEN {_NO_ID} WHEN id >= 0 AND id < {_NO_ID} THEN id"
+        " ELSE raise_error(concat('reading id out of range: ', id)) END"
+    )
+    order = f"shiftleft(CAST(table_rank AS BIGINT), {_RANK_BIT}) | {position} AS place"
     groups = (
         readings.selectExpr("metadata_id", "start_ts", "table_rank", *FIELDS, order)
         .groupBy(*keys)
@@ -75,7 +80,7 @@ def first_readings(readings: DataFrame, scope: str = "run") -> DataFrame:
         "metadata_id",
         "start_ts",
         f"CAST(shiftright(first_place, {_RANK_BIT}) AS INT) AS table_rank",
-        f"first_place & {(1 << _RANK_BIT) - 1}L AS id",
+        f"nullif(first_place & {_NO_ID}, {_NO_ID}) AS id",
         *FIELDS,
         "n_short",
         "n_long",

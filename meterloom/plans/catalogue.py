@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from meterloom.functions.numeric import finite_or_null, is_infinite
 from meterloom.functions.sql import lit
+from meterloom.functions.time import seconds_between
 from meterloom.operators import entities as ent
 from meterloom.operators import metadata as md
 from meterloom.operators import points as pt
@@ -19,14 +20,14 @@ from meterloom.operators import readings as rd
 from meterloom.operators import rollup as ro
 from meterloom.operators import timeline as tl
 from meterloom.operators.sizing import is_small
-from meterloom.plans.export import ExportOptions, judged_readings
-from meterloom.plans.lifecycle import roll_up_slice
+from meterloom.plans.export import ExportOptions, judged_readings, run_export
+from meterloom.plans.lifecycle import maintain, roll_up_slice
 from meterloom.schemas import FIELDS, LONG_TERM, SERIES, SHORT_TERM
 from meterloom.sources import driver_tables as dt
 from meterloom.sources import progress as pg
 from meterloom.sources.scratch import scratch_path
 from meterloom.sources.store import PointStore
-from meterloom.sources.tables import basic_metadata
+from meterloom.sources.tables import basic_metadata, open_inputs
 from meterloom.streaming import rollup as st
 
 # Fixed "now" of relative ranges, so that every run gives the same rows.
@@ -71,6 +72,10 @@ class Sensors:
     def readings(self) -> DataFrame:
         return rd.both_tables(self.short_term, self.long_term)
 
+    def readings_in(self, start: str, end: str) -> DataFrame:
+        """Both tables within a range that reaches their scans."""
+        return dt.inputs(self.spark, self.sf_dir).readings(start, end)
+
     @cached_property
     def candidates(self) -> DataFrame:
         """Entities by name, unit and source alone: a superset of the enriched ones."""
@@ -123,6 +128,7 @@ class Sensors:
                     WHEN user_id % 3 = 1 AND user_id % 7 = 0 THEN 'failed'
                     ELSE 'running' END AS status""",
             "first_ts + INTERVAL 10 DAYS AS last_start_ts",
+            "TIMESTAMP_NTZ '2024-01-20 00:00:00' AS recorded_at",
         )
 
 
@@ -254,11 +260,33 @@ def readings_short_term(s: Sensors) -> DataFrame:
 
 @_query
 def readings_range(s: Sensors) -> DataFrame:
-    rows = rd.between(s.readings, "2024-01-10 00:00:00", "2024-01-20 00:00:00")
+    rows = s.readings_in("2024-01-10 00:00:00", "2024-01-20 00:00:00")
     chosen = rd.of_entities(rows, s.candidates, s.small)
     return rd.in_order(_finite(chosen.select(*_READING)))
 
 
+@_query
+def readings_epoch_scan(s: Sensors) -> DataFrame:
+    """The same readings as a source stores them, with float epoch seconds, through the input
+    contract and a range that is pushed to the raw column."""
+
+    def stored(table: DataFrame) -> DataFrame:
+        epoch = seconds_between("TIMESTAMP_NTZ '1970-01-01 00:00:00'", "start_ts")
+        return table.selectExpr(
+            "id", "created_ts", "metadata_id", f"CAST({epoch} AS DOUBLE) AS start_ts", "mean",
+            "mean_weight", "min_value AS min", "max_value AS max", "last_reset_ts",
+            "value AS state", "sum_value AS sum",
+        )
+
+    available = {
+        "statistics_meta": lambda: s.statistics_meta,
+        SHORT_TERM: lambda: stored(s.short_term),
+        LONG_TERM: lambda: stored(s.long_term),
+    }
+    inputs = open_inputs(available, start="2024-01-05 00:00:00")
+    return _finite(inputs.readings(end="2024-01-25 00:00:00").select(*_READING))
+
+
 @_query
 def readings_count(s: Sensors) -> DataFrame:
     everything = rd.count_by_table(s.readings).withColumn("scope", F.lit("all"))
@@ -310,15 +338,19 @@ def processing_metrics(s: Sensors) -> DataFrame:
 
 @_query
 def issue_details(s: Sensors) -> DataFrame:
+    """Numbers inside the message are masked: engines write floats differently."""
     rows = qa.issues(s.judged(s.readings))
+    value = F.regexp_replace("message", r"^Value \S+ (below|above)", "Value # $1")
+    message = F.regexp_replace(value, r"(minimum|maximum) \S+ for", "$1 # for")
     return rows.select(
-        "metadata_id", "start_ts", "field", "code", "issue_category", "limit_value"
-    )
+        "metadata_id", "start_ts", "field", "code", "issue_category", "limit_value",
+        message.alias("message"),
+    )
 
 
 @_query
 def issue_breakdown(s: Sensors) -> DataFrame:
-    return qa.issue_breakdown(qa.issues(s.judged(s.readings)))
+    return qa.issue_totals(s.judged(s.readings))
 
 
 @_query
@@ -330,20 +362,39 @@ def _raw_issues(s: Sensors, readings: DataFrame) -> DataFrame:
     return qa.raw_issues(rd.match_raw(readings, s.candidates, s.small))
 
 
+def _sample_report(s: Sensors, n: int | None, chosen_first: bool) -> DataFrame:
+    """The issue report per table over all readings, or over the first n, cut after or before the
+    readings of the chosen entities are picked."""
+    tables = [s.short_term, s.long_term]
+    if chosen_first:
+        tables = [rd.of_entities(t, s.candidates, s.small) for t in tables]
+    short, long = (qa.reading_sample(t, n) for t in tables)
+    issues = _raw_issues(s, short.unionByName(long))
+    return qa.issue_breakdown(issues, "table_rank", "issue_type")
+
+
 @_query
 def issue_sample(s: Sensors) -> DataFrame:
-    """Sampled per table as the report does: the first readings of the chosen entities."""
-    short = rd.of_entities(s.short_term, s.candidates, s.small)
-    long = rd.of_entities(s.long_term, s.candidates, s.small)
-    sample = qa.reading_sample(short).unionByName(qa.reading_sample(long))
-    return qa.issue_breakdown(_raw_issues(s, sample), "table_rank", "issue_type")
+    """Over all readings of the chosen entities."""
+    return _sample_report(s, None, chosen_first=True)
 
 
 @_query
 def issue_sample_unfiltered(s: Sensors) -> DataFrame:
+    """Over all readings; the chosen entities are picked with the issues."""
+    return _sample_report(s, None, chosen_first=False)
+
+
+@_query
+def issue_sample_first_5000(s: Sensors) -> DataFrame:
+    """Sampled per table as the source's report does: the first readings of chosen entities."""
+    return _sample_report(s, 5000, chosen_first=True)
+
+
+@_query
+def issue_sample_unfiltered_first_5000(s: Sensors) -> DataFrame:
     """The same report for a long id list, where the sample is cut before the filter."""
-    sample = qa.reading_sample(s.short_term).unionByName(qa.reading_sample(s.long_term))
-    return qa.issue_breakdown(_raw_issues(s, sample), "table_rank", "issue_type")
+    return _sample_report(s, 5000, chosen_first=False)
 
 
 @_query
@@ -427,7 +478,7 @@ def export_unvalidated(s: Sensors) -> DataFrame:
 @_query
 def time_range_export(s: Sensors) -> DataFrame:
     options = ExportOptions(start="2024-01-10 00:00:00", end="2024-01-20 00:00:00")
-    points = s.points(options=options)
+    points = s.points(s.readings_in(options.start, options.end), options)
     return points.select("store", "measurement", "domain", "entity_id", "value", "ts")
 
 
@@ -451,12 +502,28 @@ def progress_table(s: Sensors) -> DataFrame:
     pg.record_progress(first, path, "2024-01-11 00:00:00")
     later = first.filter(F.col("status") == "running").withColumn("status", F.lit("completed"))
     pg.record_progress(later, path, "2024-01-12 00:00:00")
-    return pg.read_progress(s.spark, path)
+    return pg.read_progress(s.spark, path).select(
+        "metadata_id", "source_table", "status", "last_start_ts", "recorded_at"
+    )
+
+
+@_query
+def export_resumed(s: Sensors) -> DataFrame:
+    """A run over a range, then a full run with the same progress table, read back."""
+    recent = PointStore(s.spark, scratch_path(s.spark, "recent"))
+    historical = PointStore(s.spark, scratch_path(s.spark, "historical"), "month")
+    inputs, path = dt.inputs(s.spark, s.sf_dir), scratch_path(s.spark, "progress")
+    part = ExportOptions(latest_metadata_only=False, end="2024-01-15 00:00:00")
+    run_export(s.spark, inputs, recent, historical, part, path, "2024-01-15 00:00:00")
+    full = ExportOptions(latest_metadata_only=False)
+    run_export(s.spark, inputs, recent, historical, full, path, "2024-02-01 00:00:00")
+    return _both(recent, historical)
 
 
 @_query
 def incremental_export(s: Sensors) -> DataFrame:
-    fresh = pg.newer_than_progress(s.readings, s.progress(), s.small)
+    progress = s.progress()
+    fresh = pg.newer_than_progress(s.readings, progress, is_small(progress))
     points = s.points(readings=fresh)
     return points.select("store", "measurement", "domain", "entity_id", "value", "ts")
 
@@ -490,21 +557,40 @@ def rollup_without_rule(s: Sensors) -> DataFrame:
     return ro.without_rule(s.points())
 
 
-@_query
-def lifecycle_flow(s: Sensors) -> DataFrame:
-    """Points written to both stores, the aged slice rolled up, the recent store expired."""
-    recent = PointStore(s.spark, scratch_path(s.spark, "recent"), retention_days=90)
-    historical = PointStore(s.spark, scratch_path(s.spark, "historical"), "month")
-    recent.replace(s.recent())
-    historical.replace(s.historical())
-    roll_up_slice(recent, historical, NOW_ROLLUP)
-    recent.expire(NOW_RETENTION)
+def _both(recent: PointStore, historical: PointStore) -> DataFrame:
     both = recent.read().withColumn("store", F.lit(pt.RECENT)).unionByName(
         historical.read().withColumn("store", F.lit(pt.HISTORICAL))
     )
     return _rounded(both, "value").select("store", *SERIES, "value", "ts")
 
 
+def _written_stores(s: Sensors) -> tuple[PointStore, PointStore]:
+    recent = PointStore(s.spark, scratch_path(s.spark, "recent"), retention_days=90)
+    historical = PointStore(s.spark, scratch_path(s.spark, "historical"), "month")
+    recent.replace(s.recent())
+    historical.replace(s.historical())
+    return recent, historical
+
+
+@_query
+def lifecycle_flow(s: Sensors) -> DataFrame:
+    """Points written to both stores, what aged rolled up, the recent store expired."""
+    recent, historical = _written_stores(s)
+    reached = roll_up_slice(recent, historical, NOW_ROLLUP)
+    recent.expire(NOW_RETENTION, not_after=reached)
+    return _both(recent, historical)
+
+
+@_query
+def lifecycle_catch_up(s: Sensors) -> DataFrame:
+    """Two scheduled runs with weeks between them: the second makes up for what the first could
+    not see yet, and only then does the recent store expire."""
+    recent, historical = _written_stores(s)
+    maintain(recent, historical, "2024-02-10 00:00:00")
+    maintain(recent, historical, "2024-04-20 00:00:00")
+    return _both(recent, historical)
+
+
 def _utc_session(s: Sensors) -> SparkSession:
     """Event time is a session-zoned timestamp on the streaming path only."""
     session = s.spark.newSession()
@@ -626,9 +712,11 @@ def store_delete_written(s: Sensors) -> DataFrame:
 
 @_query
 def unified_timeline(s: Sensors) -> DataFrame:
-    """Recent points over their own rollup and the migrated long-term points."""
+    """Recent points over the historical store: the migrated long-term points, with the rollup of
+    the recent ones in place of equal keys."""
     recent = s.recent()
-    return _rounded(tl.unified(recent, ro.rollup(recent)), "value")
+    historical = tl.unified(ro.rollup(recent), s.historical())
+    return _rounded(tl.unified(recent, historical), "value")
 
 
 @_query

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from meterloom.functions.quality import is_valid_time
 from meterloom.functions.sql import lit
 from meterloom.functions.time import floor_second
 from meterloom.operators import entities as ent
@@ -15,12 +15,12 @@ from meterloom.operators import metadata as md
 from meterloom.operators import points as pt
 from meterloom.operators import quality as qa
 from meterloom.operators import readings as rd
-from meterloom.operators.sizing import is_small
+from meterloom.operators.sizing import is_small, maybe_broadcast
 from meterloom.operators.timeline import newest_per_point
 from meterloom.rules import EntityRules, QualityRules
 from meterloom.schemas import LONG_TERM, SHORT_TERM
 from meterloom.sources import progress as pg
-from meterloom.sources.scratch import scratch_path
+from meterloom.sources.scratch import scratch
 from meterloom.sources.store import PointStore
 from meterloom.sources.tables import Inputs
 
@@ -88,6 +88,42 @@ def _recorded(spark: SparkSession, path: str) -> DataFrame | None:
     return pg.read_progress(spark, path)
 
 
+def export_key(options: ExportOptions) -> str:
+    """What tells exports apart: a run resumes only an unfinished run with equal options."""
+    return hashlib.sha256(repr(options).encode()).hexdigest()[:16]
+
+
+def _fresh_readings(inputs: Inputs, options: ExportOptions, progress: DataFrame) -> DataFrame:
+    """Readings after the marks. The earliest mark bounds the scan; only entities without one
+    need the tables from their beginning, and they are read apart from the others."""
+    known = pg.marks(progress)
+    first = known.agg(F.min("last_start_ts").alias("t")).first()["t"]
+    if first is None:
+        return inputs.readings(options.start, options.end)
+    start = max(x for x in (options.start, str(first)) if x is not None)
+    marked = known.groupBy("metadata_id").agg(F.count("*").alias("n")).filter("n = 2")
+    small = is_small(progress)
+    ids = maybe_broadcast(marked.select("metadata_id"), small)
+    rest = inputs.readings(options.start, options.end).join(ids, "metadata_id", "left_anti")
+    late = inputs.readings(start, options.end).join(ids, "metadata_id", "left_semi")
+    return pg.newer_than_progress(rest.unionByName(late), progress, small)
+
+
+# What is staged of a judged reading: its point, and what the marks need.
+_STAGED = (
+    "metadata_id", "start_ts", "time_ok", "n_short", "n_long", "table_rank", "value", "mean",
+    "measurement", "entity_id", "domain", "category", "unit", "friendly_name", "device_class",
+)
+
+
+def _marks_of(staged: DataFrame, rank: int) -> DataFrame:
+    """The last plausible time per entity of one table, copies included."""
+    copies = "n_short" if rank == 0 else "n_long"
+    return staged.groupBy("metadata_id").agg(
+        F.expr(f"max(start_ts) FILTER (WHERE time_ok AND {copies} > 0)").alias("last_start_ts")
+    )
+
+
 def run_export(
     spark: SparkSession,
     inputs: Inputs,
@@ -95,67 +131,119 @@ def run_export(
     historical: PointStore,
     options: ExportOptions = ExportOptions(),
     progress_path: str | None = None,
-    recorded_at: str = "1970-01-01 00:00:00",
+    recorded_at: str | None = None,
+    export_id: str | None = None,
 ) -> dict[str, int]:
     """Export both tables and return the counters of the run.
 
     The entity table is written once and read back: it is used twice, and its row count decides
-    whether it may be broadcast. Points of both stores are staged in one pass over the readings,
-    and the counters are observed during that same pass; they sit in its last stage, whose
-    finished tasks are counted once even when executors are lost."""
+    whether it may be broadcast. Judged readings of both tables are staged in one pass, from which
+    both stores are written and the marks taken; the counters are observed during that pass, in its
+    last stage, whose finished tasks are counted once even when executors are lost.
+
+    With a progress path (and the time of recording), a run that died is resumed by a run with
+    equal options: a store that it had completed is not written again, and entities it had
+    completed in both tables are left out. Once a run ends, later runs see everything again; an
+    incremental one goes on at the marks. Marks only move on in runs that are not cut off at the
+    start, so a run over a range leaves nothing behind them."""
+    if progress_path is not None and recorded_at is None:
+        raise ValueError("progress needs the time of recording")
+    key = export_id or export_key(options)
     progress = None if progress_path is None else _recorded(spark, progress_path)
-    done = None
-    if progress is not None and not options.incremental:
-        done = pg.completed(progress, (SHORT_TERM, LONG_TERM))
-    entities_at = scratch_path(spark, "entities")
-    select_entities(inputs, options, done).write.parquet(entities_at)
-    entities = spark.read.parquet(entities_at)
-    small = is_small(entities)
-
-    everything = rd.both_tables(inputs.short_term, inputs.long_term)
-    readings = everything = rd.between(everything, options.start, options.end)
-    if progress is not None and options.incremental:
-        readings = pg.newer_than_progress(readings, progress, is_small(progress))
-    judged = qa.with_point_flag(
-        judged_readings(readings, entities, options, small, entities if small else None)
-    )
-    seen = Observation()
-    observed = judged.observe(
-        seen,
-        F.coalesce(F.sum("n_short"), F.lit(0)).alias("short_term_records"),
-        F.coalesce(F.sum("n_long"), F.lit(0)).alias("long_term_records"),
-        F.expr("count_if(status <> 'invalid')").alias("valid_records"),
-        F.expr("count_if(status = 'corrected')").alias("data_corrections"),
-        F.expr("count_if(has_point)").alias("total_points"),
-        F.expr(f"count_if(start_ts <> {floor_second('start_ts')})").alias("between_seconds"),
-    )
-    if options.dry_run:
-        observed.write.format("noop").mode("overwrite").save()
-    else:
-        staged_at = scratch_path(spark, "points")
-        to_stage = pt.build_points(observed, keep=("start_ts",))
-        to_stage.write.partitionBy("store").parquet(staged_at)
-        # Without points there is no file to take the schema from.
-        staged = spark.read.schema(to_stage.schema).parquet(staged_at)
-        for store, name in ((recent, pt.RECENT), (historical, pt.HISTORICAL)):
-            points = staged.filter(F.col("store") == name)
-            if seen.get["between_seconds"]:
-                # Only readings between whole seconds can meet in one point; the later one stays.
-                points = newest_per_point(points, "start_ts")
-            store.replace(points)
-        if progress_path is not None:
+    done, written = None, set()
+    if progress is not None:
+        open_rows = pg.unfinished(progress, key)
+        done = pg.completed(open_rows, (SHORT_TERM, LONG_TERM))
+        states = open_rows.groupBy("source_table").agg(F.expr("bool_and(status = 'completed')").alias("all"))
+        written = {r["source_table"] for r in states.collect() if r["all"]}  # at most two rows
+
+    with scratch(spark, "entities") as entities_at, scratch(spark, "points") as staged_at:
+        select_entities(inputs, options, done).write.parquet(entities_at)
+        entities = spark.read.parquet(entities_at)
+        small = is_small(entities)
+
+        def note(status: str, tables: tuple[str, ...], last: DataFrame | None = None) -> None:
+            if progress_path is None or options.dry_run:
+                return
             rows = entities.selectExpr(
                 "id AS metadata_id",
-                f"explode(array({lit(SHORT_TERM)}, {lit(LONG_TERM)})) AS source_table",
-                "'completed' AS status",
+                f"explode(array({', '.join(map(lit, tables))})) AS source_table",
+                f"{lit(status)} AS status",
             )
-            # A reading with an impossible time must not mark everything after it as exported.
-            plausible = everything.filter(is_valid_time("start_ts", options.quality_rules))
-            last = pg.progress_of(plausible).drop("status")
-            joined = rows.join(last, ["metadata_id", "source_table"], "left")
-            pg.record_progress(joined, progress_path, recorded_at)
-    counters = {name: int(value) for name, value in seen.get.items()}
+            known = _known_marks(progress, options, last)
+            if known is None:
+                rows = rows.selectExpr("*", "CAST(NULL AS TIMESTAMP_NTZ) AS last_start_ts")
+            else:
+                rows = rows.join(known, ["metadata_id", "source_table"], "left")
+            pg.record_progress(rows, progress_path, recorded_at, key, options.start, options.end)
+
+        if progress is not None and options.incremental:
+            readings = _fresh_readings(inputs, options, progress)
+        else:
+            readings = inputs.readings(options.start, options.end)
+        judged = qa.with_point_flag(
+            judged_readings(readings, entities, options, small, entities if small else None)
+        )
+        seen = Observation()
+        observed = judged.observe(
+            seen,
+            F.coalesce(F.sum("n_short"), F.lit(0)).alias("short_term_records"),
+            F.coalesce(F.sum("n_long"), F.lit(0)).alias("long_term_records"),
+            F.expr("count_if(status <> 'invalid')").alias("valid_records"),
+            F.expr("count_if(status = 'corrected')").alias("data_corrections"),
+            F.expr("count_if(has_point)").alias("total_points"),
+            F.expr(f"count_if(start_ts <> {floor_second('start_ts')})").alias("between_seconds"),
+        )
+        if options.dry_run:
+            observed.write.format("noop").mode("overwrite").save()
+        else:
+            note(pg.RUNNING, tuple(t for t in (SHORT_TERM, LONG_TERM) if t not in written))
+            try:
+                to_stage = observed.select(*_STAGED)
+                to_stage.write.partitionBy("table_rank").parquet(staged_at)
+                # Without readings there is no file to take the schema from.
+                staged = spark.read.schema(to_stage.schema).parquet(staged_at)
+                last = None
+                for store, table, rank in ((recent, SHORT_TERM, 0), (historical, LONG_TERM, 1)):
+                    found = _marks_of(staged, rank).withColumn("source_table", F.lit(table))
+                    last = found if last is None else last.unionByName(found)
+                    if table in written:
+                        continue
+                    points = pt.build_points(staged.filter(F.col("table_rank") == rank), keep=("start_ts",))
+                    if seen.get["between_seconds"]:
+                        # Only readings between whole seconds can meet in one point; the later
+                        # one stays.
+                        points = newest_per_point(points, "start_ts")
+                    store.replace(points, staged=True)
+                    note(pg.COMPLETED, (table,))
+            except Exception:
+                note(pg.FAILED, tuple(t for t in (SHORT_TERM, LONG_TERM) if t not in written))
+                raise
+            note(pg.EXPORTED, (SHORT_TERM, LONG_TERM), last)
+            if progress is not None:
+                # Entities that an earlier attempt had completed end with this run as well.
+                before = open_rows.filter(F.col("status") == pg.COMPLETED)
+                ended = before.withColumn("status", F.lit(pg.EXPORTED))
+                with scratch(spark, "ended") as path:  # the table is appended to while it is read
+                    ended.write.parquet(path)
+                    rows = spark.read.schema(ended.schema).parquet(path)
+                    rows = rows.join(entities, rows["metadata_id"] == entities["id"], "left_anti")
+                    pg.record_progress(rows, progress_path, recorded_at, key, options.start, options.end)
+        counters = {name: int(value) for name, value in seen.get.items()}
+        counters["entities_processed"] = entities.count()
     del counters["between_seconds"]
     counters["total_records"] = counters["short_term_records"] + counters["long_term_records"]
     counters["data_quality_issues"] = counters["total_records"] - counters["valid_records"]
     return counters
+
+
+def _known_marks(
+    progress: DataFrame | None, options: ExportOptions, last: DataFrame | None
+) -> DataFrame | None:
+    """Marks after a run: the old ones, moved on by what the run covered."""
+    old = None if progress is None else pg.marks(progress)
+    if last is None or (options.start is not None and not options.incremental):
+        return old
+    new = last.select("metadata_id", "source_table", "last_start_ts")
+    both = new if old is None else old.unionByName(new)
+    return both.groupBy("metadata_id", "source_table").agg(F.max("last_start_ts").alias("last_start_ts"))

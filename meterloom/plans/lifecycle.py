@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from meterloom.functions.time import days_before
 from meterloom.operators.rollup import RULES, rollup
 from meterloom.rules import Lifecycle, RollupRules
@@ -14,13 +16,24 @@ def roll_up_slice(
     now: str,
     lifecycle: Lifecycle = Lifecycle(),
     rules: RollupRules = RULES,
-) -> None:
-    """Hourly points of the slice aged 30 to 31 days, replaced by key in the historical store,
-    so a repeated run changes nothing. A point that arrives while its hour is still inside
-    the slice is picked up by the next run; later it is ignored."""
-    start = days_before(now, lifecycle.rollup_from_days)
-    end = days_before(now, lifecycle.rollup_until_days)
+) -> str:
+    """Hourly points of what aged past 30 days, replaced by key in the historical store, so a
+    repeated run changes nothing. Returns the end of the last hour rolled up.
+
+    A run covers the slice aged 30 to 31 days, and everything from the end of the last run on, or
+    from the start of the store for the first one: no stop of the scheduler leaves an hour out. A
+    point that arrives while its hour is still inside the slice is picked up by the next run;
+    later it is ignored."""
+    until = datetime.fromisoformat(days_before(now, lifecycle.rollup_until_days))
+    end = str(until.replace(minute=0, second=0, microsecond=0))
+    slice_start = datetime.fromisoformat(days_before(now, lifecycle.rollup_from_days))
+    slice_start = str(slice_start.replace(minute=0, second=0, microsecond=0))
+    mark = historical.mark()
+    start = None if mark is None else min(mark, slice_start)
     historical.replace(rollup(recent.read(start, end), rules))
+    reached = end if mark is None else max(mark, end)
+    historical.set_mark(reached)
+    return reached
 
 
 def maintain(
@@ -30,7 +43,7 @@ def maintain(
     lifecycle: Lifecycle = Lifecycle(),
     rules: RollupRules = RULES,
 ) -> None:
-    """One scheduled run."""
-    roll_up_slice(recent, historical, now, lifecycle, rules)
-    recent.expire(now)
+    """One scheduled run. Recent points expire only up to where they have been rolled up."""
+    reached = roll_up_slice(recent, historical, now, lifecycle, rules)
+    recent.expire(now, not_after=reached)
     historical.expire(now)

@@ -3,6 +3,10 @@ Spark plans: window numbering instead of aggregates, one branch per rule instead
 
 from __future__ import annotations
 
+import re
+from collections import Counter
+from collections.abc import Iterable
+
 # Each fragment may use those above it.
 _FRAGMENTS = {
     "meta": """
@@ -114,17 +118,16 @@ _FRAGMENTS = {
           ('%', 0, 100), ('V', 0, 500), ('A', 0, 1000), ('kB/s', 0, 1000000), ('MB/s', 0, 1000),
           ('GB', 0, 10000), ('MB', 0, 10000000), ('hPa', 800, 1200), ('bar', 0.8, 1.2))
           AS t(limit_unit, low, high)""",
-    "numbered": """
-        SELECT r.*, row_number() OVER (PARTITION BY r.metadata_id, r.start_ts
-            ORDER BY r.table_rank, r.id) AS copy
-        FROM readings r JOIN entities e ON r.metadata_id = e.id""",
     "first_readings": """
-        SELECT n.*, e.statistic_id, e.unit_of_measurement, e.category, c.n_short, c.n_long
-        FROM numbered n JOIN entities e ON n.metadata_id = e.id
-        JOIN (SELECT metadata_id, start_ts, count(*) FILTER (WHERE table_rank = 0) AS n_short,
-                count(*) FILTER (WHERE table_rank = 1) AS n_long
-              FROM readings GROUP BY metadata_id, start_ts) c
-          ON n.metadata_id = c.metadata_id AND n.start_ts = c.start_ts
+        SELECT * FROM (
+          SELECT r.*, e.statistic_id, e.unit_of_measurement, e.category,
+            row_number() OVER (PARTITION BY r.metadata_id, r.start_ts
+              ORDER BY r.table_rank, r.id) AS copy,
+            count(*) FILTER (WHERE r.table_rank = 0)
+              OVER (PARTITION BY r.metadata_id, r.start_ts) AS n_short,
+            count(*) FILTER (WHERE r.table_rank = 1)
+              OVER (PARTITION BY r.metadata_id, r.start_ts) AS n_long
+          FROM readings r JOIN entities e ON r.metadata_id = e.id)
         WHERE copy = 1""",
     # One row per (first reading, field) with its issues; `hard` values take part in nothing else.
     "fields": """
@@ -183,7 +186,18 @@ _FRAGMENTS = {
             WHEN 'energy_negative' THEN 'Negative values (invalid for type)'
             WHEN 'sentinel_low' THEN 'Error sentinel values'
             WHEN 'sentinel_high' THEN 'Error sentinel values'
-            ELSE 'Other validation issues' END AS issue_category, limit_value
+            ELSE 'Other validation issues' END AS issue_category, limit_value,
+          CASE code WHEN 'nan' THEN 'Value is NaN' WHEN 'infinite' THEN 'Value is infinite'
+            WHEN 'sentinel_low' THEN 'Value appears to be error sentinel (-999999)'
+            WHEN 'sentinel_high' THEN 'Value appears to be error sentinel (999999)'
+            WHEN 'below_minimum' THEN 'Value # below minimum # for unit ' || unit_of_measurement
+            WHEN 'above_maximum' THEN 'Value # above maximum # for unit ' || unit_of_measurement
+            WHEN 'energy_negative' THEN 'Energy value cannot be negative'
+            WHEN 'energy_high' THEN 'Energy value seems unrealistically high'
+            WHEN 'power_high' THEN 'Power value seems unrealistically high'
+            WHEN 'percentage_range' THEN 'Percentage value outside reasonable range'
+            WHEN 'temperature_range' THEN 'Temperature value outside physically reasonable range'
+          END AS message
         FROM (
           SELECT *, CASE WHEN isnan(x) THEN 'nan' WHEN isinf(x) THEN 'infinite'
               WHEN x < 0 THEN 'sentinel_low' ELSE 'sentinel_high' END AS code,
@@ -401,6 +415,9 @@ _QUERIES = {
         SELECT {_BARE_READING} FROM readings
         WHERE start_ts >= TIMESTAMP '2024-01-10' AND start_ts < TIMESTAMP '2024-01-20'
           AND {_CHOSEN}""",
+    "readings_epoch_scan": f"""
+        SELECT {_BARE_READING} FROM readings
+        WHERE start_ts >= TIMESTAMP '2024-01-05' AND start_ts < TIMESTAMP '2024-01-25'""",
     "readings_count": f"""
         SELECT table_rank, count(*) AS n_readings, 'all' AS scope FROM readings GROUP BY 1
         UNION ALL
@@ -447,17 +464,20 @@ _QUERIES = {
                 sum(n_issues) AS issues, sum(nulled) AS nulled
               FROM judged GROUP BY 1) USING (table_rank)""",
     "issue_details": """
-        SELECT metadata_id, start_ts, field, code, issue_category, limit_value FROM issue_rows""",
+        SELECT metadata_id, start_ts, field, code, issue_category, limit_value, message
+        FROM issue_rows""",
     "issue_breakdown": """
         SELECT issue_category, count(*) AS n_issues, count(DISTINCT statistic_id) AS n_entities
         FROM issue_rows GROUP BY 1""",
     "issue_entity_samples": _sampled(
         "issue_category", "SELECT DISTINCT issue_category, statistic_id FROM issue_rows", "statistic_id"
     ),
-    "issue_sample": _sample_report(
+    "issue_sample": _issue_types("raw_issues"),
+    "issue_sample_unfiltered": _issue_types("raw_issues"),
+    "issue_sample_first_5000": _sample_report(
         f"{_first_5000('short_term', _CHOSEN)} UNION ALL {_first_5000('long_term', _CHOSEN)}"
     ),
-    "issue_sample_unfiltered": _sample_report(
+    "issue_sample_unfiltered_first_5000": _sample_report(
         f"{_first_5000('short_term', 'true')} UNION ALL {_first_5000('long_term', 'true')}"
     ),
     "validation_report": _issue_types("raw_issues"),
@@ -549,13 +569,22 @@ _QUERIES = {
             'A','V','mA','mV','lux','ppm','dB','rpm','kB/s','MB/s')
         GROUP BY 1""",
     "lifecycle_flow": f"""
-        WITH rolled AS ({_rollup("recent", "ts >= TIMESTAMP '2024-01-15' AND ts < TIMESTAMP '2024-01-16'")})
+        WITH rolled AS ({_rollup("recent", "ts < TIMESTAMP '2024-01-16'")})
         SELECT 'recent' AS store, {_SERIES}, round(value, 6) AS value, ts FROM recent
         WHERE ts >= TIMESTAMP '2024-01-11'
         UNION ALL SELECT 'historical', {_SERIES}, value, ts FROM rolled
         UNION ALL SELECT 'historical', {_SERIES}, round(value, 6), ts FROM historical h
         WHERE NOT EXISTS (SELECT 1 FROM rolled r WHERE r.ts = h.ts
           AND r.entity_id = h.entity_id AND r.domain = h.domain AND r.measurement = h.measurement)""",
+    "lifecycle_catch_up": f"""
+        WITH rolled AS ({_rollup("recent", "ts < TIMESTAMP '2024-03-21'")})
+        SELECT 'recent' AS store, {_SERIES}, round(value, 6) AS value, ts FROM recent
+        WHERE ts >= TIMESTAMP '2024-01-21'
+        UNION ALL SELECT 'historical', {_SERIES}, value, ts FROM rolled
+        UNION ALL SELECT 'historical', {_SERIES}, round(value, 6), ts FROM historical h
+        WHERE NOT EXISTS (SELECT 1 FROM rolled r WHERE r.ts = h.ts
+          AND r.entity_id = h.entity_id AND r.domain = h.domain AND r.measurement = h.measurement)""",
+    "export_resumed": f"SELECT store, {_SERIES}, round(value, 6) AS value, ts FROM points",
     # The watermark closes the hours that end an hour or more before the latest point.
     "rollup_stream": f"""
         SELECT * FROM ({_rollup("recent")})
@@ -579,10 +608,9 @@ _QUERIES = {
           max(ts) AS last_ts, arg_max(value, ts) AS last_value
         FROM historical GROUP BY {_SERIES}""",
     "store_sample_size": f"""
-        SELECT count(*) AS sample_points FROM (
+        SELECT count(*) AS all_points, count(*) FILTER (WHERE n <= 1000) AS sample_points FROM (
           SELECT row_number() OVER (PARTITION BY {_SERIES} ORDER BY ts) AS n FROM recent
-          WHERE ts >= TIMESTAMP '2024-01-24' AND ts < TIMESTAMP '2024-01-31')
-        WHERE n <= 1000""",
+          WHERE ts >= TIMESTAMP '2024-01-24' AND ts < TIMESTAMP '2024-01-31')""",
     "store_series_limit": f"""
         SELECT {_SERIES}, value, ts FROM (
           SELECT *, row_number() OVER (PARTITION BY {_SERIES} ORDER BY ts) AS n FROM historical)
@@ -604,7 +632,13 @@ _QUERIES = {
             AS n_after
         FROM mixed""",
     "unified_timeline": f"""
-        WITH hist AS ({_rollup("recent")})
+        WITH rolled AS ({_rollup("recent")}),
+        hist AS (
+          SELECT {_SERIES}, ts, value FROM rolled
+          UNION ALL
+          SELECT {_SERIES}, ts, round(value, 6) FROM historical h WHERE NOT EXISTS (
+            SELECT 1 FROM rolled r WHERE r.ts = h.ts AND r.entity_id = h.entity_id
+              AND r.domain = h.domain AND r.measurement = h.measurement))
         SELECT {_SERIES}, ts, round(value, 6) AS value FROM recent
         UNION ALL
         SELECT {_SERIES}, ts, value FROM hist h WHERE NOT EXISTS (
@@ -629,18 +663,34 @@ _RESTRICTED = {
         _EXPORTED,
         """SELECT r.* FROM (SELECT * FROM short_term UNION ALL SELECT * FROM long_term) r
            LEFT JOIN progress p ON r.metadata_id = p.metadata_id AND r.table_rank = p.table_rank
-           WHERE p.last_start_ts IS NULL OR r.start_ts > p.last_start_ts""",
+           WHERE p.last_start_ts IS NULL
+             OR r.start_ts > least(p.last_start_ts, TIMESTAMP '2024-01-20')""",
     ),
 }
 
 
+def _uses(sql: str, names: Iterable[str]) -> Counter[str]:
+    words = Counter(re.findall(r"\w+", sql))
+    return Counter({n: words[n] for n in names if words[n]})
+
+
 def _with_fragments(statement: str, overrides: dict[str, str] | None = None) -> str:
+    """The statement with the fragments that it needs; those read more than once are computed
+    once."""
     fragments = dict(_FRAGMENTS)
     if overrides:
         fragments["progress"] = fragments.pop("progress")
         ordered = {"progress": fragments["progress"], **fragments}
         fragments = {**ordered, **overrides}
-    parts = ", ".join(f"{name} AS ({sql})" for name, sql in fragments.items())
+    uses = _uses(statement, fragments)
+    for name in reversed(fragments):
+        if uses[name]:
+            uses.update(_uses(fragments[name], fragments))
+    parts = ", ".join(
+        f"{name} AS {'MATERIALIZED ' if uses[name] > 1 else ''}({sql})"
+        for name, sql in fragments.items()
+        if uses[name]
+    )
     return f"WITH {parts} SELECT * FROM ({statement})"
 
 

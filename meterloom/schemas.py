@@ -68,6 +68,10 @@ PROGRESS = _struct(
     ("status", T.StringType()),
     ("last_start_ts", T.TimestampNTZType()),
     ("recorded_at", T.TimestampNTZType()),
+    # The export that wrote the row, and the range of readings that it covers.
+    ("export_id", T.StringType()),
+    ("covered_from", T.TimestampNTZType()),
+    ("covered_until", T.TimestampNTZType()),
 )
 
 SHORT_TERM = "statistics_short_term"

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterloom.functions.sql import lit
+from meterloom.functions.time import in_range, ntz
 from meterloom.schemas import LONG_TERM, SHORT_TERM
 from meterloom.sources.tables import Inputs, working_readings
 
@@ -85,13 +86,39 @@ def short_term_of(events: DataFrame) -> DataFrame:
     return working_readings(raw, SHORT_TERM)
 
 
-def short_term(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return short_term_of(table(spark, sf_dir, "events"))
-
-
-def long_term(spark: SparkSession, sf_dir: str) -> DataFrame:
+def short_term(
+    spark: SparkSession, sf_dir: str, start: str | None = None, end: str | None = None
+) -> DataFrame:
+    """A range is implied on the raw time with room for the slot and the shifted rows, so that
+    it reaches the scan, and holds exactly on the derived one."""
+    events = table(spark, sf_dir, "events")
+    if start is not None:
+        # A slot starts before its event, and shifted rows lie ten years earlier.
+        events = events.filter(f"ts >= {ntz(start)}")
+    if end is not None:
+        late = f"{ntz(end)} + INTERVAL 5 MINUTES"
+        events = events.filter(f"ts < {late} + INTERVAL 10 YEARS")
+        events = events.filter(f"ts < {late} OR event_id % 113 = 0")
+    return short_term_of(events).filter(in_range("start_ts", start, end))
+
+
+def long_term(
+    spark: SparkSession, sf_dir: str, start: str | None = None, end: str | None = None
+) -> DataFrame:
+    events, lines = table(spark, sf_dir, "events"), table(spark, sf_dir, "lineitem")
+    if start is not None:
+        # Hours are kept whole: an event belongs to the hour that starts at most an hour before.
+        events = events.filter(f"ts >= {ntz(start)}")
+        lines = lines.filter(f"l_shipdate >= {ntz(start)} - INTERVAL 24 YEAR")
+    if end is not None:
+        events = events.filter(f"ts < {ntz(end)} + INTERVAL 1 HOUR")
+        lines = lines.filter(f"l_shipdate <= {ntz(end)} - INTERVAL 24 YEAR + INTERVAL 1 DAY")
+    return _long_term_of(events, lines).filter(in_range("start_ts", start, end))
+
+
+def _long_term_of(events: DataFrame, lines: DataFrame) -> DataFrame:
     hourly = (
-        table(spark, sf_dir, "events")
+        events
         .groupBy("user_id", F.window("ts", "1 hour").alias("hour"))
         .agg(
             F.min("event_id").alias("first_event"),
@@ -110,7 +137,7 @@ def long_term(spark: SparkSession, sf_dir: str) -> DataFrame:
         max="highest",
     )
     from_lines = _raw(
-        table(spark, sf_dir, "lineitem"),
+        lines,
         id="2000000000 + l_orderkey * 10 + l_linenumber",
         metadata_id="l_partkey",
         start_ts="l_shipdate + INTERVAL 24 YEAR",
@@ -157,4 +184,7 @@ def inputs(spark: SparkSession, sf_dir: str) -> Inputs:
         short_term=short_term(spark, sf_dir),
         long_term=long_term(spark, sf_dir),
         attributes=attribute_tables(spark, sf_dir),
+        scan=lambda name, start, end: (short_term if name == SHORT_TERM else long_term)(
+            spark, sf_dir, start, end
+        ),
     )

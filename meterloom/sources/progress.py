@@ -1,4 +1,8 @@
-"""Export progress: an append-only table, read as the latest row per (entity, table)."""
+"""Export progress: an append-only table, read as the latest row per (entity, table).
+
+A run writes `running` rows when it starts, `completed` rows for a table once its store is written,
+`failed` rows on an error, and `exported` rows when both stores are complete. Only the rows of an
+export that has not ended count for resuming: a finished export hides nothing from later runs."""
 
 from __future__ import annotations
 
@@ -10,34 +14,69 @@ from meterloom.functions.time import ntz
 from meterloom.operators.sizing import maybe_broadcast
 from meterloom.schemas import LONG_TERM, PROGRESS, SHORT_TERM
 
+RUNNING, COMPLETED, FAILED, EXPORTED = "running", "completed", "failed", "exported"
 _RANK_OF = f"CASE source_table WHEN {lit(SHORT_TERM)} THEN 0 WHEN {lit(LONG_TERM)} THEN 1 END"
-_TABLE_OF = f"CASE table_rank WHEN 0 THEN {lit(SHORT_TERM)} ELSE {lit(LONG_TERM)} END"
+_REST = ("status", "last_start_ts", "export_id", "covered_from", "covered_until")
 
 
-def record_progress(rows: DataFrame, path: str, recorded_at: str) -> None:
+def record_progress(
+    rows: DataFrame,
+    path: str,
+    recorded_at: str,
+    export_id: str | None = None,
+    covered_from: str | None = None,
+    covered_until: str | None = None,
+) -> None:
     """Append rows of (metadata_id, source_table, status, last_start_ts)."""
-    stamped = rows.selectExpr("*", f"{ntz(recorded_at)} AS recorded_at").select(*PROGRESS.names)
-    stamped.write.mode("append").parquet(path)
+
+    def time(value: str | None) -> str:
+        return "CAST(NULL AS TIMESTAMP_NTZ)" if value is None else ntz(value)
+
+    stamped = rows.selectExpr(
+        "metadata_id",
+        "source_table",
+        "status",
+        "last_start_ts",
+        f"{ntz(recorded_at)} AS recorded_at",
+        f"CAST({lit(export_id)} AS STRING) AS export_id",
+        f"{time(covered_from)} AS covered_from",
+        f"{time(covered_until)} AS covered_until",
+    )
+    stamped.select(*PROGRESS.names).write.mode("append").parquet(path)
 
 
 def read_progress(spark: SparkSession, path: str) -> DataFrame:
     return latest_progress(spark.read.schema(PROGRESS).parquet(path))
 
 
+def _stage(status: str) -> str:
+    """Order of the rows that one run writes at one instant."""
+    order = (RUNNING, FAILED, COMPLETED, EXPORTED)
+    return f"array_position(array({', '.join(map(lit, order))}), {status})"
+
+
 def latest_progress(progress: DataFrame) -> DataFrame:
-    """The newest row per entity and table; of two rows of one instant, the further one."""
-    row = "struct(status, last_start_ts, recorded_at)"
-    newest = F.expr(f"max_by({row}, struct(recorded_at, last_start_ts))").alias("row")
+    """The newest row per entity and table; of two rows of one instant, the later stage, then the
+    further one."""
+    row = f"struct({', '.join((*_REST, 'recorded_at'))})"
+    order = f"struct(recorded_at, {_stage('status')} AS stage, last_start_ts)"
+    newest = F.expr(f"max_by({row}, {order})").alias("row")
     return (
         progress.groupBy("metadata_id", "source_table")
         .agg(newest)
-        .select("metadata_id", "source_table", "row.*")
-    )
+        .selectExpr("metadata_id", "source_table", "row.status", "row.last_start_ts",
+                    "row.recorded_at", "row.export_id", "row.covered_from", "row.covered_until")
+    )
+
+
+def unfinished(progress: DataFrame, export_id: str) -> DataFrame:
+    """The rows of one export that has started and not ended."""
+    return progress.filter((F.col("export_id") == export_id) & (F.col("status") != EXPORTED))
 
 
 def completed(progress: DataFrame, tables: tuple[str, ...]) -> DataFrame:
     """Entities finished in all the tables."""
-    done = progress.filter((F.col("status") == "completed") & F.col("source_table").isin(*tables))
+    done = progress.filter((F.col("status") == COMPLETED) & F.col("source_table").isin(*tables))
     return (
         done.groupBy("metadata_id")
         .agg(F.count_distinct("source_table").alias("n"))
@@ -51,24 +90,21 @@ def remaining(entities: DataFrame, done: DataFrame) -> DataFrame:
     return entities.join(done, "id", "left_anti")
 
 
+def marks(progress: DataFrame) -> DataFrame:
+    """Where incremental exports go on, per entity and table. A time later than its recording
+    came from the future and must not hide what arrives until then."""
+    return progress.filter("last_start_ts IS NOT NULL").selectExpr(
+        "metadata_id",
+        "source_table",
+        "least(last_start_ts, recorded_at) AS last_start_ts",
+    )
+
+
 def newer_than_progress(
     readings: DataFrame, progress: DataFrame, small: bool = False
 ) -> DataFrame:
     """Incremental export: readings after the last exported time of their entity and table;
     an entity without progress contributes all of its readings."""
-    last = progress.selectExpr("metadata_id", f"{_RANK_OF} AS table_rank", "last_start_ts")
+    last = marks(progress).selectExpr("metadata_id", f"{_RANK_OF} AS table_rank", "last_start_ts")
     joined = readings.join(maybe_broadcast(last, small), ["metadata_id", "table_rank"], "left")
     return joined.filter("last_start_ts IS NULL OR start_ts > last_start_ts").drop("last_start_ts")
-
-
-def progress_of(exported: DataFrame) -> DataFrame:
-    """Progress after a finished export: the last time per entity and table."""
-    last = exported.groupBy("metadata_id", "table_rank").agg(
-        F.max("start_ts").alias("last_start_ts")
-    )
-    return last.selectExpr(
-        "metadata_id",
-        f"{_TABLE_OF} AS source_table",
-        "'completed' AS status",
-        "last_start_ts",
-    )

@@ -1,14 +1,16 @@
 """A point store: Parquet partitioned by period (day or month of the point time), each file
 sorted by series and time, so that ranges prune directories and tags prune row groups.
 
-Writes replace points by (series, ts). Spark cannot overwrite files it is reading, so changed
-periods are first written to the scratch folder and then put in place by dynamic partition
-overwrite. That step is not transactional; every operation can be repeated after a failure,
-because replacing by key and deleting by predicate give the same store again."""
+Writes replace points by (series, ts). New content is written once, by dynamic partition
+overwrite: Spark reads the old files of the touched periods, writes beside them, and puts the new
+directories in place when all tasks have finished. That last step is not transactional; every
+operation can be repeated after a failure, because replacing by key and deleting by predicate give
+the same store again."""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,9 +21,10 @@ from meterloom.functions.time import days_before, in_range, ntz
 from meterloom.operators.sizing import is_small, maybe_broadcast
 from meterloom.operators.timeline import MIGRATED
 from meterloom.schemas import POINT, SERIES
-from meterloom.sources.scratch import scratch_path
+from meterloom.sources.scratch import scratch
 
 _STORED = T.StructType(POINT.fields + [T.StructField("period", T.DateType(), True)])
+_MARK = "until STRING"
 _PERIODS = {"day": "to_date({})", "month": "to_date({}) - (day({}) - 1)"}
 
 
@@ -85,30 +88,27 @@ class PointStore:
             .parquet(path)
         )
 
-    def _aside(self, rows: DataFrame) -> DataFrame:
-        """Rows written to the scratch folder, without period directories, and read back."""
-        path = scratch_path(self.spark, "aside")
-        rows.select(*_STORED.names).write.parquet(path)
-        return self.spark.read.schema(_STORED).parquet(path)
-
-    def _put_in_place(self, rows: DataFrame) -> DataFrame:
-        """Write the new content of some periods aside, then over the old."""
-        content = self._aside(rows)
-        self._write(content, self.path)
-        return content
-
-    def replace(self, points: DataFrame) -> None:
-        """Upsert by (series, ts). The points must be unique by that key, as exports and
-        rollups are. Only periods that receive points are read and rewritten."""
+    def replace(self, points: DataFrame, staged: bool = False) -> None:
+        """Upsert by (series, ts). The points must be unique by that key, as exports and rollups
+        are. Only periods that receive points are read and rewritten; the first write of a store
+        and periods that are new to it meet no stored point. `staged` says that the points are
+        read from files already; otherwise they are written aside first, because they are looked
+        at twice and may come from this very store."""
         incoming = points.selectExpr(*POINT.names, f"{self._period_of('ts')} AS period")
         if not self.exists():
             self._write(incoming, self.path)
-            return
-        staged = self._aside(incoming)
-        touched = staged.select("period").distinct()
+        elif staged:
+            self._merge(incoming)
+        else:
+            with scratch(self.spark, "incoming") as path:
+                incoming.write.parquet(path)
+                self._merge(self.spark.read.schema(_STORED).parquet(path))
+
+    def _merge(self, incoming: DataFrame) -> None:
+        touched = incoming.select("period").distinct()
         stored = self._in_periods(self._stored(), touched)
-        kept = stored.join(staged, _same_point(stored, staged), "left_anti")
-        self._put_in_place(kept.unionByName(staged))
+        kept = stored.join(incoming, _same_point(stored, incoming), "left_anti")
+        self._write(kept.unionByName(incoming), self.path)
 
     def _in_periods(self, rows: DataFrame, periods: DataFrame) -> DataFrame:
         """Periods are few next to points, which is checked; the join then prunes directories."""
@@ -117,26 +117,47 @@ class PointStore:
         )
 
     def delete(self, predicate: str = MIGRATED, within: str = "true") -> None:
-        """Remove the points that match; a null outcome keeps the point. `within` narrows the
-        periods looked at."""
-        hit = holds(predicate)
-        stored = self._stored().filter(within)
-        touched_at = scratch_path(self.spark, "touched")
-        stored.filter(hit).select("period").distinct().write.parquet(touched_at)
-        touched = self.spark.read.parquet(touched_at)
-        content = self._put_in_place(self._in_periods(stored, touched).filter(f"NOT {hit}"))
-        self._drop_periods(touched.join(content.select("period").distinct(), "period", "left_anti"))
-
-    def expire(self, now: str) -> None:
+        """Remove the points that match both conditions; a null outcome keeps the point. All other
+        points of a touched period stay. `within` is meant for conditions on the period, which
+        narrow the directories looked at."""
+        hit = f"({holds(predicate)} AND {holds(within)})"
+        with scratch(self.spark, "touched") as path:
+            self._stored().filter(within).filter(hit).select("period").distinct().write.parquet(path)
+            touched = self.spark.read.parquet(path)
+            self._write(self._in_periods(self._stored(), touched).filter(f"NOT {hit}"), self.path)
+            # Periods with nothing left were not overwritten, so they still hold what matched.
+            left = self._in_periods(self._stored(), touched).filter(hit)
+            self._drop_periods(left.select("period").distinct())
+
+    def expire(self, now: str, not_after: str | None = None) -> None:
         """Apply the retention: whole periods are dropped as directories without being read,
-        the period of the limit is rewritten. Zero days keeps everything."""
+        the period of the limit is rewritten. Zero days keeps everything, and so does a limit
+        later than not_after for the points from there on."""
         if self.retention_days == 0 or not self.exists():
             return
-        limit = ntz(days_before(now, self.retention_days))
+        until = days_before(now, self.retention_days)
+        if not_after is not None:
+            until = str(min(datetime.fromisoformat(until), datetime.fromisoformat(not_after)))
+        limit = ntz(until)
         edge = self._period_of(limit)
         self._drop_periods(self._stored().filter(f"period < {edge}").select("period").distinct())
         self.delete(f"ts < {limit}", within=f"period = {edge}")
 
+    def mark(self) -> str | None:
+        """The time noted beside the store, if any: up to where it has been rolled up."""
+        fs, _ = self._fs()
+        if not fs.exists(self.spark._jvm.org.apache.hadoop.fs.Path(self._mark_path)):
+            return None
+        return self.spark.read.schema(_MARK).parquet(self._mark_path).first()["until"]
+
+    def set_mark(self, until: str) -> None:
+        row = self.spark.range(1).selectExpr(f"'{until}' AS until").coalesce(1)
+        row.write.mode("overwrite").parquet(self._mark_path)
+
+    @property
+    def _mark_path(self) -> str:
+        return f"{self.path.rstrip('/')}.mark"
+
     def _drop_periods(self, periods: DataFrame) -> None:
         """Delete period directories, walking a list of directories (not points)."""
         fs, root = self._fs()

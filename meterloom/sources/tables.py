@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterloom import schemas
-from meterloom.functions.time import epoch_of, epoch_to_ntz
+from meterloom.functions.time import epoch_of, epoch_to_ntz, in_range
 
 REQUIRED = ("statistics_meta", schemas.LONG_TERM, schemas.SHORT_TERM)
 ATTRIBUTE_TABLES = ("states_meta", "states", "state_attributes")
@@ -24,12 +24,40 @@ class Inputs:
     short_term: DataFrame
     long_term: DataFrame
     attributes: tuple[DataFrame, DataFrame, DataFrame] | None = None
+    # Reads (table, start, end) with the range pushed into the scan, where that is possible.
+    scan: Callable[[str, str | None, str | None], DataFrame] | None = None
+
+    def readings(self, start: str | None = None, end: str | None = None) -> DataFrame:
+        """Both readings tables, short-term first, within a half-open range."""
+        if self.scan is None:
+            both = self.short_term.unionByName(self.long_term)
+        else:
+            tables = (schemas.SHORT_TERM, schemas.LONG_TERM)
+            short_term, long_term = (self.scan(t, start, end) for t in tables)
+            both = short_term.unionByName(long_term)
+        return both.filter(in_range("start_ts", start, end))
+
+
+# Types that may stand in for a wider one.
+_WIDER = {
+    "bigint": {"bigint", "int", "smallint", "tinyint"},
+    "int": {"int", "smallint", "tinyint", "bigint"},
+    "double": {"double", "float", "bigint", "int", "smallint", "tinyint"},
+    "boolean": {"boolean", "int", "bigint", "smallint", "tinyint"},
+    "string": {"string"},
+}
 
 
 def require_columns(df: DataFrame, table: str, expected) -> DataFrame:
     missing = [c for c in expected.names if c not in df.columns]
     if missing:
         raise ValueError(f"table {table} lacks columns: {missing}")
+    for field in expected:
+        found = df.schema[field.name].dataType.simpleString()
+        accepted = _WIDER.get(field.dataType.simpleString(), {field.dataType.simpleString()})
+        if found not in accepted and not found.startswith(("decimal", "varchar", "char", "void")):
+            wanted = field.dataType.simpleString()
+            raise ValueError(f"table {table}: column {field.name} is {found}, not {wanted}")
     return df
 
 
@@ -58,9 +86,20 @@ def open_inputs(
         short_term=scan_readings(available, schemas.SHORT_TERM, start, end),
         long_term=scan_readings(available, schemas.LONG_TERM, start, end),
         attributes=attributes,
+        scan=lambda table, since, until: scan_readings(
+            available, table, _later(start, since), _earlier(end, until)
+        ),
     )
 
 
+def _later(*times: str | None) -> str | None:
+    return max((t for t in times if t is not None), key=epoch_of, default=None)
+
+
+def _earlier(*times: str | None) -> str | None:
+    return min((t for t in times if t is not None), key=epoch_of, default=None)
+
+
 def parquet_tables(spark: SparkSession, root: str) -> dict[str, Callable[[], DataFrame]]:
     """Readers for ``<root>/<table>.parquet``, for those tables that exist."""
     path = spark._jvm.org.apache.hadoop.fs.Path
@@ -73,15 +112,31 @@ def parquet_tables(spark: SparkSession, root: str) -> dict[str, Callable[[], Dat
     }
 
 
+_PARTITIONED = ("partitionColumn", "lowerBound", "upperBound", "numPartitions")
+
+
+def jdbc_options(
+    options: Mapping[str, str], per_table: Mapping[str, Mapping[str, str]], table: str
+) -> dict[str, str]:
+    """Options of one table: the common ones and its own. Fact tables must be read by several
+    tasks, so they need a partition column with bounds."""
+    merged = {**options, **per_table.get(table, {}), "dbtable": table}
+    missing = [o for o in _PARTITIONED if o not in merged]
+    if table in (*TABLE_RANK, "states") and missing:
+        raise ValueError(f"table {table} would be read by one task; it lacks {missing}")
+    return merged
+
+
 def jdbc_tables(
-    spark: SparkSession, options: Mapping[str, str], names: tuple[str, ...]
+    spark: SparkSession,
+    options: Mapping[str, str],
+    names: tuple[str, ...],
+    per_table: Mapping[str, Mapping[str, str]] | None = None,
 ) -> dict[str, Callable[[], DataFrame]]:
-    """Readers over JDBC. Put partitionColumn, lowerBound, upperBound and numPartitions into
-    the options so that a large table is read in parallel."""
-    return {
-        t: (lambda t=t: spark.read.format("jdbc").options(**options, dbtable=t).load())
-        for t in names
-    }
+    """Readers over JDBC. `options` holds for all tables (url, driver, user); `per_table` holds
+    partitionColumn, lowerBound, upperBound and numPartitions, which differ by table."""
+    every = {t: jdbc_options(options, per_table or {}, t) for t in names}
+    return {t: (lambda o=o: spark.read.format("jdbc").options(**o).load()) for t, o in every.items()}
 
 
 def scan_readings(

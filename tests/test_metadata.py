@@ -45,8 +45,8 @@ def attributes(spark):
 def test_full_mode(spark):
     rows = md.enriched(meta(spark, META), attributes(spark)).collect()
     got = {r.id: r.friendly_name for r in rows}
-    # 4 is a timestamp entity, 5 has malformed JSON, 6 has no states.
-    assert got == {1: "new", 2: "high", 3: "", 5: "f", 6: "g"}
+    # 3 has only states without a time, 4 is a timestamp entity, 5 has malformed JSON, 6 has no states.
+    assert got == {1: "new", 2: "high", 3: "d", 5: "f", 6: "g"}
     assert {r.id: r.device_class for r in rows}[1] == "power"
 
 
@@ -86,3 +86,16 @@ def test_malformed_texts_are_counted(spark):
 def test_only_repeated_names_lose_the_prefix(spark):
     base = meta(spark, [(1, "weather.sensor.sensor.x_y", "recorder", "W")])
     assert md.enriched_latest(base, None).first().friendly_name == "weather.x y"
+
+
+def test_latest_attributes_are_hash_aggregates(spark):
+    for untimed in (False, True):
+        latest = md.latest_attributes(attributes(spark)[1], untimed)
+        assert "SortAggregate" not in latest._jdf.queryExecution().executedPlan().toString()
+        got = {r.metadata_id: r.attributes_id for r in latest.collect()}
+        assert (13 in got) == untimed
+
+
+def test_listed_ids_may_repeat(spark):
+    ids = spark.createDataFrame([(1,)] * 50 + [(2,), (None,), (77,)], "metadata_id long")
+    assert sorted(r.id for r in md.by_ids(meta(spark, META), ids, "metadata_id").collect()) == [1, 2]

@@ -135,7 +135,7 @@ def test_preview_of_one_entity(spark):
 
 
 def test_sample_size_caps_per_series(spark):
-    assert pf.sample_size(points(spark, SERIES_ROWS), "2024-01-02 00:00:00", per_series=2).first()[0] == 10
+    assert pf.sample_size(points(spark, SERIES_ROWS), "2024-01-02 00:00:00", per_series=2).first()["sample_points"] == 10
 
 
 def test_session_time_zone_does_not_matter(spark):

@@ -7,7 +7,9 @@ import math
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from meterloom.plans.catalogue import query_functions as queries
+from meterloom.plans.oracles import oracle_statements as oracle_sql
 
 TABLES = ("part", "events", "lineitem")
 

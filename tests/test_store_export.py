@@ -136,11 +136,158 @@ def test_export_end_to_end(spark, sf_dir):
     assert rows_of(historical.read()) == rows_of(s.historical())
     assert done["total_points"] == recent.read().count() + historical.read().count()
     again = run_export(spark, inputs, recent, historical, options, path, "2024-02-02 00:00:00")
-    # Resume: every entity is done, nothing is left to read.
-    assert again["total_records"] == 0
+    # A finished export hides nothing from a later one, and writing it again changes nothing.
+    assert again == done
     assert rows_of(recent.read()) == rows_of(s.recent())
 
 
+def _small(spark, rows, entities=((1, "sensor.a", "x", "W"),)):
+    """Inputs of hand-written readings: (id, entity, time, table rank, value)."""
+    from frames import meta, readings
+
+    from meterloom.sources.tables import Inputs
+
+    full = [(i, e, at(t), rank, v) for i, e, t, rank, v in rows]
+    tables = [readings(spark, [r for r in full if r[3] == k]) for k in (0, 1)]
+    return Inputs(meta(spark, list(entities)), *tables)
+
+
+def _stores(spark):
+    return [PointStore(spark, scratch_path(spark, n)) for n in ("r", "h")]
+
+
+def _values(stores):
+    return [sorted(r.value for r in s.read().collect()) for s in stores]
+
+
+def test_a_range_run_does_not_mark_the_rest_as_done(spark):
+    rows = [(1, 1, "2024-01-10 00:00:00", 0, 1.0), (2, 1, "2024-02-10 00:00:00", 0, 2.0)]
+    stores, path = _stores(spark), scratch_path(spark, "progress")
+    part = ExportOptions(end="2024-01-15 00:00:00")
+    run_export(spark, _small(spark, rows), *stores, part, path, "2024-03-01 00:00:00")
+    assert _values(stores) == [[1.0], []]
+    run_export(spark, _small(spark, rows), *stores, ExportOptions(), path, "2024-03-02 00:00:00")
+    assert _values(stores) == [[1.0, 2.0], []]
+    # Readings that arrive after a finished run are seen by the next.
+    rows.append((3, 1, "2024-01-20 00:00:00", 1, 3.0))
+    run_export(spark, _small(spark, rows), *stores, ExportOptions(), path, "2024-03-03 00:00:00")
+    assert _values(stores) == [[1.0, 2.0], [3.0]]
+
+
+def test_a_late_range_does_not_move_the_marks(spark):
+    rows = [(1, 1, "2024-01-10 00:00:00", 0, 1.0), (2, 1, "2024-02-10 00:00:00", 0, 2.0)]
+    stores, path = _stores(spark), scratch_path(spark, "progress")
+    late = ExportOptions(start="2024-02-01 00:00:00")
+    run_export(spark, _small(spark, rows), *stores, late, path, "2024-03-01 00:00:00")
+    assert _values(stores) == [[2.0], []]
+    incremental = ExportOptions(incremental=True)
+    run_export(spark, _small(spark, rows), *stores, incremental, path, "2024-03-02 00:00:00")
+    assert _values(stores) == [[1.0, 2.0], []]
+
+
+def test_a_reading_from_the_future_does_not_hide_the_present(spark):
+    rows = [(1, 1, "2024-01-10 00:00:00", 0, 1.0), (2, 1, "2029-12-31 00:00:00", 0, 9.0)]
+    stores, path = _stores(spark), scratch_path(spark, "progress")
+    run_export(spark, _small(spark, rows), *stores, ExportOptions(), path, "2024-01-15 00:00:00")
+    rows.append((3, 1, "2024-01-20 00:00:00", 0, 2.0))
+    options = ExportOptions(incremental=True)
+    counters = run_export(spark, _small(spark, rows), *stores, options, path, "2024-02-01 00:00:00")
+    assert _values(stores) == [[1.0, 2.0, 9.0], []]
+    assert counters["short_term_records"] == 2  # the good reading before the mark is not read again
+
+
+def test_a_new_entity_is_read_from_its_beginning(spark):
+    two = ((1, "sensor.a", "x", "W"), (2, "sensor.b", "x", "W"))
+    rows = [(1, 1, "2024-01-10 00:00:00", 0, 1.0), (2, 1, "2024-01-10 00:00:00", 1, 8.0)]
+    stores, path = _stores(spark), scratch_path(spark, "progress")
+    run_export(spark, _small(spark, rows), *stores, ExportOptions(), path, "2024-01-15 00:00:00")
+    rows += [(3, 2, "2023-05-05 00:00:00", 0, 3.0), (4, 1, "2024-01-11 00:00:00", 0, 4.0)]
+    options = ExportOptions(incremental=True)
+    run_export(spark, _small(spark, rows, two), *stores, options, path, "2024-02-01 00:00:00")
+    assert _values(stores)[0] == [1.0, 3.0, 4.0]
+
+
+def test_a_killed_run_resumes_with_the_second_store(spark, monkeypatch):
+    rows = [(1, 1, "2024-01-10 00:00:00", 0, 1.0), (2, 1, "2024-01-11 00:00:00", 1, 2.0)]
+    stores, path = _stores(spark), scratch_path(spark, "progress")
+    inputs, written, real = _small(spark, rows), [], PointStore.replace
+
+    def only_first(self, points, staged=False):
+        if self.path == stores[1].path:
+            raise RuntimeError("killed")
+        real(self, points, staged)
+
+    monkeypatch.setattr(PointStore, "replace", only_first)
+    with pytest.raises(RuntimeError):
+        run_export(spark, inputs, *stores, ExportOptions(), path, "2024-02-01 00:00:00")
+    states = {r.source_table: r.status for r in pg.read_progress(spark, path).collect()}
+    assert states == {"statistics_short_term": "completed", "statistics": "failed"}
+
+    def note(self, points, staged=False):
+        written.append(self.path)
+        real(self, points, staged)
+
+    monkeypatch.setattr(PointStore, "replace", note)
+    run_export(spark, inputs, *stores, ExportOptions(), path, "2024-02-02 00:00:00")
+    assert written == [stores[1].path]
+    assert _values(stores) == [[1.0], [2.0]]
+    states = {r.source_table: r.status for r in pg.read_progress(spark, path).collect()}
+    assert set(states.values()) == {"exported"}
+
+
+def test_progress_needs_the_time_of_recording(spark):
+    with pytest.raises(ValueError, match="recording"):
+        run_export(spark, _small(spark, []), *_stores(spark), progress_path="/tmp/none")
+
+
+def test_a_partial_deletion_keeps_the_rest_of_its_period(spark, store):
+    store.replace(points(spark, [_p("2024-01-01 01:00:00", 1.0), _p("2024-01-01 13:00:00", 2.0)]))
+    store.delete(within="ts < TIMESTAMP_NTZ '2024-01-01 12:00:00'")
+    assert [r.value for r in store.read().collect()] == [2.0]
+    store.delete("CAST(NULL AS BOOLEAN)")
+    assert store.read().count() == 1
+
+
+def test_a_skipped_month_of_maintenance_loses_nothing(spark):
+    recent = PointStore(spark, scratch_path(spark, "recent"), retention_days=90)
+    historical = PointStore(spark, scratch_path(spark, "historical"), "month")
+    days = [f"2024-01-{d:02d} 05:10:00" for d in range(1, 32)]
+    recent.replace(points(spark, [{**_p(t, float(i)), "measurement": "W"} for i, t in enumerate(days)]))
+    maintain(recent, historical, "2024-02-05 00:00:00")
+    assert historical.read().count() == 5
+    maintain(recent, historical, "2024-06-30 00:30:00")
+    assert sorted(r.value for r in historical.read().collect()) == [float(i) for i in range(31)]
+    assert recent.read().count() == 0
+
+
+def test_recent_points_wait_for_their_rollup(spark):
+    recent = PointStore(spark, scratch_path(spark, "recent"), retention_days=90)
+    recent.replace(points(spark, [_p("2024-01-01 00:00:00", 1.0), _p("2024-01-03 00:00:00", 2.0)]))
+    recent.expire("2024-12-31 00:00:00", not_after="2024-01-02 00:00:00")
+    assert [r.value for r in recent.read().collect()] == [2.0]
+
+
+def test_scratch_is_shared_and_empty_afterwards(spark):
+    from meterloom.sources.scratch import SETTING, scratch_base
+
+    with pytest.raises(ValueError, match=SETTING):
+        scratch_base(None, "spark://host:7077")
+    with pytest.raises(ValueError):
+        scratch_base("", "local-cluster[2,1,1024]")
+    assert scratch_base("hdfs:///x/", "yarn") == "hdfs:///x"
+    assert os.path.isdir(scratch_base(None, "local[4]"))
+    base = spark.conf.get(SETTING).removeprefix("file:")
+    stores = _stores(spark)
+    before = set(os.listdir(base))
+    rows = [(1, 1, "2024-01-10 00:00:00", 0, 1.0), (2, 1, "2024-01-11 00:00:00", 1, 2.0)]
+    run_export(spark, _small(spark, rows), *stores)
+    run_export(spark, _small(spark, rows), *stores)
+    stores[0].delete()
+    stores[1].expire("2030-01-01 00:00:00")
+    own = {os.path.basename(s.path) for s in stores}
+    assert set(os.listdir(base)) - before <= own
+
+
 def test_incremental_runs_add_up_to_a_full_run(spark, sf_dir):
     s, inputs = Sensors(spark, sf_dir), dt.inputs(spark, sf_dir)
     stores = [PointStore(spark, scratch_path(spark, n), "month") for n in ("r", "h")]
