@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from meterloom.functions import quality as q
 from meterloom.functions.numeric import finite_or_null, is_infinite, percent
 from meterloom.functions.sql import lit, one_of, total
+from meterloom.operators.sizing import maybe_broadcast
 from meterloom.rules import QualityRules, ScanRules
 from meterloom.schemas import FIELDS
 
@@ -90,14 +91,16 @@ def with_point_flag(validated: DataFrame) -> DataFrame:
     return validated.selectExpr("*", "time_ok AND coalesce(value, mean) IS NOT NULL AS has_point")
 
 
-def _table_metrics(validated: DataFrame) -> DataFrame:
-    """Per table, from first readings and their copy counts: one aggregate, then two rows."""
+def _table_metrics(validated: DataFrame, matched: str = "true") -> DataFrame:
+    """Per table, from first readings and their copy counts: one aggregate, then two rows. Only
+    readings for which `matched` holds count beyond the total."""
 
     def of(rank: int, copies: str) -> str:
-        mine = f"table_rank = {rank}"
+        mine = f"table_rank = {rank} AND {matched}"
         return f"""named_struct(
             'table_rank', {rank},
-            'n_matched', coalesce(sum({copies}), 0),
+            'n_total', coalesce(sum({copies}), 0),
+            'n_matched', coalesce(sum({copies}) FILTER (WHERE {matched}), 0),
             'valid_records', count_if({mine} AND status <> 'invalid'),
             'corrected_records', count_if({mine} AND status = 'corrected'),
             'n_issues', coalesce(sum(n_issues) FILTER (WHERE {mine}), 0),
@@ -108,13 +111,20 @@ def _table_metrics(validated: DataFrame) -> DataFrame:
     return wide.selectExpr("inline(array(t0, t1))")
 
 
-def processing_metrics(all_readings: DataFrame, validated: DataFrame) -> DataFrame:
-    """Counters of one run, one row per table: failures are matched but invalid (copies
-    included), skipped adds the unmatched."""
-    totals = all_readings.groupBy("table_rank").agg(F.count("*").alias("n_total"))
-    # Two rows on either side.
-    rows = _table_metrics(validated).join(F.broadcast(totals), "table_rank", "left")
-    return rows.selectExpr("*", "coalesce(n_total, 0) AS total_records").selectExpr(
+def judge_all(first: DataFrame, entities: DataFrame, small: bool = False) -> DataFrame:
+    """All first readings judged, with a flag for those whose entity survived; the metrics of a run
+    need the others as well, and one pass has both."""
+    side = entities.withColumnRenamed("id", "metadata_id").drop("source")
+    side = side.selectExpr("*", "true AS found")
+    joined = screen(first).join(maybe_broadcast(side, small), "metadata_id", "left")
+    return judge(joined.selectExpr("* EXCEPT (found)", "found IS NOT NULL AS matched"))
+
+
+def processing_metrics(judged: DataFrame) -> DataFrame:
+    """Counters of one run, one row per table, from judge_all: failures are matched but invalid
+    (copies included), skipped adds the unmatched."""
+    rows = _table_metrics(judged, "matched")
+    return rows.withColumnRenamed("n_total", "total_records").selectExpr(
         "table_rank",
         "total_records",
         "valid_records",

@@ -331,9 +331,8 @@ def readings_validated(s: Sensors) -> DataFrame:
 
 @_query
 def processing_metrics(s: Sensors) -> DataFrame:
-    return _rounded(
-        qa.processing_metrics(s.readings, s.judged(s.readings)), "success_rate"
-    )
+    judged = qa.judge_all(rd.first_readings(s.readings), s.entities, s.small)
+    return _rounded(qa.processing_metrics(judged), "success_rate")
 
 
 @_query

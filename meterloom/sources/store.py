@@ -71,10 +71,13 @@ class PointStore:
             rows = rows.filter(f"period <= {self._period_of(ntz(end))}")
         return rows.filter(in_range("ts", start, end)).select(*POINT.names)
 
-    def read_stream(self) -> DataFrame:
-        """The points as a stream: files that appear later are picked up."""
-        rows = self.spark.readStream.schema(_STORED).parquet(self.path)
-        return rows.select(*POINT.names)
+    def read_stream(self, max_files: int = 1000) -> DataFrame:
+        """The points as a stream: files that appear later are picked up, at most max_files per
+        micro-batch. Files are sorted by series, not by time, so a watermark over a store needs a
+        delay of at least one period, or points of a file that comes later in the batch order
+        fall behind it."""
+        files = self.spark.readStream.schema(_STORED).option("maxFilesPerTrigger", max_files)
+        return files.parquet(self.path).select(*POINT.names)
 
     def _write(self, rows: DataFrame, path: str) -> None:
         """Rebalance by period: AQE joins small periods into one task and splits a hot one

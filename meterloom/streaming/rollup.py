@@ -22,7 +22,9 @@ def _event_time(stream: DataFrame, column: str, delay: str) -> DataFrame:
 
 
 def first_readings_stream(readings: DataFrame, delay: str = "1 hour") -> DataFrame:
-    """The first reading per (metadata_id, start_ts) to arrive within the delay."""
+    """The first reading per (metadata_id, start_ts) to arrive within the delay. A stream cannot
+    wait for a better one: unlike in the batch form, the survivor is the first to arrive, not
+    the short-term one with the lowest id."""
     timed = _event_time(readings, "start_ts", delay)
     return timed.dropDuplicatesWithinWatermark(["metadata_id", "start_ts"]).withColumn(
         "start_ts", F.col("start_ts").cast("timestamp_ntz")

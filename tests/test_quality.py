@@ -155,7 +155,8 @@ def test_metrics_add_up(spark):
         (5, 2, at("2024-01-01 00:00:00"), 0, 5.0),  # unmatched
     ])
     checked = qa.validate(rd.match_entities(rows, one_entity(spark)))
-    got = {r.table_rank: r for r in qa.processing_metrics(rows, checked).collect()}
+    judged = qa.judge_all(rd.first_readings(rows), one_entity(spark))
+    got = {r.table_rank: r for r in qa.processing_metrics(judged).collect()}
     assert (got[0].total_records, got[0].valid_records, got[0].validation_failures,
             got[0].unmatched_records, got[0].skipped_records) == (3, 0, 2, 1, 3)
     assert (got[1].total_records, got[1].valid_records, got[1].validation_failures) == (2, 1, 1)
@@ -167,7 +168,8 @@ def test_success_rate_without_readings(spark):
     none = readings(spark, [])
     checked = qa.validate(rd.match_entities(none, one_entity(spark)))
     assert qa.run_summary(checked).first().success_rate == 100.0
-    assert {r.success_rate for r in qa.processing_metrics(none, checked).collect()} == {100.0}
+    judged = qa.judge_all(rd.first_readings(none), one_entity(spark))
+    assert {r.success_rate for r in qa.processing_metrics(judged).collect()} == {100.0}
 
 
 def test_unusual_values_guard_nan_and_missing_unit(spark):

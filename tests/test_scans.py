@@ -64,3 +64,11 @@ def test_a_hot_id_in_the_list_is_collapsed_before_the_shuffle(spark, sf_dir):
         assert df.filter("id = 3").count() == 1
     finally:
         spark.conf.set(threshold, before)
+
+
+def test_metrics_read_each_fact_table_once(spark, sf_dir):
+    df = query_functions()["processing_metrics"](spark, sf_dir)
+    plan = _plan(df)
+    # events feed both the short-term table and the hourly part of the long-term one.
+    assert plan.count("lineitem.parquet") == 1
+    assert plan.count("events.parquet") == 2
