@@ -26,7 +26,7 @@ from itertools import accumulate, combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterloom.llm.common import byte_texts, text_key
@@ -270,8 +270,13 @@ def keep_first(
     first), then the smallest text key; a row that is there several times stays once."""
     rows = rooted(spark, docs, threshold, doc_id, text, with_key=True)
     first = rows.groupBy("root").agg(F.min(F.struct("doc_id", "key")).alias("first"))
-    first = first.select(F.col("first.doc_id").alias("first_id"), F.col("first.key").alias("first_key"))
+
+    def name(column: str) -> Column:
+        """An id without null, so that the join and the last step share one exchange of texts."""
+        return F.coalesce(F.col(column).cast("string"), F.lit(""))
+
+    first = first.select(name("first.doc_id").alias("id"), F.col("first.key").alias("key"))
     row = F.struct(*[docs[c] for c in docs.columns]).alias("row")
-    keyed = docs.select(row, docs[doc_id].alias("id"), text_key(docs[text]).alias("key"))
-    same = keyed["id"].eqNullSafe(first["first_id"]) & (keyed["key"] == first["first_key"])
-    return keyed.join(first, same, "left_semi").dropDuplicates(["id", "key"]).select("row.*")
+    keyed = docs.select(row, name(doc_id).alias("id"), text_key(docs[text]).alias("key"))
+    chosen = keyed.join(first, ["id", "key"], "left_semi")
+    return chosen.dropDuplicates(["id", "key"]).select("row.*")
