@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 from urllib.parse import unquote
 
 import pyarrow as pa
@@ -11,6 +14,24 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Hand this package to the Python workers, once per application. A cluster job would do the
+    same with --py-files; workers that start elsewhere than the driver cannot import it otherwise."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parents[1]
+    path = Path(tempfile.mkdtemp(prefix="meterloom-")) / "meterloom-llm.zip"
+    with zipfile.ZipFile(path, "w") as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(path))
+    _SHIPPED.add(context.applicationId)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -38,6 +59,12 @@ def text_key(text: Column) -> Column:
     return F.unhex(F.md5(F.coalesce(text, F.lit(""))))
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path with its scheme, so that tasks find the file system that Spark would use."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return root.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(root).toString()
+
+
 def filesystem(uri: str) -> tuple[pyarrow.fs.FileSystem, str]:
     """File system and path of a folder URI, from a task or the driver."""
     if "://" not in uri and not uri.startswith("file:"):

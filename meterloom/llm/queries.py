@@ -21,7 +21,7 @@ from meterloom.llm import (
     unigram_count,
     url_filter,
 )
-from meterloom.llm.common import table
+from meterloom.llm.common import ship, table
 from meterloom.sources.scratch import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -125,4 +125,13 @@ def llm_queries() -> dict[str, Query]:
         op9_byte_bpe,
         op10_secret_scan,
     )
-    return {fn.__name__: fn for fn in operators} | {"pipeline": corpus_pipeline.run}
+
+    def shipped(fn: Query) -> Query:
+        def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship(spark)
+            return fn(spark, sf_dir)
+
+        return query
+
+    named = {fn.__name__: fn for fn in operators} | {"pipeline": corpus_pipeline.run}
+    return {name: shipped(fn) for name, fn in named.items()}

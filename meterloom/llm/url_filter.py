@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterloom.llm.common import filesystem, str_texts
+from meterloom.llm.common import filesystem, qualified, str_texts
 
 SEED = 42
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -37,6 +37,7 @@ MANIFEST = "path string, low long, high long, n long, path_lengths array<long>"
 def build_index(rules: DataFrame, folder: str, rule: str = "rule", verdict: str = "verdict") -> DataFrame:
     """Write the shards and their manifest. Spark's xxhash64 of a string is XXH64 with seed 42."""
     spark = rules.sparkSession
+    folder = qualified(spark, folder)
     fs, root = filesystem(folder)
     fs.create_dir(root, recursive=True)
     named = rules.select(F.col(rule).alias("rule"), F.col(verdict).alias("verdict"))
@@ -156,6 +157,7 @@ def judge_urls(
     pages: DataFrame, manifest: DataFrame, folder: str, page_id: str = "page_id", url: str = "url"
 ) -> DataFrame:
     """page_id, host, path, rule, verdict. The manifest has one row per shard."""
+    folder = qualified(pages.sparkSession, folder)
     listed = manifest.orderBy("low").collect()
     shards = tuple((r["path"], r["low"], r["high"]) for r in listed)
     lengths = tuple(sorted({n for r in listed for n in r["path_lengths"]}))
