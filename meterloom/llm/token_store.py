@@ -35,14 +35,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from meterloom.llm.common import filesystem, str_texts
+from meterloom.llm.common import filesystem, qualified, str_texts
 
 MAGIC = b"IDFRAME1"
 HEADER = struct.Struct("<8sIQ")
 TRAILER = struct.Struct("<QQ8s")
 INDEX = np.dtype([("id", "<i8"), ("null", "u1"), ("offset", "<u8"), ("n", "<u8")])
 MANIFEST = "part long, shard long, path string, n_docs long, n_tokens long"
-CACHE_WORDS = 500_000
+CACHE_WORDS = 900_000
 
 
 @dataclass(frozen=True)
@@ -80,14 +80,15 @@ class TextEncoder:
             self.opens[i] = token.startswith("Ġ")  # how the vocabulary writes a space
         self.words: dict[str, bytes] = {}
         self.unsafe = regex.compile(r"\s (?:\s|\Z)").search
-        self.plain = regex.compile(r"\S.*", regex.DOTALL).match
 
     def whole(self, text: str) -> np.ndarray:
         encoding = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0]
         return np.array(encoding.ids, self.kind)
 
     def _learn(self, new: list[str]) -> None:
-        plain = [w for w in new if self.plain(w)]
+        plain, other = [], []
+        for w in new:
+            (other if not w or w[0].isspace() else plain).append(w)
         for start in range(0, len(plain), 8192):
             some = plain[start : start + 8192]
             ids = self.whole(" " + " ".join(some))
@@ -100,7 +101,7 @@ class TextEncoder:
             for word, end in zip(some, ends):
                 self.words[word] = data[begin:end]
                 begin = end
-        self.words.update((w, self.whole(" " + w).tobytes()) for w in new if not self.plain(w))
+        self.words.update((w, self.whole(" " + w).tobytes()) for w in other)
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """Serialized ids of each text."""
@@ -204,6 +205,7 @@ def write_store(
     shards. Ranges of ids are the only shuffle; text hashes break ties, so that a repeated id can
     be dealt to several tasks."""
     spark = docs.sparkSession
+    folder = qualified(spark, folder)
     slim = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     dictionary = train_dictionary(slim, tokenizer, options, "doc_id", "text")
     fs, root = filesystem(folder)
@@ -293,6 +295,7 @@ class ShardReader:
 def read_documents(manifest: DataFrame, folder: str) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of every document, read from the shard files. The running
     start adds up shard totals (one small row each) and then counts within each shard."""
+    folder = qualified(manifest.sparkSession, folder)
     order = Window.orderBy("part", "shard")
     before = F.sum("n_tokens").over(order) - F.col("n_tokens")
     shards = manifest.withColumn("before", before).select("path", "before")
@@ -317,5 +320,6 @@ def read_documents(manifest: DataFrame, folder: str) -> DataFrame:
                     names=["doc_id", "start", "n_tokens", "ids_crc32"],
                 )
 
-    spread = shards.repartition(F.col("path"))
+    # A task per shard; a number that is stated is not coalesced for the rows being few.
+    spread = shards.repartition(max(1, manifest.count()), "path")
     return spread.mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
