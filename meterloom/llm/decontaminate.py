@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterloom.llm.common import text_key
+from meterloom.operators.sizing import is_small, maybe_broadcast
 from meterloom.sources.scratch import scratch_path
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -157,8 +158,13 @@ def _hits_by_text(docs: DataFrame, benchmark: DataFrame, n: int, text: str) -> D
 
 def drop_documents(docs: DataFrame, benchmark: DataFrame, n: int = 10, text: str = "text") -> DataFrame:
     """The documents without any hit, with all their columns."""
-    hits = _hits_by_text(docs, benchmark, n, text)
-    return docs.join(hits, text_key(docs[text]) == hits["key"], "left_anti")
+    spark = docs.sparkSession
+    path = scratch_path(spark, "contaminated")
+    _hits_by_text(docs, benchmark, n, text).select("key").write.parquet(path)
+    hits = spark.read.parquet(path)
+    # Few keys, which is counted, leave the texts where they are.
+    side = maybe_broadcast(hits, is_small(hits))
+    return docs.join(side, text_key(docs[text]) == hits["key"], "left_anti")
 
 
 def drop_spans(docs: DataFrame, benchmark: DataFrame, n: int = 10, text: str = "text") -> DataFrame:

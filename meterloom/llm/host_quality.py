@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterloom.llm.common import byte_texts
+from meterloom.operators.sizing import is_small, maybe_broadcast
 from meterloom.sources.scratch import scratch_path
 
 SYMBOLS = b"#*$%&|<>"
@@ -161,7 +162,9 @@ def keep_good(
     path = scratch_path(spark, "host-counts")
     document_counts(docs, rules, host, text, host).write.parquet(path)
     rejected = host_verdicts(spark.read.parquet(path), rules).filter("host_rejected")
-    rejected = rejected.select(F.col("host").alias("rejected_host"))
+    path = scratch_path(spark, "rejected-hosts")
+    rejected.select(F.col("host").alias("rejected_host")).write.parquet(path)
+    rejected = spark.read.parquet(path)
 
     def passing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -174,4 +177,6 @@ def keep_good(
 
     good = docs.mapInArrow(passing, docs.schema)
     same = good[host].eqNullSafe(rejected["rejected_host"])
-    return good.join(rejected, same, "left_anti")
+    # Few hosts, which is counted, leave the texts where they are. Otherwise both sides start at
+    # their own exchange, so the documents of a very large host can be split over tasks.
+    return good.join(maybe_broadcast(rejected, is_small(rejected)), same, "left_anti")
