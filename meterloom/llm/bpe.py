@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from meterloom.llm.common import str_texts
 
 NEVER = 1 << 40
-CACHE_WORDS = 400_000
+CACHE_WORDS = 600_000
 CACHE_PAIRS = 1_000_000
 
 
@@ -69,14 +69,24 @@ class BytePairCodec:
                 if len(parts) != 2:
                     continue  # no merge reaches it; only a whole piece can be it
                 halves[rank] = ranks[parts[0]], ranks[parts[1]]
-            self.automaton.add_word(token.decode("latin-1"), rank)
+            self.automaton.add_word(token.decode("latin-1"), (rank, len(token) - 1))
         self.automaton.make_automaton()
+        self.shorter = {rank: self._prefix(token) for token, rank in ranks.items()}
         self.right_edge = {r: self._edge(r, halves, 1) for r in self.bytes_of}
         self.left_edge = {r: self._edge(r, halves, 0) for r in self.bytes_of}
         self.pairs: dict[tuple[int, int], bool] = {}
         self.words: dict[str, tuple[int, ...]] = {}
         self.unsafe = regex.compile(r"\s (?:\s|\Z)").search
 
+    def _prefix(self, token: bytes) -> int:
+        """The longest match that is a shorter beginning of a token, -1 for a single byte."""
+        text = token.decode("latin-1")
+        for end in range(len(text) - 1, 0, -1):
+            match = self.automaton.get(text[:end], None)
+            if match is not None:
+                return match[0]
+        return -1
+
     @staticmethod
     def _edge(token: int, halves: dict[int, tuple[int, int]], side: int) -> list[tuple[int, int]]:
         """The tokens that stood at one edge of a token while it was built, each with the rank of
@@ -110,20 +120,30 @@ class BytePairCodec:
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
-        starts: list[list[int]] = [[] for _ in piece]
-        size = self.size
-        for end, rank in self.automaton.iter(piece.decode("latin-1")):
-            starts[end + 1 - size[rank]].append(rank)
+        # Matches come by their end, so the last one kept for a start is its longest.
+        longest = [-1] * len(piece)
+        for end, (rank, back) in self.automaton.iter(piece.decode("latin-1")):
+            longest[end - back] = rank
+        size, shorter, known = self.size, self.shorter, self.pairs.get
         stack: list[int] = []
         closed: set[int] = set()
-        at, compatible = 0, self.compatible
+        at = 0
         while at < len(piece):
-            for rank in reversed(starts[at]):  # longest first
+            rank = longest[at]
+            while rank >= 0:
                 end = at + size[rank]
-                if end not in closed and (not stack or compatible(stack[-1], rank)):
-                    stack.append(rank)
-                    at = end
-                    break
+                if end not in closed:
+                    if not stack:
+                        break
+                    fits = known((stack[-1], rank))
+                    if fits is None:
+                        fits = self.compatible(stack[-1], rank)
+                    if fits:
+                        break
+                rank = shorter[rank]
+            if rank >= 0:
+                stack.append(rank)
+                at = end
             else:
                 closed.add(at)
                 at -= size[stack.pop()]
