@@ -256,7 +256,11 @@ def near_duplicates(
     """doc_id, fp, component_id: the smallest id that can be reached over links."""
     rows = rooted(spark, docs, threshold, doc_id, text, with_key=False)
     least = rows.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    return rows.join(least, "root").select("doc_id", "fp", "component_id")
+    # A key of its own: both sides of the join then start at their own exchange, and the documents
+    # of a very large component can be split over tasks.
+    least = least.select(F.bitwise_not("root").alias("flipped"), "component_id")
+    joined = rows.join(least, F.bitwise_not(rows["root"]) == least["flipped"])
+    return joined.select("doc_id", "fp", "component_id")
 
 
 def keep_first(
