@@ -133,8 +133,7 @@ def _split(seq: bytes) -> list[bytes]:
 
 def _pairs(texts: DataFrame, rules: LineRules) -> DataFrame:
     """key, order_id of a text and first_id, the id of the first document with one of its rare
-    lines. Lines are counted before they are shuffled, and the join with the counts leaves one
-    row per count, so a very common line can be split over tasks."""
+    lines. Lines are counted before they are shuffled."""
     lines = F.transform(
         F.sequence(F.lit(0), F.length("seq") - WIDTH, F.lit(WIDTH)),
         lambda at: F.substring("seq", at + 1, F.lit(WIDTH)),
@@ -147,7 +146,11 @@ def _pairs(texts: DataFrame, rules: LineRules) -> DataFrame:
         .filter("df > 1")
     )
     of_text = Window.partitionBy("key")
-    led = rows.join(shared, "line").withColumn("least", F.min("df").over(of_text))
+    # The counts get a key of their own: both sides of the join then start at their own exchange,
+    # and the rows of a very common line can be split over tasks.
+    shared = shared.select(F.substring("line", 1, WIDTH).alias("of_line"), "df", "first_id")
+    led = rows.join(shared, F.col("line") == F.col("of_line"))
+    led = led.withColumn("least", F.min("df").over(of_text))
     rare = led.filter(F.col("df") <= F.greatest(F.lit(rules.max_df), F.col("least")))
     return rare.filter("first_id <= order_id").select(*ORDER, "first_id").distinct()
 
