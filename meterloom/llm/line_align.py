@@ -1,15 +1,18 @@
 """Line de-duplication by pairwise alignment.
 
-Documents are sequences of line hashes. A line that few documents share leads each of its documents
-to the first document that has it, so a document meets at most as many partners as it has lines,
-and no group of documents is paired with itself. Each pair is aligned by patience diff: common
-beginnings and ends, then the lines unique on both sides in their longest increasing run, then the
-gaps between them. Runs of aligned lines that hold enough characters are common blocks, and the
-later document loses them.
-
-Lines are rare if at most max_df documents have them; a document whose shared lines are all more
-frequent is led by the least frequent of them, so every document that shares lines has a partner.
-Exact copies are handled before that and exactly: of documents with one text, the first keeps it
+Documents are sequences of line hashes. Their windows are the shortest runs of lines that hold
+enough characters, from each line on and up to each line; every run with enough characters is
+covered by the windows inside it. A window leads each of its documents to the first document that
+has it, however many have it, so a document meets at most two partners per line, and no group of
+documents is paired with itself. Each pair is aligned by patience diff: common beginnings and ends,
+then the lines unique on both sides in their longest increasing run, then the gaps between them.
+Runs of aligned lines that hold enough characters are common blocks; so are the windows that both
+have elsewhere (moved or repeated lines). The later document loses them. So no run of lines with
+enough characters stays that an earlier document has.
+
+With max_df, partners are chosen by single lines instead, those in at most max_df documents or the
+least frequent shared line of a document; that is less work on lines shared by very many documents,
+but blocks of such lines may stay. Exact copies are handled before that and exactly: of documents with one text, the first keeps it
 and the others lose it as one block. Documents are ordered by id (null first), then by text hash.
 
 Defined results: a null text is empty and stays null if nothing is removed; lines without a
@@ -41,9 +44,9 @@ ORDER = ("order_id", "key")
 
 @dataclass(frozen=True)
 class LineRules:
-    """A line is rare in at most max_df distinct texts; a block is removed from min_chars on."""
+    """A block is removed from min_chars on; None for max_df finds all blocks."""
 
-    max_df: int = 100
+    max_df: int | None = None
     min_chars: int = 60
 
 
@@ -112,10 +115,53 @@ def align(a: Sequence[bytes], b: Sequence[bytes]) -> list[tuple[int, int]]:
     return sorted(found)
 
 
+def windows(sizes: Sequence[int], min_chars: int) -> set[tuple[int, int]]:
+    """(start, stop) of the shortest runs with enough characters from each line on and up to each
+    line. They start and end with a word."""
+    least, found = max(1, min_chars), set()
+    stop = total = 0
+    for start, size in enumerate(sizes):
+        while stop < len(sizes) and total < least:
+            total += sizes[stop]
+            stop += 1
+        if total < least:
+            break
+        if size:
+            found.add((start, stop))
+        total -= size
+    start = total = 0
+    for stop, size in enumerate(sizes, 1):
+        total += size
+        while total - sizes[start] >= least:
+            total -= sizes[start]
+            start += 1
+        if size and total >= least:
+            found.add((start, stop))
+    return found
+
+
+def _held(a: Sequence[bytes], b: Sequence[bytes], sizes_b: Sequence[int], min_chars: int) -> set[int]:
+    """Lines of b in windows that a has anywhere."""
+    digest = xxhash.xxh3_128_digest
+    size_of, known, at = dict(zip(b, sizes_b)), set(), 0
+    while at < len(a):
+        end = at
+        while end < len(a) and a[end] in size_of:
+            end += 1
+        sizes = [size_of[x] for x in a[at:end]]
+        known |= {digest(b"\n".join(a[at + i : at + j])) for i, j in windows(sizes, min_chars)}
+        at = end + 1
+    if not known:
+        return set()
+    runs = [(i, j) for i, j in windows(sizes_b, min_chars) if digest(b"\n".join(b[i:j])) in known]
+    return {k for i, j in runs for k in range(i, j)}
+
+
 def common_blocks(
     a: Sequence[bytes], b: Sequence[bytes], sizes_b: Sequence[int], min_chars: int
 ) -> list[tuple[int, int]]:
-    """(first line, lines) in b of runs aligned with a that hold enough characters."""
+    """(first line, lines) in b of runs that a has and that hold enough characters: first those
+    that are aligned, then those that moved or repeat."""
     blocks: list[list[int]] = []
     last = (-2, -2)
     for i, j in align(a, b):
@@ -124,35 +170,76 @@ def common_blocks(
         else:
             blocks.append([j, 1])
         last = i, j
-    return [(j, n) for j, n in blocks if sum(sizes_b[j : j + n]) >= min_chars]
+    lost = {k for j, n in blocks if sum(sizes_b[j : j + n]) >= min_chars for k in range(j, j + n)}
+    runs: list[list[int]] = []
+    for k in sorted(lost | _held(a, b, sizes_b, min_chars)):
+        if runs and k == sum(runs[-1]):
+            runs[-1][1] += 1
+        else:
+            runs.append([k, 1])
+    return [(j, n) for j, n in runs]
 
 
 def _split(seq: bytes) -> list[bytes]:
     return [seq[i : i + WIDTH] for i in range(0, len(seq), WIDTH)]
 
 
-def _pairs(texts: DataFrame, rules: LineRules) -> DataFrame:
-    """key, order_id of a text and first_id, the id of the first document with one of its rare
-    lines. Lines are counted before they are shuffled."""
+def _window_rows(texts: DataFrame, min_chars: int) -> DataFrame:
+    """order_id, key of a text and line, the hash of one of its windows."""
+    digest = xxhash.xxh3_128_digest
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def made(rows: list[tuple]) -> pa.RecordBatch:
+            ids, keys, found = zip(*rows)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(ids, pa.int64()), pa.array(keys, pa.binary()), pa.array(found, pa.binary())],
+                names=[*ORDER, "line"],
+            )
+
+        rows: list[tuple] = []
+        for batch in batches:
+            for i, key, seq, sizes in zip(*(batch.column(c) for c in (*ORDER, "seq", "sizes"))):
+                i, key, seq = i.as_py(), key.as_py(), seq.as_py()
+                runs = windows(np.frombuffer(sizes.as_py(), np.int32).tolist(), min_chars)
+                for x in {digest(seq[a * WIDTH : b * WIDTH]) for a, b in runs}:
+                    rows.append((i, key, x))
+                if len(rows) >= 1 << 15:
+                    yield made(rows)
+                    rows = []
+        if rows:
+            yield made(rows)
+
+    slim = texts.select(*ORDER, "seq", "sizes")
+    return slim.mapInArrow(cut, "order_id long, key binary, line binary")
+
+
+def _line_rows(texts: DataFrame) -> DataFrame:
+    """order_id, key of a text and line, the hash of one of its lines."""
     lines = F.transform(
         F.sequence(F.lit(0), F.length("seq") - WIDTH, F.lit(WIDTH)),
         lambda at: F.substring("seq", at + 1, F.lit(WIDTH)),
     )
     rows = texts.select(*ORDER, F.explode(F.array_distinct(lines)).alias("line"))
-    rows = rows.filter(F.col("line") != F.lit(BLANK))
+    return rows.filter(F.col("line") != F.lit(BLANK))
+
+
+def _pairs(texts: DataFrame, rules: LineRules) -> DataFrame:
+    """key, order_id of a text and first_id, the id of the first document with one of its windows
+    (with max_df, its rare lines). They are counted before they are shuffled."""
+    rows = _window_rows(texts, rules.min_chars) if rules.max_df is None else _line_rows(texts)
     shared = (
         rows.groupBy("line")
         .agg(F.count("*").alias("df"), F.min("order_id").alias("first_id"))
         .filter("df > 1")
     )
-    of_text = Window.partitionBy("key")
     # The counts get a key of their own: both sides of the join then start at their own exchange,
     # and the rows of a very common line can be split over tasks.
     shared = shared.select(F.substring("line", 1, WIDTH).alias("of_line"), "df", "first_id")
     led = rows.join(shared, F.col("line") == F.col("of_line"))
-    led = led.withColumn("least", F.min("df").over(of_text))
-    rare = led.filter(F.col("df") <= F.greatest(F.lit(rules.max_df), F.col("least")))
-    return rare.filter("first_id <= order_id").select(*ORDER, "first_id").distinct()
+    if rules.max_df is not None:
+        led = led.withColumn("least", F.min("df").over(Window.partitionBy("key")))
+        led = led.filter(F.col("df") <= F.greatest(F.lit(rules.max_df), F.col("least")))
+    return led.filter("first_id <= order_id").select(*ORDER, "first_id").distinct()
 
 
 def _removals(texts: DataFrame, rules: LineRules) -> DataFrame:

@@ -369,6 +369,37 @@ def test_lines_equal_brute_force(spark):
             assert found[i] == "\n".join(x for k, x in enumerate(t.split("\n")) if k not in lost)
 
 
+def test_no_block_of_an_earlier_document_stays(spark):
+    """Default rules against a rule of its own: lines in a run of 60 characters that any earlier
+    text has, at any place, go; all other lines stay."""
+    rng = random.Random(12)
+    long = [f"passage {k} " + "y" * 55 for k in range(3)]
+    short = [f"short line {k} " + "q" * 12 for k in range(40)]
+    # Two passages that more than 100 texts have, with different frequencies, and one rare short line.
+    docs = [[f"own {i} " + "z" * rng.randint(0, 70), long[0], *([long[1]] if i % 2 else [])] for i in range(130)]
+    docs += [["few have this", f"own line {k}", long[1], long[0]] for k in range(3)]
+    for i in range(150):
+        docs.append([rng.choice([*long, *short, *short, "", f"own {i} {rng.random()}"]) for _ in range(rng.randint(1, 9))])
+        if rng.random() < 0.5:
+            at = rng.choice(docs[:-1])
+            cut = rng.randrange(len(at))
+            docs[-1] += at[cut : cut + 4] * rng.randint(1, 2)
+    texts = list(dict.fromkeys("\n".join(x) for x in docs))
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["row"]["doc_id"]: r["cleaned"] for r in line_align.dedup_lines(spark, frame).collect()}
+
+    seen = set()
+    for i, text in enumerate(texts):
+        lines = text.split("\n")
+        runs = [(a, b) for a in range(len(lines)) for b in range(a + 1, len(lines) + 1)]
+        runs = [(a, b) for a, b in runs if sum(map(len, lines[a:b])) >= 60]
+        gone = {k for a, b in runs if tuple(lines[a:b]) in seen for k in range(a, b)}
+        seen |= {tuple(lines[a:b]) for a, b in runs}
+        # Blank lines at the edge of a block may go with it.
+        kept = [x for k, x in enumerate(lines) if k not in gone and x]
+        assert [x for x in found[i].split("\n") if x] == kept, i
+
+
 # --- secrets --------------------------------------------------------------------------------
 
 
