@@ -272,7 +272,11 @@ def keep_first(
 ) -> DataFrame:
     """One document of each component, with all its columns: the one with the smallest id (null
     first), then the smallest text key; a row that is there several times stays once."""
-    rows = rooted(spark, docs, threshold, doc_id, text, with_key=True)
+    return keep_roots(docs, rooted(spark, docs, threshold, doc_id, text, with_key=True), doc_id, text)
+
+
+def keep_roots(docs: DataFrame, rows: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """The first document of each root; rows has doc_id, key (of the text) and root."""
     first = rows.groupBy("root").agg(F.min(F.struct("doc_id", "key")).alias("first"))
 
     def name(column: str) -> Column:

@@ -16,6 +16,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer, models, pre_tokenizers
 
+import corpus_pipeline
 from meterloom.llm import (
     bpe,
     chat_format,
@@ -308,6 +309,31 @@ def test_components_of_paths_and_stars(spark):
     }
 
 
+def test_near_stage_takes_five_words_and_similarity(spark):
+    """The stage against all pairs: every link of Jaccard 0.8 counts, however far the fingerprints are."""
+    rng = random.Random(21)
+    docs = []
+    for i in range(60):
+        words = [f"w{rng.randint(0, 5000)}" for _ in range(rng.randint(60, 200))]
+        docs.append(" ".join(words))
+        for _ in range(rng.randint(0, 2)):
+            copy = list(words)
+            for _ in range(rng.randint(1, 4)):
+                copy[rng.randrange(len(copy))] = f"new{rng.randint(0, 5000)}"
+            docs.append(" ".join(copy))
+    docs += ["", " \n", "few words", "Few  Words"]
+    words = [set(zip(*(t.lower().split()[k:] for k in range(5)))) or {tuple(t.lower().split())} - {()} for t in docs]
+    links = [
+        (i, j) for j in range(len(docs)) for i in range(j)
+        if 10 * len(words[i] & words[j]) >= 8 * len(words[i] | words[j])
+    ]
+    fps = [simhash.fingerprint(t.encode()) for t in docs]
+    assert sum((fps[i] ^ fps[j]).bit_count() > 4 for i, j in links) > 10
+    frame = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    kept = {r["doc_id"] for r in corpus_pipeline.near_dedup(spark, frame, "").collect()}
+    assert kept == set(_components(len(docs), links))
+
+
 # --- line alignment -------------------------------------------------------------------------
 
 
