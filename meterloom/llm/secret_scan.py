@@ -1,7 +1,7 @@
 """Secret scan with a random forest that removes false positives, DataFrame functions only.
 
-Candidates are words of a text that could hold a secret: long enough, with a digit or a long run of
-capitals. Each is described by its length, the transitions between its characters, how much of it
+Candidates are the values in words of a text that could hold a secret: long enough, with a digit or
+a long run of capitals. A word may hold several (JSON, calls, lists, query strings). Each is described by its length, the transitions between its characters, how much of it
 dictionary words cover, whether it looks like a path, and the words around it. A random forest
 (Spark ML) is trained on labelled findings and scores all candidates.
 
@@ -30,10 +30,16 @@ from pyspark.sql import functions as F
 from meterloom.sources.scratch import scratch_path
 
 BLANKS = r"[ \t-\r]+"
-#: At least 12 characters of visible ASCII, with a digit or eight capitals in a row.
-CANDIDATE = r"^(?=.{12})(?=[!-~]*(?:[0-9]|[A-Z]{8}))[!-~]+$"
+#: At least 12 characters, with a digit or eight capitals in a row.
+CANDIDATE = r"^(?=.{12})(?=.*(?:[0-9]|[A-Z]{8}))"
 QUICK = r"[0-9]|[A-Z]{8}"
 PARTS = r"""^["'(\[]*(?:([A-Za-z][A-Za-z0-9_.-]*?)["']?[=:]+["']?)?([^"',;()\[\]]*)"""
+#: Every run of visible ASCII without quotes and brackets, with the key before it. A run ends where
+#: the next field of a query string starts.
+RUNS = (
+    r"""(?:([A-Za-z][A-Za-z0-9_.-]*)["']?[=:]+["']?)?"""
+    r"""((?:(?![&?][A-Za-z0-9_.-]+=)[!-~&&[^"',;()\[\]{}<>]]){8,})"""
+)
 SECRET_WORDS = r"(?i)pass|pwd|secret|token|key|auth|credential|bearer"
 OTHER_WORDS = r"(?i)example|sample|sha|commit|md5|checksum|uuid|mail|phone|tel|card|version"
 DICTIONARY_WORDS = 100_000
@@ -58,7 +64,8 @@ class ForestOptions:
 
 
 def candidates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, pos (number of the word), word, value, key and the words around."""
+    """doc_id, pos (number of the word), nth (of the values in the word), word, value, key and the
+    words around."""
     slim = docs.filter(docs[text].rlike(QUICK)).select(
         F.col(doc_id).alias("doc_id"), F.split(F.col(text), BLANKS).alias("w")
     )
@@ -73,11 +80,17 @@ def candidates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
         ),
     )
     rows = slim.select("doc_id", F.explode(found).alias("c")).select("doc_id", "c.*")
-    return rows.select(
-        "*",
-        F.regexp_extract("word", PARTS, 1).alias("key"),
-        F.regexp_extract("word", PARTS, 2).alias("value"),
-    ).filter("length(value) >= 8")
+    whole = F.struct(
+        F.regexp_extract("word", PARTS, 1).alias("key"), F.regexp_extract("word", PARTS, 2).alias("value")
+    )
+    runs = F.arrays_zip(
+        F.regexp_extract_all("word", F.lit(RUNS), F.lit(1)).alias("key"),
+        F.regexp_extract_all("word", F.lit(RUNS), F.lit(2)).alias("value"),
+    )
+    ascii_only = F.filter(F.array(whole), lambda x: x["value"].rlike("^[!-~]{8,}$"))
+    parts = F.array_distinct(F.concat(ascii_only, runs))
+    each = rows.select("*", F.posexplode(parts).alias("nth", "part"))
+    return each.select("*", "part.key", "part.value").drop("part")
 
 
 def dictionary(spark: SparkSession, path: str) -> DataFrame:
@@ -144,7 +157,7 @@ def shape_labels(found: DataFrame) -> DataFrame:
         "@[a-z0-9.-]+\\.[a-z]+$|^[0-9. +()-]+$|^https?:|^[A-Za-z]+[.,!?]*$|^[0-9]+[a-z.]*$"
     )
     label = F.when(secret, 1).when(harmless, 0)
-    return found.select("doc_id", "pos", label.alias("label")).filter("label IS NOT NULL")
+    return found.select("doc_id", "pos", "nth", label.alias("label")).filter("label IS NOT NULL")
 
 
 def _bucket() -> Column:
@@ -167,10 +180,11 @@ def scan(
     candidates(docs, doc_id, text).write.parquet(path)
     found = spark.read.parquet(path)
     marked = shape_labels(found) if labels is None else labels.select("doc_id", "pos", "label")
-    marked = marked.groupBy("doc_id", "pos").agg(F.max("label").alias("label"))
+    place_of = [c for c in marked.columns if c != "label"]
+    marked = marked.groupBy(*place_of).agg(F.max("label").alias("label"))
     described = features(found, dictionary(spark, dictionary_path))
     path = scratch_path(spark, "described")
-    described.join(marked, ["doc_id", "pos"], "left").withColumn(
+    described.join(marked, place_of, "left").withColumn(
         "held_out", _bucket() == options.held_out_bucket
     ).write.parquet(path)
     rows = spark.read.parquet(path)
