@@ -141,10 +141,61 @@ FROM docs LEFT JOIN hit_words USING (r) LEFT JOIN hit_items USING (r)
 """
 
 
+#: For pages that mark their article and hold nothing else in it, as those of the tables do.
+HTML_EXTRACT = r"""
+WITH articles AS (
+  SELECT page_id, url,
+    regexp_split_to_array(
+      regexp_replace(regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)</article>', 1), '<br>', ' ', 'g'),
+      '</?(?:p|h1)>') AS blocks
+  FROM pages
+), texts AS (
+  SELECT page_id, url, array_to_string(
+    list_filter(
+      list_transform(blocks, lambda b: trim(regexp_replace(
+        regexp_replace(replace(regexp_replace(b, '<[^>]*>', '', 'g'), '&quot;', '"'), '&amp;?', '&', 'g'),
+        '\s+', ' ', 'g'))),
+      lambda b: b <> ''),
+    chr(10)) AS text
+  FROM articles
+)
+SELECT page_id, url, text, CAST(length(text) AS BIGINT) AS n_chars FROM texts
+"""
+
+HARD_NEGATIVES = """
+WITH usable AS (
+  SELECT row_number() OVER () AS r, vec_id,
+    CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda c: CAST(floor(256 * CAST(c AS DOUBLE)) AS BIGINT)) AS x
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+), scored AS (
+  SELECT a.r AS anchor, a.vec_id AS anchor_id, b.r, b.vec_id, a.label = b.label AS same,
+    CAST(list_sum(list_transform(range(1, len(a.x) + 1), lambda i: a.x[i] * b.x[i])) AS BIGINT) AS score
+  FROM usable a, usable b WHERE a.vec_id % 50 = 0 AND a.r <> b.r
+), positives AS (
+  SELECT *, row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id) AS place
+  FROM scored WHERE same
+), negatives AS (
+  SELECT p.anchor_id, p.vec_id AS positive_id, n.vec_id AS negative_id,
+    p.score AS positive_score, n.score AS negative_score,
+    row_number() OVER (PARTITION BY p.anchor, p.place ORDER BY n.score DESC, n.vec_id) AS rank
+  FROM positives p JOIN scored n ON p.anchor = n.anchor
+  WHERE p.place <= 5 AND NOT n.same
+    AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score
+)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM negatives WHERE rank <= 3
+"""
+
+
 def llm_oracles() -> dict[str, str]:
     return {
         "op1_chat_format": CHAT_FORMAT,
         "op3_url_filter": URL_FILTER,
         "op4_host_quality": HOST_QUALITY,
         "op5_decontaminate": DECONTAMINATE,
+        "op11_html_extract": HTML_EXTRACT,
+        "op12_hard_negatives": HARD_NEGATIVES,
     }

@@ -13,13 +13,16 @@ from meterloom.llm import (
     bpe,
     chat_format,
     decontaminate,
+    hard_negatives,
     host_quality,
+    html_extract,
     line_align,
     secret_scan,
     simhash,
     token_store,
     unigram_count,
     url_filter,
+    whitening,
 )
 from meterloom.llm.common import ship, table
 from meterloom.sources.scratch import scratch_path
@@ -112,6 +115,20 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.report(found)
 
 
+def op11_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.expr("CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END")
+    return hard_negatives.mine(spark, table(spark, sf_dir, "embeddings"), label=moved)
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.whiten(spark, table(spark, sf_dir, "embeddings"))
+    return found.withColumn("deviation", F.col("deviation").cast("long"))
+
+
 def llm_queries() -> dict[str, Query]:
     operators = (
         op1_chat_format,
@@ -124,6 +141,9 @@ def llm_queries() -> dict[str, Query]:
         op8_unigram_count,
         op9_byte_bpe,
         op10_secret_scan,
+        op11_html_extract,
+        op12_hard_negatives,
+        op13_whitening,
     )
 
     def shipped(fn: Query) -> Query:

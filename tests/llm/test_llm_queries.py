@@ -15,7 +15,7 @@ from meterloom.llm import bpe
 from meterloom.llm.oracles import llm_oracles
 from meterloom.llm.queries import llm_queries
 
-TABLES = ("documents", "pages", "benchmark", "labels", "conversations")
+TABLES = ("documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
 def _rows(names, rows):
@@ -69,5 +69,5 @@ def test_byte_bpe_query(spark, sf_dir, texts):
 
 def test_every_operator_is_registered():
     names = [n for n in llm_queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in llm_queries()
