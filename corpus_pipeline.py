@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterloom.llm import bpe, decontaminate, host_quality, line_align, near_words
+from meterloom.llm import bpe, decontaminate, host_quality, line_align, simhash
 from meterloom.llm.common import ship, table
 from meterloom.sources.scratch import scratch_path
 
@@ -34,9 +34,9 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates (five-word shingles, Jaccard 0.8) stays."""
+    """One document of each group of near-duplicates stays: four-word shingles, at most 4 of 64 bits."""
     ship(spark)
-    return near_words.keep_first(spark, docs)
+    return simhash.keep_first(spark, docs, threshold=4)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
