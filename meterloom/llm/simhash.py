@@ -272,19 +272,23 @@ def keep_first(
 ) -> DataFrame:
     """One document of each component, with all its columns: the one with the smallest id (null
     first), then the smallest text key; a row that is there several times stays once."""
-    return keep_roots(docs, rooted(spark, docs, threshold, doc_id, text, with_key=True), doc_id, text)
-
-
-def keep_roots(docs: DataFrame, rows: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """The first document of each root; rows has doc_id, key (of the text) and root."""
-    first = rows.groupBy("root").agg(F.min(F.struct("doc_id", "key")).alias("first"))
-
-    def name(column: str) -> Column:
-        """An id without null, so that the join and the last step share one exchange of texts."""
-        return F.coalesce(F.col(column).cast("string"), F.lit(""))
-
-    first = first.select(name("first.doc_id").alias("id"), F.col("first.key").alias("key"))
+    rows = rooted(spark, docs, threshold, doc_id, text, with_key=True)
+    rows = rows.groupBy("root", "doc_id", "key").agg(F.count("*").alias("n"))
+    first = rows.groupBy("root").agg(F.min(F.struct("doc_id", "key", "n")).alias("first"))
+    path = scratch_path(spark, "survivors")
+    first.select(_name("first.doc_id", "first.key").alias("name"), "first.n").write.parquet(path)
+    first = spark.read.schema("name string, n long").parquet(path)
     row = F.struct(*[docs[c] for c in docs.columns]).alias("row")
-    keyed = docs.select(row, name(doc_id).alias("id"), text_key(docs[text]).alias("key"))
-    chosen = keyed.join(first, ["id", "key"], "left_semi")
-    return chosen.dropDuplicates(["id", "key"]).select("row.*")
+    named = docs.select(row, _name(docs[doc_id], text_key(docs[text])).alias("name_of"))
+    # Texts are dealt once, by a name that only the join uses: a hot one can be split over tasks. Rows
+    # that are there several times are few kinds of rows and collapse before they are dealt again.
+    once = named.join(first.filter("n = 1"), F.col("name_of") == F.col("name"))
+    repeated = named.join(first.filter("n > 1"), F.col("name_of") == F.col("name"))
+    repeated = repeated.groupBy("name").agg(F.first("row").alias("row"))
+    return once.select("row").union(repeated.select("row")).select("row.*")
+
+
+def _name(doc_id: Column | str, key: Column | str) -> Column:
+    """Id and text key as one text; a null id leaves the key alone."""
+    id_text = (F.col(doc_id) if isinstance(doc_id, str) else doc_id).cast("string")
+    return F.concat_ws(" ", F.hex(key), id_text)
