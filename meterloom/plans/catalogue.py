@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,13 +22,14 @@ from meterloom.operators import rollup as ro
 from meterloom.operators import timeline as tl
 from meterloom.operators.sizing import is_small
 from meterloom.plans.export import ExportOptions, judged_readings, run_export
+from meterloom.plans.fresh import fresh_readings
 from meterloom.plans.lifecycle import maintain, roll_up_slice
 from meterloom.schemas import FIELDS, LONG_TERM, SERIES, SHORT_TERM
 from meterloom.sources import driver_tables as dt
 from meterloom.sources import progress as pg
 from meterloom.sources.scratch import scratch_path
 from meterloom.sources.store import PointStore
-from meterloom.sources.tables import basic_metadata, open_inputs
+from meterloom.sources.tables import Inputs, basic_metadata, open_inputs
 from meterloom.streaming import rollup as st
 
 # Fixed "now" of relative ranges, so that every run gives the same rows.
@@ -527,6 +529,82 @@ def incremental_export(s: Sensors) -> DataFrame:
     return points.select("store", "measurement", "domain", "entity_id", "value", "ts")
 
 
+class _Dying(PointStore):
+    """A store whose writes fail from the n-th on, as when a run is killed."""
+
+    def after(self, n: int) -> _Dying:
+        object.__setattr__(self, "left", [None] * n)
+        return self
+
+    def replace(self, points: DataFrame, staged: bool = False) -> None:
+        if not self.left:
+            raise InterruptedError("killed")
+        self.left.pop()
+        super().replace(points, staged)
+
+
+def _run_until_killed(s: Sensors, stores, options: ExportOptions, inputs: Inputs, path: str) -> None:
+    try:
+        run_export(s.spark, inputs, *stores, options, path, "2024-02-01 00:00:00")
+    except InterruptedError:
+        return
+    raise AssertionError("the run was not killed")
+
+
+def _early(inputs: Inputs, until: str) -> Inputs:
+    """The inputs as they were before later readings arrived."""
+    return replace(inputs, scan=lambda table, start, end: inputs.scan(table, start, min(end or until, until)))
+
+
+@_query
+def export_resumed_incremental(s: Sensors) -> DataFrame:
+    """An incremental run dies after the recent store; readings arrive; the same run is repeated. It
+    ends what was staged, goes on with what arrived, and no reading is lost or hidden."""
+    recent = PointStore(s.spark, scratch_path(s.spark, "recent"))
+    historical = PointStore(s.spark, scratch_path(s.spark, "historical"), "month")
+    inputs, path = dt.inputs(s.spark, s.sf_dir), scratch_path(s.spark, "progress")
+    options = ExportOptions(latest_metadata_only=False, incremental=True)
+    dying = _Dying(s.spark, historical.path, "month").after(0)
+    _run_until_killed(s, (recent, dying), options, _early(inputs, "2024-01-10 00:00:00"), path)
+    run_export(s.spark, inputs, recent, historical, options, path, "2024-02-02 00:00:00")
+    return _both(recent, historical)
+
+
+def _killed_in_the_third_step(s: Sensors) -> tuple[PointStore, PointStore, str]:
+    recent = _Dying(s.spark, scratch_path(s.spark, "recent")).after(2)
+    historical = PointStore(s.spark, scratch_path(s.spark, "historical"), "month")
+    path = scratch_path(s.spark, "progress")
+    options = ExportOptions(latest_metadata_only=False, rows_per_step=1)
+    _run_until_killed(s, (recent, historical), options, dt.inputs(s.spark, s.sf_dir), path)
+    return recent, historical, path
+
+
+@_query
+def export_killed_points(s: Sensors) -> DataFrame:
+    """A run in steps of one day, killed in the third: two days are in the store."""
+    recent, historical, _ = _killed_in_the_third_step(s)
+    return _both(recent, historical)
+
+
+@_query
+def export_killed_progress(s: Sensors) -> DataFrame:
+    """The progress of that run: marks end with the second day, entities with later readings have
+    failed, the others are completed."""
+    _, _, path = _killed_in_the_third_step(s)
+    return pg.read_progress(s.spark, path).select(
+        "metadata_id", "source_table", "status", "last_start_ts"
+    )
+
+
+@_query
+def incremental_scans(s: Sensors) -> DataFrame:
+    """The readings that an incremental run takes up, from one bounded scan per group of marks."""
+    path = scratch_path(s.spark, "marks")
+    pg.marks_of(s.candidates.select("id"), s.progress()).write.parquet(path)
+    fresh = fresh_readings(dt.inputs(s.spark, s.sf_dir), s.spark.read.parquet(path))
+    return fresh.select("table_rank", "id", "metadata_id", "start_ts")
+
+
 # --- rollup ---------------------------------------------------------------------------------
 
 @_query

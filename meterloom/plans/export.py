@@ -9,17 +9,19 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from meterloom.functions.sql import lit
-from meterloom.functions.time import floor_second
+from meterloom.functions.time import floor_second, in_range, ntz
 from meterloom.operators import entities as ent
 from meterloom.operators import metadata as md
 from meterloom.operators import points as pt
 from meterloom.operators import quality as qa
 from meterloom.operators import readings as rd
-from meterloom.operators.sizing import is_small, maybe_broadcast
+from meterloom.operators.sizing import is_small
 from meterloom.operators.timeline import newest_per_point
+from meterloom.plans.fresh import fresh_readings
 from meterloom.rules import EntityRules, QualityRules
 from meterloom.schemas import LONG_TERM, SHORT_TERM
 from meterloom.sources import progress as pg
+from meterloom.sources.run_journal import RunJournal, Step, steps_of
 from meterloom.sources.scratch import scratch
 from meterloom.sources.store import PointStore
 from meterloom.sources.tables import Inputs
@@ -38,13 +40,13 @@ class ExportOptions:
     dedup_scope: str = "run"
     start: str | None = None
     end: str | None = None
+    # Store periods are written in steps of so many readings; each is noted once it is written.
+    rows_per_step: int = 200_000_000
     entity_rules: EntityRules = EntityRules()
     quality_rules: QualityRules = QualityRules()
 
 
-def select_entities(
-    inputs: Inputs, options: ExportOptions, done: DataFrame | None = None
-) -> DataFrame:
+def select_entities(inputs: Inputs, options: ExportOptions) -> DataFrame:
     """The entities to export, with point tags and value limits attached."""
     load = md.enriched_latest if options.latest_metadata_only else md.enriched
     few = inputs.attributes is not None and is_small(inputs.attributes[0])
@@ -55,8 +57,6 @@ def select_entities(
         chosen = ent.of_categories(chosen, options.categories)
     if options.name_filter:
         chosen = ent.named_like(chosen, options.name_filter)
-    if done is not None:
-        chosen = pg.remaining(chosen, done)
     return qa.with_limits(pt.with_tags(chosen, options.measurement), options.quality_rules)
 
 
@@ -80,35 +80,11 @@ def judged_readings(
     return qa.judge(rd.attach_entities(screened, entities, small))
 
 
-def _recorded(spark: SparkSession, path: str) -> DataFrame | None:
-    """Recorded progress, or None before the first run."""
-    root = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not root.getFileSystem(spark._jsc.hadoopConfiguration()).exists(root):
-        return None
-    return pg.read_progress(spark, path)
-
-
 def export_key(options: ExportOptions) -> str:
     """What tells exports apart: a run resumes only an unfinished run with equal options."""
     return hashlib.sha256(repr(options).encode()).hexdigest()[:16]
 
 
-def _fresh_readings(inputs: Inputs, options: ExportOptions, progress: DataFrame) -> DataFrame:
-    """Readings after the marks. The earliest mark bounds the scan; only entities without one
-    need the tables from their beginning, and they are read apart from the others."""
-    known = pg.marks(progress)
-    first = known.agg(F.min("last_start_ts").alias("t")).first()["t"]
-    if first is None:
-        return inputs.readings(options.start, options.end)
-    start = max(x for x in (options.start, str(first)) if x is not None)
-    marked = known.groupBy("metadata_id").agg(F.count("*").alias("n")).filter("n = 2")
-    small = is_small(progress)
-    ids = maybe_broadcast(marked.select("metadata_id"), small)
-    rest = inputs.readings(options.start, options.end).join(ids, "metadata_id", "left_anti")
-    late = inputs.readings(start, options.end).join(ids, "metadata_id", "left_semi")
-    return pg.newer_than_progress(rest.unionByName(late), progress, small)
-
-
 # What is staged of a judged reading: its point, and what the marks need.
 _STAGED = (
     "metadata_id", "start_ts", "time_ok", "n_short", "n_long", "table_rank", "value", "mean",
@@ -116,11 +92,157 @@ _STAGED = (
 )
 
 
-def _marks_of(staged: DataFrame, rank: int) -> DataFrame:
-    """The last plausible time per entity of one table, copies included."""
-    copies = "n_short" if rank == 0 else "n_long"
-    return staged.groupBy("metadata_id").agg(
-        F.expr(f"max(start_ts) FILTER (WHERE time_ok AND {copies} > 0)").alias("last_start_ts")
+@dataclass(frozen=True)
+class _Run:
+    """One export: what it reads, where it writes, what it notes."""
+
+    spark: SparkSession
+    inputs: Inputs
+    recent: PointStore
+    historical: PointStore
+    options: ExportOptions
+    journal: RunJournal
+    progress_path: str | None
+    recorded_at: str | None
+    key: str
+
+    def targets(self) -> tuple[tuple[PointStore, str, int], ...]:
+        return (self.recent, SHORT_TERM, 0), (self.historical, LONG_TERM, 1)
+
+    def progress(self) -> DataFrame | None:
+        """Recorded progress, or None before the first run."""
+        path = self.progress_path
+        if path is None or not pg.has_progress(self.spark, path):
+            return None
+        return pg.read_progress(self.spark, path)
+
+    def judged(self) -> DataFrame:
+        """The judged readings of the run. The entity table is written once and read back: it is
+        used twice, and its row count decides whether it may be broadcast."""
+        options, progress = self.options, self.progress()
+        select_entities(self.inputs, options).write.parquet(self.journal.entities_at)
+        entities = self.spark.read.parquet(self.journal.entities_at)
+        small = is_small(entities)
+        if progress is not None and options.incremental:
+            marks_at = f"{self.journal.path}/marks"
+            pg.marks_of(entities.select("id"), progress).write.parquet(marks_at)
+            marks = self.spark.read.parquet(marks_at)
+            readings = fresh_readings(self.inputs, marks, options.start, options.end)
+        else:
+            readings = self.inputs.readings(options.start, options.end)
+        return qa.with_point_flag(
+            judged_readings(readings, entities, options, small, entities if small else None)
+        )
+
+    def stage(self) -> None:
+        """Write the judged readings of both tables in one pass, in time order within each file, so
+        that a step reads little but its own; then the plan, with the counters of the run. These
+        are observed in the last stage, whose finished tasks are counted once even when executors
+        are lost."""
+        self.journal.clear()
+        seen = Observation()
+        staged = _counted(self.judged(), seen).select(*_STAGED)
+        in_order = staged.sortWithinPartitions("table_rank", "start_ts")
+        in_order.write.partitionBy("table_rank").parquet(self.journal.staged_at)
+        counters = {name: int(value) for name, value in seen.get.items()}
+        counters["entities_processed"] = self.spark.read.parquet(self.journal.entities_at).count()
+        written = self.spark.read.schema(staged.schema).parquet(self.journal.staged_at)
+        steps = []
+        for store, table, rank in self.targets():
+            period = f"CAST({store.period_of('start_ts')} AS STRING) AS first"
+            sizes = written.filter(f"table_rank = {rank} AND time_ok").selectExpr(period)
+            found = sizes.groupBy("first").count().collect()  # one row per period
+            sizes = [(r["first"], r["count"]) for r in found]
+            steps += steps_of(table, sizes, self.options.rows_per_step)
+        self.journal.plan(steps, counters, staged.schema)
+
+    def write(self) -> dict[str, int]:
+        """Write the steps of the plan that are not written yet, and note how far the run came."""
+        journal = self.journal
+        staged, steps, counters = journal.staged(), journal.steps(), journal.counters()
+        done = journal.written()
+        self.note_running()
+        try:
+            for number, step in enumerate(steps):
+                if number in done:
+                    continue
+                store, _, rank = next(t for t in self.targets() if t[1] == step.table)
+                own = staged.filter(f"table_rank = {rank} AND {in_range('start_ts', step.start, step.end)}")
+                points = pt.build_points(own, keep=("start_ts",))
+                if counters["between_seconds"]:
+                    # Only readings between whole seconds can meet in one point; the later one stays.
+                    points = newest_per_point(points, "start_ts")
+                store.replace(points, staged=True)
+                journal.note_written(number)
+        finally:
+            self.settle(staged, steps, journal.written())
+        return counters
+
+    def _record(self, rows: DataFrame) -> None:
+        options = self.options
+        pg.record_progress(
+            rows, self.progress_path, self.recorded_at, self.key, options.start, options.end
+        )
+
+    def note_running(self) -> None:
+        if self.progress_path is not None:
+            entities = self.spark.read.parquet(self.journal.entities_at).select("id")
+            known = pg.marks_of(entities, self.progress()).withColumnRenamed("id", "metadata_id")
+            self._record(known.withColumn("status", F.lit(pg.RUNNING)))
+
+    def settle(self, staged: DataFrame, steps: list[Step], written: set[int]) -> None:
+        """Note the state of every entity and table. An entity whose readings are all written is
+        completed in the table, others failed; marks move as far as readings are written, and only
+        where nothing before them was cut off by the start of the run."""
+        if self.progress_path is None:
+            return
+        ended = len(written) == len(steps)
+        entities = self.spark.read.parquet(self.journal.entities_at).select("id")
+        known = pg.marks_of(entities, self.progress()).withColumnRenamed("id", "metadata_id")
+        found = None
+        for _, table, _ in self.targets():
+            left = [s for n, s in enumerate(steps) if s.table == table and n not in written]
+            until = in_range("start_ts", None, left[0].start) if left else "true"
+            if left and left[0].start is None:
+                until = "false"
+            copies = "n_short" if table == SHORT_TERM else "n_long"
+            counts = f"time_ok AND {copies} > 0"
+            rows = staged.groupBy("metadata_id").agg(
+                F.expr(f"max(start_ts) FILTER (WHERE {counts} AND {until})").alias("reached"),
+                F.expr(f"count_if({counts} AND NOT ({until}))").alias("n_left"),
+            )
+            rows = rows.withColumn("source_table", F.lit(table))
+            found = rows if found is None else found.unionByName(rows)
+        start = self.options.start
+        whole = "true" if start is None else f"last_start_ts >= {ntz(start)}"
+        open_state = f"CASE WHEN coalesce(n_left, 0) = 0 THEN {lit(pg.COMPLETED)} ELSE {lit(pg.FAILED)} END"
+        rows = known.join(found, ["metadata_id", "source_table"], "left").selectExpr(
+            "metadata_id",
+            "source_table",
+            f"{lit(pg.EXPORTED) if ended else open_state} AS status",
+            f"CASE WHEN {whole} THEN greatest(last_start_ts, reached) ELSE last_start_ts END AS last_start_ts",
+        )
+        self._record(rows)
+        if ended:
+            pg.compact(self.spark, self.progress_path)
+
+    def run(self) -> dict[str, int]:
+        if not self.journal.is_planned():
+            self.stage()
+        counters = self.write()
+        self.journal.clear()
+        return counters
+
+
+def _counted(judged: DataFrame, seen: Observation) -> DataFrame:
+    return judged.observe(
+        seen,
+        F.coalesce(F.sum("n_short"), F.lit(0)).alias("short_term_records"),
+        F.coalesce(F.sum("n_long"), F.lit(0)).alias("long_term_records"),
+        F.expr("count_if(status <> 'invalid')").alias("valid_records"),
+        F.expr("count_if(status = 'corrected')").alias("data_corrections"),
+        F.expr("count_if(has_point)").alias("total_points"),
+        F.expr(f"count_if(start_ts <> {floor_second('start_ts')})").alias("between_seconds"),
     )
 
 
@@ -136,114 +258,35 @@ def run_export(
 ) -> dict[str, int]:
     """Export both tables and return the counters of the run.
 
-    The entity table is written once and read back: it is used twice, and its row count decides
-    whether it may be broadcast. Judged readings of both tables are staged in one pass, from which
-    both stores are written and the marks taken; the counters are observed during that pass, in its
-    last stage, whose finished tasks are counted once even when executors are lost.
-
-    With a progress path (and the time of recording), a run that died is resumed by a run with
-    equal options: a store that it had completed is not written again, and entities it had
-    completed in both tables are left out. Once a run ends, later runs see everything again; an
-    incremental one goes on at the marks. Marks only move on in runs that are not cut off at the
-    start, so a run over a range leaves nothing behind them."""
+    Judged readings of both tables are staged in one pass and written in steps of whole store
+    periods, each noted when it is written. With a progress path (and the time of recording), a run
+    that died is taken up by a run with equal options: it writes the steps that are left, from the
+    readings that were staged, and returns the counters of that staging. What has arrived since is
+    not part of it; an incremental run goes on with that, other runs leave it to the next. Once a run
+    ends, later runs see everything again; an incremental one goes on at the marks. Marks never pass
+    what is written, and stay where a run is cut off at the start."""
     if progress_path is not None and recorded_at is None:
         raise ValueError("progress needs the time of recording")
     key = export_id or export_key(options)
-    progress = None if progress_path is None else _recorded(spark, progress_path)
-    done, written = None, set()
-    if progress is not None:
-        open_rows = pg.unfinished(progress, key)
-        done = pg.completed(open_rows, (SHORT_TERM, LONG_TERM))
-        states = open_rows.groupBy("source_table").agg(F.expr("bool_and(status = 'completed')").alias("all"))
-        written = {r["source_table"] for r in states.collect() if r["all"]}  # at most two rows
-
-    with scratch(spark, "entities") as entities_at, scratch(spark, "points") as staged_at:
-        select_entities(inputs, options, done).write.parquet(entities_at)
-        entities = spark.read.parquet(entities_at)
-        small = is_small(entities)
-
-        def note(status: str, tables: tuple[str, ...], last: DataFrame | None = None) -> None:
-            if progress_path is None or options.dry_run:
-                return
-            rows = entities.selectExpr(
-                "id AS metadata_id",
-                f"explode(array({', '.join(map(lit, tables))})) AS source_table",
-                f"{lit(status)} AS status",
-            )
-            known = _known_marks(progress, options, last)
-            if known is None:
-                rows = rows.selectExpr("*", "CAST(NULL AS TIMESTAMP_NTZ) AS last_start_ts")
-            else:
-                rows = rows.join(known, ["metadata_id", "source_table"], "left")
-            pg.record_progress(rows, progress_path, recorded_at, key, options.start, options.end)
-
-        if progress is not None and options.incremental:
-            readings = _fresh_readings(inputs, options, progress)
-        else:
-            readings = inputs.readings(options.start, options.end)
-        judged = qa.with_point_flag(
-            judged_readings(readings, entities, options, small, entities if small else None)
-        )
-        seen = Observation()
-        observed = judged.observe(
-            seen,
-            F.coalesce(F.sum("n_short"), F.lit(0)).alias("short_term_records"),
-            F.coalesce(F.sum("n_long"), F.lit(0)).alias("long_term_records"),
-            F.expr("count_if(status <> 'invalid')").alias("valid_records"),
-            F.expr("count_if(status = 'corrected')").alias("data_corrections"),
-            F.expr("count_if(has_point)").alias("total_points"),
-            F.expr(f"count_if(start_ts <> {floor_second('start_ts')})").alias("between_seconds"),
+    with scratch(spark, "export") as own:
+        kept = progress_path is not None and not options.dry_run
+        journal = RunJournal(spark, f"{progress_path}/runs/{key}" if kept else own)
+        run = _Run(
+            spark, inputs, recent, historical, options, journal, progress_path, recorded_at, key
         )
         if options.dry_run:
-            observed.write.format("noop").mode("overwrite").save()
+            seen = Observation()
+            _counted(run.judged(), seen).write.format("noop").mode("overwrite").save()
+            counters = {name: int(value) for name, value in seen.get.items()}
+            counters["entities_processed"] = spark.read.parquet(journal.entities_at).count()
         else:
-            note(pg.RUNNING, tuple(t for t in (SHORT_TERM, LONG_TERM) if t not in written))
-            try:
-                to_stage = observed.select(*_STAGED)
-                to_stage.write.partitionBy("table_rank").parquet(staged_at)
-                # Without readings there is no file to take the schema from.
-                staged = spark.read.schema(to_stage.schema).parquet(staged_at)
-                last = None
-                for store, table, rank in ((recent, SHORT_TERM, 0), (historical, LONG_TERM, 1)):
-                    found = _marks_of(staged, rank).withColumn("source_table", F.lit(table))
-                    last = found if last is None else last.unionByName(found)
-                    if table in written:
-                        continue
-                    points = pt.build_points(staged.filter(F.col("table_rank") == rank), keep=("start_ts",))
-                    if seen.get["between_seconds"]:
-                        # Only readings between whole seconds can meet in one point; the later
-                        # one stays.
-                        points = newest_per_point(points, "start_ts")
-                    store.replace(points, staged=True)
-                    note(pg.COMPLETED, (table,))
-            except Exception:
-                note(pg.FAILED, tuple(t for t in (SHORT_TERM, LONG_TERM) if t not in written))
-                raise
-            note(pg.EXPORTED, (SHORT_TERM, LONG_TERM), last)
-            if progress is not None:
-                # Entities that an earlier attempt had completed end with this run as well.
-                before = open_rows.filter(F.col("status") == pg.COMPLETED)
-                ended = before.withColumn("status", F.lit(pg.EXPORTED))
-                with scratch(spark, "ended") as path:  # the table is appended to while it is read
-                    ended.write.parquet(path)
-                    rows = spark.read.schema(ended.schema).parquet(path)
-                    rows = rows.join(entities, rows["metadata_id"] == entities["id"], "left_anti")
-                    pg.record_progress(rows, progress_path, recorded_at, key, options.start, options.end)
-        counters = {name: int(value) for name, value in seen.get.items()}
-        counters["entities_processed"] = entities.count()
+            resumed = journal.is_planned()
+            counters = run.run()
+            if resumed and options.incremental:
+                more = run.run()
+                counters = {c: n + more[c] for c, n in counters.items()}
+                counters["entities_processed"] = more["entities_processed"]
     del counters["between_seconds"]
     counters["total_records"] = counters["short_term_records"] + counters["long_term_records"]
     counters["data_quality_issues"] = counters["total_records"] - counters["valid_records"]
     return counters
-
-
-def _known_marks(
-    progress: DataFrame | None, options: ExportOptions, last: DataFrame | None
-) -> DataFrame | None:
-    """Marks after a run: the old ones, moved on by what the run covered."""
-    old = None if progress is None else pg.marks(progress)
-    if last is None or (options.start is not None and not options.incremental):
-        return old
-    new = last.select("metadata_id", "source_table", "last_start_ts")
-    both = new if old is None else old.unionByName(new)
-    return both.groupBy("metadata_id", "source_table").agg(F.max("last_start_ts").alias("last_start_ts"))

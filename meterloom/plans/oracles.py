@@ -343,6 +343,14 @@ _WORST = """
           FROM raw_issues WHERE issue_type IS NOT NULL GROUP BY 1, 2, 3)"""
 
 # Query -> final statement over the fragments.
+#: The first day that a run in steps of one day, killed in the third, does not write.
+_THIRD_DAY = """
+    SELECT day FROM (
+      SELECT DISTINCT CAST(date_trunc('day', start_ts) AS TIMESTAMP) AS day
+      FROM short_term JOIN rich_entities ON metadata_id = rich_entities.id
+      WHERE start_ts BETWEEN TIMESTAMP '2020-01-01' AND TIMESTAMP '2030-01-01')
+    ORDER BY day LIMIT 1 OFFSET 2"""
+
 _QUERIES = {
     "entity_metadata_basic": """
         SELECT *, name AS friendly_name, NULL::VARCHAR AS device_class,
@@ -585,6 +593,33 @@ _QUERIES = {
         WHERE NOT EXISTS (SELECT 1 FROM rolled r WHERE r.ts = h.ts
           AND r.entity_id = h.entity_id AND r.domain = h.domain AND r.measurement = h.measurement)""",
     "export_resumed": f"SELECT store, {_SERIES}, round(value, 6) AS value, ts FROM points",
+    "export_resumed_incremental": f"SELECT store, {_SERIES}, round(value, 6) AS value, ts FROM points",
+    "export_killed_points": f"""
+        SELECT 'recent' AS store, {_SERIES}, round(value, 6) AS value, ts FROM recent
+        WHERE ts < ({_THIRD_DAY})""",
+    "export_killed_progress": f"""
+        WITH seen AS (
+          SELECT 'statistics_short_term' AS source_table, metadata_id, start_ts,
+            start_ts < ({_THIRD_DAY}) AS written FROM short_term
+          UNION ALL SELECT 'statistics', metadata_id, start_ts, false FROM long_term
+        ), valid AS (
+          SELECT * FROM seen
+          WHERE start_ts BETWEEN TIMESTAMP '2020-01-01' AND TIMESTAMP '2030-01-01'
+        )
+        SELECT e.id AS metadata_id, t.source_table,
+          CASE WHEN coalesce(bool_and(written), true) THEN 'completed' ELSE 'failed' END AS status,
+          max(start_ts) FILTER (written) AS last_start_ts
+        FROM rich_entities e
+        CROSS JOIN (SELECT unnest(['statistics_short_term', 'statistics']) AS source_table) t
+        LEFT JOIN valid v ON v.metadata_id = e.id AND v.source_table = t.source_table
+        GROUP BY e.id, t.source_table""",
+    "incremental_scans": """
+        SELECT r.table_rank, r.id, r.metadata_id, r.start_ts
+        FROM (SELECT * FROM short_term UNION ALL SELECT * FROM long_term) r
+        JOIN entities e ON r.metadata_id = e.id
+        LEFT JOIN progress p ON r.metadata_id = p.metadata_id AND r.table_rank = p.table_rank
+        WHERE p.last_start_ts IS NULL
+          OR r.start_ts > least(p.last_start_ts, TIMESTAMP '2024-01-20')""",
     # The watermark closes the hours that end an hour or more before the latest point.
     "rollup_stream": f"""
         SELECT * FROM ({_rollup("recent")})

@@ -1,11 +1,15 @@
-"""Export progress: an append-only table, read as the latest row per (entity, table).
+"""Export progress: a log of rows per (entity, table), read as the latest row of each, beside a
+snapshot that takes the log up, so that it does not grow with the number of runs.
 
-A run writes `running` rows when it starts, `completed` rows for a table once its store is written,
-`failed` rows on an error, and `exported` rows when both stores are complete. Only the rows of an
-export that has not ended count for resuming: a finished export hides nothing from later runs."""
+A run writes `running` rows when it starts, `failed` and `completed` rows when it ends early (an
+entity is completed in a table once all of its periods are written), and `exported` rows when both
+stores are complete. Only the rows of an export that has not ended count for resuming: a finished
+export hides nothing from later runs. Marks never pass what is written."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,8 +17,11 @@ from meterloom.functions.sql import lit
 from meterloom.functions.time import ntz
 from meterloom.operators.sizing import maybe_broadcast
 from meterloom.schemas import LONG_TERM, PROGRESS, SHORT_TERM
+from meterloom.sources import files
+from meterloom.sources.scratch import discard
 
 RUNNING, COMPLETED, FAILED, EXPORTED = "running", "completed", "failed", "exported"
+_LOG, _SNAPSHOT = "log", "snapshot-"
 _RANK_OF = f"CASE source_table WHEN {lit(SHORT_TERM)} THEN 0 WHEN {lit(LONG_TERM)} THEN 1 END"
 _REST = ("status", "last_start_ts", "export_id", "covered_from", "covered_until")
 
@@ -42,11 +49,37 @@ def record_progress(
         f"{time(covered_from)} AS covered_from",
         f"{time(covered_until)} AS covered_until",
     )
-    stamped.select(*PROGRESS.names).write.mode("append").parquet(path)
+    stamped.select(*PROGRESS.names).write.mode("append").parquet(f"{path}/{_LOG}")
+
+
+def _parts(spark: SparkSession, path: str) -> list[str]:
+    """The newest snapshot, if any, and the log."""
+    names = files.children(spark, path)
+    newest = [n for n in names if n.startswith(_SNAPSHOT)][-1:]
+    return [f"{path}/{n}" for n in (*newest, *(n for n in names if n == _LOG))]
+
+
+def has_progress(spark: SparkSession, path: str) -> bool:
+    return bool(_parts(spark, path))
 
 
 def read_progress(spark: SparkSession, path: str) -> DataFrame:
-    return latest_progress(spark.read.schema(PROGRESS).parquet(path))
+    return latest_progress(spark.read.schema(PROGRESS).parquet(*_parts(spark, path)))
+
+
+def compact(spark: SparkSession, path: str) -> None:
+    """Take the log up into a new snapshot. The snapshot appears whole; rows that are still in the
+    log after a failure in between are read twice, which changes nothing."""
+    log = [n for n in files.children(spark, f"{path}/{_LOG}") if n.startswith("part-")]
+    old = [n for n in files.children(spark, path) if n.startswith(_SNAPSHOT)]
+    number = int(old[-1].removeprefix(_SNAPSHOT)) + 1 if old else 0
+    aside = f"{path}/new-{uuid.uuid4().hex}"
+    read_progress(spark, path).select(*PROGRESS.names).write.parquet(aside)
+    files.move(spark, aside, f"{path}/{_SNAPSHOT}{number:09d}")
+    for name in log:
+        discard(spark, f"{path}/{_LOG}/{name}")
+    for name in old:
+        discard(spark, f"{path}/{name}")
 
 
 def _stage(status: str) -> str:
@@ -100,6 +133,17 @@ def marks(progress: DataFrame) -> DataFrame:
     )
 
 
+def marks_of(entities: DataFrame, progress: DataFrame | None) -> DataFrame:
+    """id, source_table, table_rank and last_start_ts, the mark (null without one), for every one
+    of the entities and both tables."""
+    tables = f"explode(array({lit(SHORT_TERM)}, {lit(LONG_TERM)})) AS source_table"
+    both = entities.selectExpr("id", tables).selectExpr("*", f"{_RANK_OF} AS table_rank")
+    if progress is None:
+        return both.selectExpr("*", "CAST(NULL AS TIMESTAMP_NTZ) AS last_start_ts")
+    known = marks(progress).withColumnRenamed("metadata_id", "id")
+    return both.join(known, ["id", "source_table"], "left")
+
+
 def newer_than_progress(
     readings: DataFrame, progress: DataFrame, small: bool = False
 ) -> DataFrame:

@@ -54,7 +54,7 @@ class PointStore:
         fs, root = self._fs()
         return fs.exists(root)
 
-    def _period_of(self, ts: str) -> str:
+    def period_of(self, ts: str) -> str:
         return _PERIODS[self.period].format(ts, ts)
 
     def _stored(self) -> DataFrame:
@@ -66,9 +66,9 @@ class PointStore:
             return self.spark.createDataFrame([], POINT)
         rows = self._stored()
         if start is not None:
-            rows = rows.filter(f"period >= {self._period_of(ntz(start))}")
+            rows = rows.filter(f"period >= {self.period_of(ntz(start))}")
         if end is not None:
-            rows = rows.filter(f"period <= {self._period_of(ntz(end))}")
+            rows = rows.filter(f"period <= {self.period_of(ntz(end))}")
         return rows.filter(in_range("ts", start, end)).select(*POINT.names)
 
     def read_stream(self, max_files: int = 1000) -> DataFrame:
@@ -97,7 +97,7 @@ class PointStore:
         and periods that are new to it meet no stored point. `staged` says that the points are
         read from files already; otherwise they are written aside first, because they are looked
         at twice and may come from this very store."""
-        incoming = points.selectExpr(*POINT.names, f"{self._period_of('ts')} AS period")
+        incoming = points.selectExpr(*POINT.names, f"{self.period_of('ts')} AS period")
         if not self.exists():
             self._write(incoming, self.path)
         elif staged:
@@ -142,7 +142,7 @@ class PointStore:
         if not_after is not None:
             until = str(min(datetime.fromisoformat(until), datetime.fromisoformat(not_after)))
         limit = ntz(until)
-        edge = self._period_of(limit)
+        edge = self.period_of(limit)
         self._drop_periods(self._stored().filter(f"period < {edge}").select("period").distinct())
         self.delete(f"ts < {limit}", within=f"period = {edge}")
 

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from meterloom import schemas
 from meterloom.functions.time import epoch_of, epoch_to_ntz, in_range
@@ -29,22 +30,29 @@ class Inputs:
 
     def readings(self, start: str | None = None, end: str | None = None) -> DataFrame:
         """Both readings tables, short-term first, within a half-open range."""
-        if self.scan is None:
-            both = self.short_term.unionByName(self.long_term)
+        tables = (schemas.SHORT_TERM, schemas.LONG_TERM)
+        short_term, long_term = (self.table_readings(t, start, end) for t in tables)
+        return short_term.unionByName(long_term)
+
+    def table_readings(self, table: str, start: str | None = None, end: str | None = None) -> DataFrame:
+        """One readings table within a half-open range."""
+        if self.scan is not None:
+            found = self.scan(table, start, end)
         else:
-            tables = (schemas.SHORT_TERM, schemas.LONG_TERM)
-            short_term, long_term = (self.scan(t, start, end) for t in tables)
-            both = short_term.unionByName(long_term)
-        return both.filter(in_range("start_ts", start, end))
+            found = self.short_term if table == schemas.SHORT_TERM else self.long_term
+        return found.filter(in_range("start_ts", start, end))
 
 
-# Types that may stand in for a wider one.
+# Types that may stand in for another. Decimals are numbers, whatever their size; void is a column of
+# nulls.
+_WHOLE = {"bigint", "int", "smallint", "tinyint"}
+_NUMBERS = _WHOLE | {"double", "float", "decimal"}
 _WIDER = {
-    "bigint": {"bigint", "int", "smallint", "tinyint"},
-    "int": {"int", "smallint", "tinyint", "bigint"},
-    "double": {"double", "float", "bigint", "int", "smallint", "tinyint"},
-    "boolean": {"boolean", "int", "bigint", "smallint", "tinyint"},
-    "string": {"string"},
+    "bigint": _WHOLE | {"decimal"},
+    "int": _WHOLE | {"decimal"},
+    "double": _NUMBERS,
+    "boolean": {"boolean", "decimal"} | _WHOLE,
+    "string": {"string", "varchar", "char"},
 }
 
 
@@ -53,10 +61,11 @@ def require_columns(df: DataFrame, table: str, expected) -> DataFrame:
     if missing:
         raise ValueError(f"table {table} lacks columns: {missing}")
     for field in expected:
-        found = df.schema[field.name].dataType.simpleString()
-        accepted = _WIDER.get(field.dataType.simpleString(), {field.dataType.simpleString()})
-        if found not in accepted and not found.startswith(("decimal", "varchar", "char", "void")):
-            wanted = field.dataType.simpleString()
+        found, wanted = (t.dataType.simpleString() for t in (df.schema[field.name], field))
+        kind = found.partition("(")[0]
+        fraction = isinstance(df.schema[field.name].dataType, T.DecimalType) and not found.endswith(",0)")
+        whole_only = fraction and wanted not in ("double", "boolean")
+        if kind != "void" and (kind not in _WIDER.get(wanted, {wanted}) or whole_only):
             raise ValueError(f"table {table}: column {field.name} is {found}, not {wanted}")
     return df
 
