@@ -1,24 +1,27 @@
 """Line de-duplication by pairwise alignment.
 
-Documents are sequences of line hashes. Their windows are the shortest runs of lines that hold
-enough characters, from each line on and up to each line; every run with enough characters is
-covered by the windows inside it. A window leads each of its documents to the first document that
-has it, however many have it, so a document meets at most two partners per line, and no group of
-documents is paired with itself. Each pair is aligned by patience diff: common beginnings and ends,
-then the lines unique on both sides in their longest increasing run, then the gaps between them.
-Runs of aligned lines that hold enough characters are common blocks; so are the windows that both
-have elsewhere (moved or repeated lines). The later document loses them. So no run of lines with
-enough characters stays that an earlier document has.
-
-With max_df, partners are chosen by single lines instead, those in at most max_df documents or the
-least frequent shared line of a document; that is less work on lines shared by very many documents,
-but blocks of such lines may stay. Exact copies are handled before that and exactly: of documents with one text, the first keeps it
-and the others lose it as one block. Documents are ordered by id (null first), then by text hash.
-
-Defined results: a null text is empty and stays null if nothing is removed; lines without a
-word are never rare, are removed only inside a block, and add nothing to its length; rows that
-repeat id and text are one document repeated and share its result; an empty table gives no rows.
-Extra columns are carried along and may have any name."""
+Documents are sequences of line hashes. Overlaps are found by what is rare in them: not single lines,
+which very many documents may share, but the shortest runs of lines that hold enough characters, from
+each line on and up to each line. Every run with enough characters is covered by such windows, and a
+window leads each of its documents to the first document that has it, however many have it. So a
+document meets at most two partners per line, and no group of documents is paired with itself.
+
+Each pair is aligned by patience diff: common beginnings and ends, then the lines unique on both sides
+in their longest increasing run, then the gaps between them; where no line of a gap is unique, its
+rarest common line takes their place. Runs of aligned lines that hold enough characters are common
+blocks, and the later document loses them; what is left is aligned again until no block is found, so
+moved blocks go as well. An exact check follows: windows that the earlier document still has, which are
+lines repeated in another order, go too. So no run of lines with enough characters stays that an
+earlier document has.
+
+Exact copies are handled before that: of documents with one text, the first keeps it and the others
+lose it as one block. Documents are ordered by id (null first), then by text hash; texts that share an
+id are told apart by their hash.
+
+Defined results: a null text is empty and stays null if nothing is removed; lines without a word lead
+nowhere, are removed only inside a block, and add nothing to its length; rows that repeat id and text
+are one document repeated and share its result; an empty table gives no rows. Extra columns are
+carried along and may have any name."""
 
 from __future__ import annotations
 
@@ -31,7 +34,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterloom.llm.common import byte_texts, text_key
@@ -39,14 +42,12 @@ from meterloom.sources.scratch import scratch_path
 
 WIDTH = 16
 BLANK = bytes(WIDTH)
-ORDER = ("order_id", "key")
 
 
 @dataclass(frozen=True)
 class LineRules:
-    """A block is removed from min_chars on; None for max_df finds all blocks."""
+    """A block is removed from min_chars on."""
 
-    max_df: int | None = None
     min_chars: int = 60
 
 
@@ -94,7 +95,17 @@ def _anchors(a: Sequence[bytes], b: Sequence[bytes], lo: tuple, hi: tuple) -> li
     while k >= 0:
         run.append(pairs[k])
         k = back[k]
-    return run[::-1]
+    return run[::-1] or _rarest(a, b, lo, hi)
+
+
+def _rarest(a: Sequence[bytes], b: Sequence[bytes], lo: tuple, hi: tuple) -> list[tuple[int, int]]:
+    """One pair: the rarest line that both ranges have, where it comes first in each."""
+    counts = Counter(a[lo[0] : hi[0]])
+    shared = [x for x in dict.fromkeys(b[lo[1] : hi[1]]) if x != BLANK and counts[x]]
+    if not shared:
+        return []
+    best = min(shared, key=counts.__getitem__)
+    return [(a.index(best, lo[0], hi[0]), b.index(best, lo[1], hi[1]))]
 
 
 def align(a: Sequence[bytes], b: Sequence[bytes]) -> list[tuple[int, int]]:
@@ -157,27 +168,33 @@ def _held(a: Sequence[bytes], b: Sequence[bytes], sizes_b: Sequence[int], min_ch
     return {k for i, j in runs for k in range(i, j)}
 
 
-def common_blocks(
-    a: Sequence[bytes], b: Sequence[bytes], sizes_b: Sequence[int], min_chars: int
-) -> list[tuple[int, int]]:
-    """(first line, lines) in b of runs that a has and that hold enough characters: first those
-    that are aligned, then those that moved or repeat."""
-    blocks: list[list[int]] = []
-    last = (-2, -2)
-    for i, j in align(a, b):
-        if (i - 1, j - 1) == last:
-            blocks[-1][1] += 1
-        else:
-            blocks.append([j, 1])
+def _runs(pairs: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """(first line of b, lines) of aligned lines that follow each other on both sides."""
+    start, last = 0, (-2, -2)
+    for i, j in [*pairs, (-2, -2)]:
+        if (i - 1, j - 1) != last:
+            if last[1] >= 0:
+                yield start, last[1] + 1 - start
+            start = j
         last = i, j
-    lost = {k for j, n in blocks if sum(sizes_b[j : j + n]) >= min_chars for k in range(j, j + n)}
-    runs: list[list[int]] = []
-    for k in sorted(lost | _held(a, b, sizes_b, min_chars)):
-        if runs and k == sum(runs[-1]):
-            runs[-1][1] += 1
-        else:
-            runs.append([k, 1])
-    return [(j, n) for j, n in runs]
+
+
+def common_blocks(
+    a: list[bytes], b: list[bytes], sizes_b: Sequence[int], min_chars: int
+) -> tuple[set[int], set[int]]:
+    """Lines of b in runs that a has and that hold enough characters: those that alignment finds, and
+    those that only the check of all windows finds. The first pass aligns the whole documents, the
+    next ones what the check still finds, until alignment adds nothing."""
+    lost: set[int] = set()
+    rest = list(b)
+    while True:
+        found = _runs(align(a, rest))
+        new = {k for j, n in found if sum(sizes_b[j : j + n]) >= min_chars for k in range(j, j + n)} - lost
+        lost |= new
+        left = _held(a, b, sizes_b, min_chars) - lost
+        if not new or not left:
+            return lost, left
+        rest = [x if k in left else b"-%d" % k for k, x in enumerate(b)]  # equal to no line
 
 
 def _split(seq: bytes) -> list[bytes]:
@@ -185,89 +202,75 @@ def _split(seq: bytes) -> list[bytes]:
 
 
 def _window_rows(texts: DataFrame, min_chars: int) -> DataFrame:
-    """order_id, key of a text and line, the hash of one of its windows."""
+    """place of a text and window, the hash of one of its windows."""
     digest = xxhash.xxh3_128_digest
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def made(rows: list[tuple]) -> pa.RecordBatch:
-            ids, keys, found = zip(*rows)
+            places, found = zip(*rows)
             return pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(keys, pa.binary()), pa.array(found, pa.binary())],
-                names=[*ORDER, "line"],
+                [pa.array(places, pa.binary()), pa.array(found, pa.binary())], names=["place", "window"]
             )
 
         rows: list[tuple] = []
         for batch in batches:
-            for i, key, seq, sizes in zip(*(batch.column(c) for c in (*ORDER, "seq", "sizes"))):
-                i, key, seq = i.as_py(), key.as_py(), seq.as_py()
+            for place, seq, sizes in zip(*(batch.column(c) for c in ("place", "seq", "sizes"))):
+                place, seq = place.as_py(), seq.as_py()
                 runs = windows(np.frombuffer(sizes.as_py(), np.int32).tolist(), min_chars)
                 for x in {digest(seq[a * WIDTH : b * WIDTH]) for a, b in runs}:
-                    rows.append((i, key, x))
+                    rows.append((place, x))
                 if len(rows) >= 1 << 15:
                     yield made(rows)
                     rows = []
         if rows:
             yield made(rows)
 
-    slim = texts.select(*ORDER, "seq", "sizes")
-    return slim.mapInArrow(cut, "order_id long, key binary, line binary")
-
-
-def _line_rows(texts: DataFrame) -> DataFrame:
-    """order_id, key of a text and line, the hash of one of its lines."""
-    lines = F.transform(
-        F.sequence(F.lit(0), F.length("seq") - WIDTH, F.lit(WIDTH)),
-        lambda at: F.substring("seq", at + 1, F.lit(WIDTH)),
-    )
-    rows = texts.select(*ORDER, F.explode(F.array_distinct(lines)).alias("line"))
-    return rows.filter(F.col("line") != F.lit(BLANK))
+    return texts.select("place", "seq", "sizes").mapInArrow(cut, "place binary, window binary")
 
 
 def _pairs(texts: DataFrame, rules: LineRules) -> DataFrame:
-    """key, order_id of a text and first_id, the id of the first document with one of its windows
-    (with max_df, its rare lines). They are counted before they are shuffled."""
-    rows = _window_rows(texts, rules.min_chars) if rules.max_df is None else _line_rows(texts)
-    shared = (
-        rows.groupBy("line")
-        .agg(F.count("*").alias("df"), F.min("order_id").alias("first_id"))
-        .filter("df > 1")
-    )
+    """place of a text and first, the place of an earlier text that is the first with one of its
+    windows. Windows are reduced to their first text before they are shuffled."""
+    rows = _window_rows(texts, rules.min_chars)
+    shared = rows.groupBy("window").agg(F.count("*").alias("df"), F.min("place").alias("first"))
     # The counts get a key of their own: both sides of the join then start at their own exchange,
-    # and the rows of a very common line can be split over tasks.
-    shared = shared.select(F.substring("line", 1, WIDTH).alias("of_line"), "df", "first_id")
-    led = rows.join(shared, F.col("line") == F.col("of_line"))
-    if rules.max_df is not None:
-        led = led.withColumn("least", F.min("df").over(Window.partitionBy("key")))
-        led = led.filter(F.col("df") <= F.greatest(F.lit(rules.max_df), F.col("least")))
-    return led.filter("first_id <= order_id").select(*ORDER, "first_id").distinct()
+    # and the rows of a very common window can be split over tasks.
+    shared = shared.filter("df > 1").select(F.hex("window").alias("of_window"), "first")
+    led = rows.join(shared, F.hex("window") == F.col("of_window")).filter("first < place")
+    return led.select("place", "first").distinct()
 
 
 def _removals(texts: DataFrame, rules: LineRules) -> DataFrame:
-    """key, lines (positions that the text loses to earlier texts)."""
-    pairs = _pairs(texts, rules)
-    later = pairs.join(texts.select("key", "seq", "sizes"), "key")
-    first = texts.select(
-        F.col("order_id").alias("p_id"), F.col("key").alias("p_key"), F.col("seq").alias("p_seq")
-    )
-    earlier = (first["p_id"] == later["first_id"]) & (
-        (first["p_id"] < later["order_id"]) | (first["p_key"] < later["key"])
-    )
-    both = later.join(first, earlier).select("key", "seq", "sizes", "p_seq")
+    """key, lines (positions that the text loses to earlier texts), n_aligned (how many of them
+    alignment found)."""
+    lined = texts.select("place", "key", "seq", "sizes")
+    later = _pairs(texts, rules).join(lined, "place")
+    first = texts.select(F.col("place").alias("p_place"), F.col("seq").alias("p_seq"))
+    both = later.join(first, F.col("p_place") == F.col("first")).select("key", "seq", "sizes", "p_seq")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, lines = [], []
-            for key, seq, sizes, p_seq in zip(*(batch.column(c).to_pylist() for c in ("key", "seq", "sizes", "p_seq"))):
-                counts = np.frombuffer(sizes, np.int32).tolist()
-                for j, n in common_blocks(_split(p_seq), _split(seq), counts, rules.min_chars):
-                    keys += [key] * n
-                    lines += range(j, j + n)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.binary()), pa.array(lines, pa.int32())], names=["key", "line"]
-            )
-
-    lost = both.mapInArrow(compare, "key binary, line int").distinct()
-    return lost.groupBy("key").agg(F.collect_set("line").alias("lines"))
+            for at in range(0, batch.num_rows, 64):
+                keys, lines, found = [], [], []
+                some = batch.slice(at, 64)
+                for key, seq, sizes, p_seq in zip(*(some.column(c).to_pylist() for c in ("key", "seq", "sizes", "p_seq"))):
+                    counts = np.frombuffer(sizes, np.int32).tolist()
+                    for lost, by in zip(
+                        common_blocks(_split(p_seq), _split(seq), counts, rules.min_chars), (True, False)
+                    ):
+                        keys += [key] * len(lost)
+                        lines += lost
+                        found += [by] * len(lost)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys, pa.binary()), pa.array(lines, pa.int32()), pa.array(found, pa.bool_())],
+                    names=["key", "line", "aligned"],
+                )
+
+    lost = both.mapInArrow(compare, "key binary, line int, aligned boolean")
+    lost = lost.groupBy("key", "line").agg(F.max("aligned").alias("aligned"))
+    return lost.groupBy("key").agg(
+        F.collect_set("line").alias("lines"), F.expr("count_if(aligned)").alias("n_aligned")
+    )
 
 
 def _kept_text(text: Column, lines: Column) -> Column:
@@ -286,23 +289,30 @@ def dedup_lines(
     text: str = "text",
 ) -> DataFrame:
     """row (all columns of docs), cleaned (the text that is left), n_removed (lines with a word
-    that went), is_copy. Line hashes are written once; texts are read again at the end, where they
+    that went), is_copy, n_aligned (lines that went by alignment, without those of copies). Line hashes are written once; texts are read again at the end, where they
     meet what they lose."""
     path = scratch_path(spark, "line-hashes")
     _lines(docs, doc_id, text).write.parquet(path)
     hashed = spark.read.parquet(path)
     path = scratch_path(spark, "texts")
-    hashed.groupBy("key").agg(
+    once = hashed.groupBy("key").agg(
         F.min("order_id").alias("order_id"), F.first("seq").alias("seq"), F.first("sizes").alias("sizes")
-    ).write.parquet(path)
+    )
+    # The place in the order of documents: the id as an unsigned number, then the text hash.
+    unsigned = F.lpad(F.hex(F.expr("order_id ^ -9223372036854775808")), 16, "0")
+    once.withColumn("place", F.concat(F.unhex(unsigned), F.col("key"))).write.parquet(path)
     texts = spark.read.parquet(path)
+    # One row per text, under a key of its own, so that the rows of a very frequent text can be
+    # split over tasks.
+    found = texts.select("key", "order_id").join(_removals(texts, rules), "key", "left")
+    found = found.select(F.hex("key").alias("of_key"), "order_id", "lines", "n_aligned")
 
     keyed = docs.select(
         F.struct(*[docs[c] for c in docs.columns]).alias("row"),
         F.coalesce(docs[doc_id].cast("long"), F.lit(-(1 << 63)).cast("long")).alias("id"),
-        text_key(docs[text]).alias("key"),
+        F.hex(text_key(docs[text])).alias("key"),
     )
-    joined = keyed.join(texts.select("key", "order_id"), "key").join(_removals(texts, rules), "key", "left")
+    joined = keyed.join(found, F.col("key") == F.col("of_key"))
     value = F.col(f"row.{text}")
     solid = F.expr(r"filter(split(coalesce(row.`%s`, ''), '\n', -1), x -> x rlike '[^ \\t-\\r]')" % text)
     chars = F.aggregate(solid, F.lit(0), lambda n, x: n + F.length(x))
@@ -311,7 +321,10 @@ def dedup_lines(
     cleaned = cleaned.otherwise(_kept_text(value, F.col("lines")))
     left = F.expr(r"size(filter(split(coalesce(cleaned, ''), '\n', -1), x -> x rlike '[^ \\t-\\r]'))")
     return (
-        joined.select("row", is_copy.alias("is_copy"), F.size(solid).alias("n_lines"), cleaned.alias("cleaned"))
+        joined.select(
+            "row", is_copy.alias("is_copy"), F.size(solid).alias("n_lines"), cleaned.alias("cleaned"),
+            F.when(is_copy, F.lit(0)).otherwise(F.coalesce("n_aligned", F.lit(0))).alias("n_aligned"),
+        )
         .withColumn("n_removed", F.col("n_lines") - left)
     )
 
@@ -325,12 +338,13 @@ def replace_texts(
 
 
 def report(spark: SparkSession, docs: DataFrame, rules: LineRules = LineRules()) -> DataFrame:
-    """doc_id, n_lines, n_removed, is_copy, kept_chars, kept_sha256."""
+    """doc_id, n_lines, n_removed, n_aligned, is_copy, kept_chars, kept_sha256."""
     left = F.coalesce("cleaned", F.lit(""))
     return dedup_lines(spark, docs, rules).select(
         F.col("row.doc_id").alias("doc_id"),
         F.col("n_lines").cast("long").alias("n_lines"),
         F.col("n_removed").cast("long").alias("n_removed"),
+        F.col("n_aligned").cast("long").alias("n_aligned"),
         "is_copy",
         F.length(left).cast("long").alias("kept_chars"),
         F.sha2(left, 256).alias("kept_sha256"),
