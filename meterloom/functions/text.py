@@ -22,9 +22,11 @@ def object_id_of(statistic_id: str) -> str:
     return f"get(split({statistic_id}, '[.]', 2), 1)"
 
 
-def attribute(json: str, key: str) -> str:
-    """One top-level JSON attribute; null when missing or when the text is malformed."""
-    return f"get_json_object({json}, '$.{key}')"
+def attributes_in(json: str, keys: Iterable[str]) -> str:
+    """Top-level JSON attributes as columns of their names, from one parse of the text; null when
+    missing or when the text is malformed."""
+    keys = tuple(keys)
+    return f"json_tuple({json}, {', '.join(map(lit, keys))}) AS ({', '.join(keys)})"
 
 
 def contains_any(text: str, words: Iterable[str]) -> str:

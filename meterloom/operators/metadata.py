@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterloom.functions.text import attribute, display_name, non_empty
+from meterloom.functions.text import attributes_in, display_name, non_empty
 from meterloom.sources.tables import basic_metadata
 
 Attributes = tuple[DataFrame, DataFrame, DataFrame]
@@ -23,15 +23,16 @@ def latest_attributes(states: DataFrame, untimed: bool = False) -> DataFrame:
     """The attribute set in force per entity: newest state that has one, ties by highest id. A
     state without a time counts only if `untimed`, and then behind all others.
 
-    All buffers are fixed-width numbers, so these are hash aggregates with map-side combine; an
-    entity with a long history costs no more shuffle than any other."""
+    The states are read once, in two aggregates over fixed-width numbers with map-side combine: the
+    highest set per entity and time, then the set of the latest time. An entity with a long history
+    is spread over its times in the first and is one row per task in the second."""
     known = states.filter("attributes_id IS NOT NULL AND metadata_id IS NOT NULL")
     if not untimed:
         known = known.filter("last_updated_ts IS NOT NULL")
-    sets = known.groupBy("metadata_id", "attributes_id").agg(F.max("last_updated_ts").alias("at"))
-    newest = sets.groupBy("metadata_id").agg(F.max("at").alias("newest_at"))
-    tied = sets.join(newest, "metadata_id").filter("at <=> newest_at")
-    return tied.groupBy("metadata_id").agg(F.max("attributes_id").alias("attributes_id"))
+    highest = known.groupBy("metadata_id", "last_updated_ts").agg(F.max("attributes_id").alias("highest"))
+    # Without any time there is one row, and no latest.
+    latest = F.coalesce(F.max_by("highest", "last_updated_ts"), F.max("highest"))
+    return highest.groupBy("metadata_id").agg(latest.alias("attributes_id"))
 
 
 def entity_attributes(
@@ -53,8 +54,7 @@ def entity_attributes(
     joined = states_meta.join(latest, "metadata_id", "left").join(
         attribute_sets, "attributes_id", "left"
     )
-    read = [f"{attribute('shared_attrs', key)} AS {key}" for key in ATTRIBUTES]
-    return joined.selectExpr("entity_id", "metadata_id", *read)
+    return joined.selectExpr("entity_id", "metadata_id", attributes_in("shared_attrs", ATTRIBUTES))
 
 
 def attributes_of(entities: DataFrame, attributes: Attributes, small: bool = False) -> DataFrame:

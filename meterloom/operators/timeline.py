@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,8 +47,8 @@ def newest_per_point(points: DataFrame, version: str) -> DataFrame:
     return points.groupBy(*SERIES, "ts").agg(F.max_by("value", version).alias("value"))
 
 
-def unified(recent: DataFrame, historical: DataFrame) -> DataFrame:
-    """Both stores as one timeline; the recent store wins where both have the point."""
-    ranked = recent.selectExpr("*", "1 AS priority")
-    both = ranked.unionByName(historical.selectExpr("*", "0 AS priority"))
-    return newest_per_point(both, "priority")
+def unified(*stores: DataFrame) -> DataFrame:
+    """Stores as one timeline; where several have a point, the first of them wins. One aggregate
+    over all of them."""
+    ranked = [s.selectExpr("*", f"{-place} AS priority") for place, s in enumerate(stores)]
+    return newest_per_point(reduce(DataFrame.unionByName, ranked), "priority")

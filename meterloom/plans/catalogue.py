@@ -668,6 +668,34 @@ def lifecycle_catch_up(s: Sensors) -> DataFrame:
     return _both(recent, historical)
 
 
+@_query
+def lifecycle_deltas(s: Sensors) -> DataFrame:
+    """The two runs of lifecycle_catch_up with a historical store that takes rollups as deltas, read
+    before they are folded."""
+    recent, historical = _written_stores(s)
+    historical = replace(historical, max_deltas=10)
+    maintain(recent, historical, "2024-02-10 00:00:00")
+    maintain(recent, historical, "2024-04-20 00:00:00")
+    return _both(recent, historical)
+
+
+@_query
+def rollup_late_points(s: Sensors) -> DataFrame:
+    """A sixth of the points arrives after their hours were rolled up; the next run takes these
+    hours up again, and no others."""
+    recent = PointStore(
+        s.spark, scratch_path(s.spark, "recent"), retention_days=90, log_changes=True
+    )
+    historical = PointStore(s.spark, scratch_path(s.spark, "historical"), "month", max_deltas=10)
+    late = "minute(ts) < 10"
+    recent.replace(s.recent().filter(f"NOT {late}"))
+    historical.replace(s.historical())
+    maintain(recent, historical, "2024-02-20 00:00:00")
+    recent.replace(s.recent().filter(f"{late} AND ts < TIMESTAMP_NTZ '2024-01-16 00:00:00'"))
+    maintain(recent, historical, "2024-02-20 00:30:00")
+    return _both(recent, historical)
+
+
 def _utc_session(s: Sensors) -> SparkSession:
     """Event time is a session-zoned timestamp on the streaming path only."""
     session = s.spark.newSession()
@@ -691,17 +719,21 @@ def rollup_stream(s: Sensors) -> DataFrame:
 
 @_query
 def dedup_stream(s: Sensors) -> DataFrame:
-    """Keys of the first readings seen by the streaming de-duplication of the events."""
+    """First readings of a stream of both tables: two thirds of the events as short-term readings,
+    half of them as long-term ones. Keys that the watermark has not closed are not emitted."""
     session = _utc_session(s)
     events = (
         session.readStream.schema(dt.SCHEMAS["events"])
         .option("pathGlobFilter", "events.parquet")
         .parquet(s.sf_dir)
     )
-    first = st.first_readings_stream(dt.short_term_of(events)).select("metadata_id", "start_ts")
+    short = dt.short_term_of(events.filter("event_id % 3 <> 0"))
+    long = dt.short_term_of(events.filter("event_id % 2 = 0")).withColumn("table_rank", F.lit(1))
+    first = st.first_readings_stream(short.unionByName(long))
     out = scratch_path(s.spark, "stream-out")
     st.run_to_parquet(first, out, scratch_path(s.spark, "stream-checkpoint"))
-    return s.spark.read.schema(first.schema).parquet(out)
+    found = s.spark.read.schema(first.schema).parquet(out)
+    return found.select("metadata_id", "start_ts", "table_rank", "id", "value", "n_short", "n_long")
 
 
 # --- stores ---------------------------------------------------------------------------------
@@ -792,8 +824,7 @@ def unified_timeline(s: Sensors) -> DataFrame:
     """Recent points over the historical store: the migrated long-term points, with the rollup of
     the recent ones in place of equal keys."""
     recent = s.recent()
-    historical = tl.unified(ro.rollup(recent), s.historical())
-    return _rounded(tl.unified(recent, historical), "value")
+    return _rounded(tl.unified(recent, ro.rollup(recent), s.historical()), "value")
 
 
 @_query

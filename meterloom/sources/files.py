@@ -24,6 +24,11 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(root)) if fs.exists(root) else []
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, root = locate(spark, path)
+    fs.mkdirs(root)
+
+
 def move(spark: SparkSession, source: str, target: str) -> None:
     """Rename, which shows the target whole or not at all."""
     fs, root = locate(spark, source)

@@ -1,13 +1,15 @@
-"""The rollup as a Structured Streaming job.
+"""The rollup and the de-duplication as Structured Streaming jobs.
 
 The batch form is the reference: it ages points by the clock. A watermark ages them by the
-largest event time seen, so the streaming form agrees on every hour the watermark has closed."""
+largest event time seen, so the streaming form agrees on every hour (or key) the watermark has
+closed."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from meterloom.operators.readings import first_readings
 from meterloom.operators.rollup import RULES, rollup
 from meterloom.rules import RollupRules
 from meterloom.sources.store import PointStore
@@ -22,13 +24,15 @@ def _event_time(stream: DataFrame, column: str, delay: str) -> DataFrame:
 
 
 def first_readings_stream(readings: DataFrame, delay: str = "1 hour") -> DataFrame:
-    """The first reading per (metadata_id, start_ts) to arrive within the delay. A stream cannot
-    wait for a better one: unlike in the batch form, the survivor is the first to arrive, not
-    the short-term one with the lowest id."""
-    timed = _event_time(readings, "start_ts", delay)
-    return timed.dropDuplicatesWithinWatermark(["metadata_id", "start_ts"]).withColumn(
-        "start_ts", F.col("start_ts").cast("timestamp_ntz")
-    )
+    """The first reading per (metadata_id, start_ts) of a stream of both tables, by the rule of the
+    batch form: short-term before long-term, then the lowest id, whatever the order of arrival.
+
+    The state holds one row per open key, the lowest so far; a key is emitted once the watermark
+    has closed it (its time lies the delay behind the latest one), and readings that come later are
+    dropped. Readings without a time belong to no key and are left out."""
+    timed = _event_time(readings.filter("start_ts IS NOT NULL"), "start_ts", delay)
+    first = first_readings(timed)
+    return first.withColumn("start_ts", F.col("start_ts").cast("timestamp_ntz"))
 
 
 def rollup_stream(points: DataFrame, delay: str = "30 days", rules: RollupRules = RULES) -> DataFrame:
