@@ -317,16 +317,28 @@ def worst_entities(issue_rows: DataFrame, n: int = 5) -> DataFrame:
 
 
 def worst_examples(issue_rows: DataFrame, n: int = 5, examples: int = 3) -> DataFrame:
-    """The first issues of each of the worst entities, by time and then field order."""
-    # Bounded: n rows per table.
-    worst = F.broadcast(worst_entities(issue_rows, n).select("table_rank", "statistic_id"))
+    """The first issues of each of the worst entities, by time and then field order.
+
+    Counts and examples come from one pass over the issues: per (entity, day) their number and
+    the first of them, then the same per entity over these few rows, so the days of an entity with
+    very many issues are spread over tasks."""
     fields = ", ".join(lit(f) for f in FIELDS)
-    order = f"start_ts, id, array_position(array({fields}), field)"
-    position = (
-        f"row_number() OVER (PARTITION BY table_rank, statistic_id ORDER BY {order}) AS position"
+    order = f"ORDER BY start_ts, id, array_position(array({fields}), field)"
+    entity = "PARTITION BY table_rank, statistic_id"
+    days = issue_rows.selectExpr("*", "to_date(start_ts) AS day").selectExpr(
+        "*",
+        f"row_number() OVER ({entity}, day {order}) AS place_in_day",
+        f"count(*) OVER ({entity}, day) AS n_in_day",
+    )
+    first = days.filter(f"place_in_day <= {examples}").selectExpr(
+        "*",
+        f"row_number() OVER ({entity} {order}) AS position",
+        f"sum(CASE WHEN place_in_day = 1 THEN n_in_day END) OVER ({entity}) AS n_issues",
     )
-    theirs = issue_rows.join(worst, ["table_rank", "statistic_id"], "left_semi")
-    return theirs.selectExpr("*", position).filter(f"position <= {examples}")
+    # An entity keeps few rows here, and those of the first n are found before they are dealt.
+    rank = "dense_rank() OVER (PARTITION BY table_rank ORDER BY n_issues DESC, statistic_id) AS place"
+    worst = first.filter(f"position <= {examples}").selectExpr("*", rank).filter(f"place <= {n}")
+    return worst.select(*issue_rows.columns, "position")
 
 
 def reading_sample(readings: DataFrame, n: int | None = None) -> DataFrame:

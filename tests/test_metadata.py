@@ -91,11 +91,17 @@ def test_only_repeated_names_lose_the_prefix(spark):
 def test_latest_attributes_are_hash_aggregates(spark):
     for untimed in (False, True):
         latest = md.latest_attributes(attributes(spark)[1], untimed)
-        assert "SortAggregate" not in latest._jdf.queryExecution().executedPlan().toString()
+        plan = latest._jdf.queryExecution().executedPlan().toString()
+        assert "SortAggregate" not in plan and "Join" not in plan
         got = {r.metadata_id: r.attributes_id for r in latest.collect()}
         assert (13 in got) == untimed
 
 
+def test_the_attribute_text_is_parsed_once(spark):
+    plan = md.entity_attributes(attributes(spark))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("json_tuple") == 1 and "get_json_object" not in plan
+
+
 def test_listed_ids_may_repeat(spark):
     ids = spark.createDataFrame([(1,)] * 50 + [(2,), (None,), (77,)], "metadata_id long")
     assert sorted(r.id for r in md.by_ids(meta(spark, META), ids, "metadata_id").collect()) == [1, 2]

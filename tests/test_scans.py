@@ -72,3 +72,9 @@ def test_metrics_read_each_fact_table_once(spark, sf_dir):
     # events feed both the short-term table and the hourly part of the long-term one.
     assert plan.count("lineitem.parquet") == 1
     assert plan.count("events.parquet") == 2
+
+
+def test_worst_examples_read_each_fact_table_once(spark, sf_dir):
+    plan = _plan(query_functions()["worst_offender_examples"](spark, sf_dir))
+    assert plan.count("lineitem.parquet") == 1
+    assert plan.count("events.parquet") == 2
