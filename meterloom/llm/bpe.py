@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 from meterloom.llm.common import str_texts
 
 NEVER = 1 << 40
-CACHE_WORDS = 600_000
-CACHE_PAIRS = 1_000_000
+CACHE_WORDS = 200_000
+CACHE_PAIRS = 300_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
