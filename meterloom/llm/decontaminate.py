@@ -7,7 +7,8 @@ items found, and documents, or the covered spans, are removed.
 
 The set is broadcast only while its number of windows, which is counted, stays within a bound;
 beyond it the same join is left to Catalyst, which shuffles both sides and splits hot windows.
-Document words are handled in blocks, so that windows take a fixed multiple of a block's memory.
+Document words are handled in blocks, so that windows take a fixed multiple of a block's memory, and
+a window is built only where its first two words may begin a known one.
 
 Defined results: a null or empty text has no words and no hits; an item without words (or null)
 matches nothing; a null item id is listed as an empty string; items that repeat an id count once;
@@ -16,6 +17,8 @@ table gives no rows. Only the named columns are read, so other columns may have
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,7 +27,8 @@ from meterloom.operators.sizing import is_small, maybe_broadcast
 from meterloom.sources.scratch import scratch_path
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: What stands between words, in a text without capitals.
+GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: A word or what stands between words, in a text that still has its capitals.
 PIECE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+|[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 BLOCK = 1024
@@ -33,9 +37,12 @@ BROADCAST_WINDOWS = 200_000
 
 
 def words(text: Column) -> Column:
-    """Words of a text with A-Z lower-cased; none for null."""
-    lowered = F.translate(F.coalesce(text, F.lit("")), UPPER, UPPER.lower())
-    return F.regexp_extract_all(lowered, F.lit(WORD), F.lit(0))
+    """Words of a text with A-Z lower-cased; none for null. In a text of ASCII alone, that is what
+    lower does."""
+    given = F.coalesce(text, F.lit(""))
+    ascii_only = F.octet_length(given) == F.char_length(given)
+    lowered = F.when(ascii_only, F.lower(given)).otherwise(F.translate(given, UPPER, UPPER.lower()))
+    return F.array_remove(F.split(lowered, GAP), "")
 
 
 def _spans(items: Column, starts: Column, n: Column) -> Column:
@@ -55,6 +62,42 @@ def benchmark_windows(benchmark: DataFrame, n: int, item_id: str, text: str) ->
     return grams.groupBy("gram", "n_gram").agg(F.sort_array(F.collect_set("item")).alias("items"))
 
 
+def _long(value: int) -> str:
+    """A bigint literal; the least one has no positive counterpart to negate."""
+    return f"{value}L" if value > -(1 << 63) else "shiftleft(1L, 63)"
+
+
+def _may_begin(grams: DataFrame, lengths: list[int]) -> Callable[[Column, Column], Column]:
+    """A test of a word and the next one (null at the end): whether a known window may begin there.
+    It looks up a bit per hash of the first two words, or of the only one, of the known windows, so it
+    never says no for one of them. There are sixteen bits per window and at most 2^20, which bounds
+    what the driver gets."""
+    bits = min(20, max(10, (16 * grams.count()).bit_length()))
+
+    def spot(*first: Column) -> Column:
+        return F.shiftrightunsigned(F.xxhash64(*first), 64 - bits).cast("int")
+
+    parts = F.split("gram", " ")
+    spots = F.when(F.col("n_gram") > 1, spot(parts[0], F.get(parts, F.lit(1)))).otherwise(spot(parts[0]))
+    rows = grams.select(spots.alias("spot")).groupBy(F.shiftright("spot", 6).alias("place"))
+    rows = rows.agg(F.expr("bit_or(shiftleft(1L, spot & 63))").alias("bits")).collect()
+    found = {row["place"]: row["bits"] for row in rows}
+    table = F.expr(f"array({', '.join(_long(found.get(w, 0)) for w in range(1 << bits - 6))})")
+
+    def is_set(at: Column) -> Column:
+        return F.bit_get(F.get(table, F.shiftright(at, 6)), at.bitwiseAND(F.lit(63))) == 1
+
+    def test(first: Column, second: Column) -> Column:
+        either = F.lit(False)
+        if any(n > 1 for n in lengths):
+            either = either | is_set(spot(first, second))
+        if 1 in lengths:
+            either = either | is_set(spot(first))
+        return either
+
+    return test
+
+
 def scan(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -90,26 +133,22 @@ def scan(
         words(docs[text]).alias("words"),
     )
     cut = numbered.select("row", "kept", size.alias("n_words"), F.explode(blocks).alias("block"))
-    at, part = F.col("block.at"), F.col("block.words")
-
-    def windows(length: int) -> Column:
-        last = F.least(F.lit(BLOCK), F.size(part) - length + 1)
-        found = F.transform(
-            F.sequence(F.lit(1), last),
-            lambda i: F.struct(
-                (at + i - 1).alias("pos"),
-                F.lit(length).alias("len"),
-                F.concat_ws(" ", F.slice(part, i, F.lit(length))).alias("gram"),
-            ),
-        )
-        return F.when(last >= 1, found)
-
-    nothing = "array_remove(array(named_struct('pos', 0, 'len', 0, 'gram', '')), named_struct('pos', 0, 'len', 0, 'gram', ''))"
-    marker = F.expr(
-        "CASE WHEN block.at = 0 THEN array(named_struct('pos', -1, 'len', 0, 'gram', CAST(NULL AS STRING))) END"
-    )
-    every = F.concat(*[F.coalesce(x, F.expr(nothing)) for x in (marker, *map(windows, lengths))])
-    looked = cut.select("row", "kept", "n_words", F.explode(every).alias("w")).select(
+    # One row per position, and of these only the first of a document (its marker) and those where
+    # a window may begin; a row is built only if it stays.
+    at, part, i = F.col("block.at"), F.col("block.words"), F.col("i")
+    spots = cut.select("row", "kept", "n_words", "block", F.posexplode_outer(part).alias("i", "first"))
+    first_spot = (at == 0) & (F.coalesce(i, F.lit(0)) == 0)
+    may_begin = _may_begin(grams, lengths)(F.col("first"), F.get(part, i + 1))
+    spots = spots.filter(first_spot | ((i < BLOCK) & may_begin))
+
+    def window(length: int) -> Column:
+        gram = F.concat_ws(" ", F.slice(part, i + 1, F.lit(length)))
+        found = F.struct((at + i).alias("pos"), F.lit(length).alias("len"), gram.alias("gram"))
+        return F.when((i < BLOCK) & (i + length <= F.size(part)), found)
+
+    marker = F.expr("named_struct('pos', -1, 'len', 0, 'gram', CAST(NULL AS STRING))")
+    every = F.array(F.when(first_spot, marker), *map(window, lengths))
+    looked = spots.select("row", "kept", "n_words", F.explode(F.array_compact(every)).alias("w")).select(
         "row", "kept", "n_words", "w.pos", "w.len", "w.gram"
     )
     hits = looked.join(known, "gram", "left").filter("items IS NOT NULL OR pos = -1")
