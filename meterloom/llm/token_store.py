@@ -48,7 +48,7 @@ CACHE_WORDS = 900_000
 @dataclass(frozen=True)
 class StoreOptions:
     """end_id is appended to each document. The dictionary is trained on about sample_docs
-    documents, chosen by a hash of their ids, of which at most sample_bytes are used; it changes
+    documents, chosen by a hash of id and text, of which at most sample_bytes are used; it changes
     the size of the files only. A shard is closed after shard_bytes."""
 
     end_id: int = 2
@@ -141,10 +141,15 @@ def train_dictionary(
     docs: DataFrame, tokenizer: str, options: StoreOptions, doc_id: str, text: str
 ) -> bytes:
     """One task trains on the sampled documents' serialized ids. With too few of them for
-    training, the samples themselves are the dictionary."""
+    training, the samples themselves are the dictionary.
+
+    The sample is documented and bounded before its exchange: about sample_docs rows, chosen by a hash
+    of id and text (rows without id or of one id do not fall in together) and at most twice as many
+    (copies of a chosen row do). The dictionary changes file sizes, not ids."""
     share = min(1.0, options.sample_docs / max(1, docs.count()))
-    chosen = F.pmod(F.xxhash64(doc_id), F.lit(1 << 30)) < F.lit(int(share * (1 << 30)))
-    sample = docs.filter(chosen).select(F.col(text).alias("text")).repartition(1)
+    place = F.pmod(F.xxhash64(F.col(doc_id).cast("string"), F.col(text)), F.lit(1 << 30))
+    sample = docs.filter(place < F.lit(int(share * (1 << 30)))).select(F.col(text).alias("text"))
+    sample = sample.limit(2 * options.sample_docs).repartition(1)
     kind = "dictionary binary"
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -2,8 +2,8 @@
 
 Rules are host and path prefixes with a verdict, written as one string (`example.net/en/`). Their
 64-bit xxhash keys are sorted by Spark into shards of disjoint ranges; a shard file holds the keys,
-then the verdicts and the rule strings. Tasks memory-map shards, so all tasks of a machine share
-one copy, and probe them with a vectorised binary search. A key that is found is confirmed against
+then the verdicts and the rule strings. Tasks memory-map shards (those of a mounted folder are one
+copy per machine) and probe them with a vectorised binary search. A key that is found is confirmed against
 the stored string, and equal keys of different strings are all looked at.
 
 A URL is looked up once per host suffix and per path length that rules have. Of several fitting
@@ -16,6 +16,7 @@ read, so other columns may have any name."""
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -75,17 +76,20 @@ def build_index(rules: DataFrame, folder: str, rule: str = "rule", verdict: str
 
 
 class MappedShard:
-    """One shard, mapped into memory. A file that is not on a mounted folder is copied beside the
-    worker first, as any read-only side file is."""
+    """One shard, mapped into memory. A file that is not on a mounted folder is first copied beside
+    the worker, in blocks; the copy has no name any more once it is mapped, so it goes with its
+    worker, however that ends. Each worker has its own copy of the shards that it probes."""
 
     def __init__(self, folder: str, name: str):
         fs, root = filesystem(folder)
         path = f"{root}/{name}"
-        if fs.type_name != "local":
-            with fs.open_input_file(path) as source, tempfile.NamedTemporaryFile(delete=False) as copy:
-                copy.write(source.read())
-            path = copy.name
-        data = np.memmap(path, np.uint8, "r")
+        if fs.type_name == "local":
+            data = np.memmap(path, np.uint8, "r")
+        else:
+            with fs.open_input_stream(path) as source, tempfile.TemporaryFile() as copy:
+                shutil.copyfileobj(source, copy, 1 << 20)
+                copy.flush()
+                data = np.memmap(copy, np.uint8, "r")
         n = int(data[:8].view("<i8")[0])
         at = 8 + 8 * n
         self.keys = data[8:at].view("<i8")
