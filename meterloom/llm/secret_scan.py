@@ -1,32 +1,37 @@
 """Secret scan with a random forest that removes false positives, DataFrame functions only.
 
 Candidates are the values in words of a text that could hold a secret: long enough, with a digit or
-a long run of capitals. A word may hold several (JSON, calls, lists, query strings). Each is described by its length, the transitions between its characters, how much of it
-dictionary words cover, whether it looks like a path, and the words around it. A random forest
-(Spark ML) is trained on labelled findings and scores all candidates.
-
-Findings come labelled from a table (doc_id, pos, label). Where there is none, `shape_labels` marks
-those candidates whose shape alone decides (documented key formats, addresses, numbers); the forest
-does not see these rules, only the features. Training uses a bounded sample of labelled rows,
+a long run of capitals. A word may hold several (JSON, calls, lists, query strings). Each is described
+by its length, the transitions between its characters, how much of it dictionary words cover,
+whether it looks like a path, and the words around it, hashed, so that what they mean is learned. A
+random forest (Spark ML) is trained on labelled findings and scores all candidates.
+
+Findings come as labels of candidates of the documents themselves (doc_id, pos, label), or as a table
+of labelled texts (doc_id, text, label); by default the generated one of `labelled_findings`, whose
+shapes the forest is tested on by leaving some out. Training uses a bounded sample of labelled rows,
 max_train_rows, chosen by a hash of their place; everything else covers all rows.
 
 The dictionary is the letter tokens of a public vocabulary file, a fixed list whose size is
 checked before it is broadcast.
 
-Defined results: a null or empty text has no candidates; repeated rows each give their candidates;
-without labels of both kinds every candidate is kept with a null score; an empty table gives no
+Defined results: a null or empty text has no candidates, words without a value of eight visible ASCII
+characters, or of fewer than twelve characters, or without digit and eight capitals in a row, give
+none; repeated rows each give their candidates, and labels of a null id hold for documents without
+id; without labels of both kinds every candidate is kept with a null score; an empty table gives no
 rows. Texts of any length are one array of words. Only the named columns are read."""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import HashingTF, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from meterloom.llm.labelled_findings import labelled_findings
 from meterloom.sources.scratch import scratch_path
 
 BLANKS = r"[ \t-\r]+"
@@ -40,14 +45,14 @@ RUNS = (
     r"""(?:([A-Za-z][A-Za-z0-9_.-]*)["']?[=:]+["']?)?"""
     r"""((?:(?![&?][A-Za-z0-9_.-]+=)[!-~&&[^"',;()\[\]{}<>]]){8,})"""
 )
-SECRET_WORDS = r"(?i)pass|pwd|secret|token|key|auth|credential|bearer"
-OTHER_WORDS = r"(?i)example|sample|sha|commit|md5|checksum|uuid|mail|phone|tel|card|version"
+#: Buckets of the hashed words around a candidate.
+WORD_BUCKETS = 256
 DICTIONARY_WORDS = 100_000
 CLASSES = ("l", "u", "d", "s")
 TRANSITIONS = tuple(a + b for a in CLASSES for b in CLASSES)
 FEATURES = (
     "length", "n_distinct", "share_digits", "share_upper", "share_hex", "coverage",
-    "is_path", "n_separators", "own_key", "words_for", "words_against", "before_quote",
+    "is_path", "n_separators", "own_key", "before_quote",
     *(f"t_{t}" for t in TRANSITIONS),
 )
 
@@ -55,8 +60,8 @@ FEATURES = (
 @dataclass(frozen=True)
 class ForestOptions:
     max_train_rows: int = 20_000
-    trees: int = 20
-    depth: int = 6
+    trees: int = 60
+    depth: int = 16
     seed: int = 7
     threshold: float = 0.5
     # Documents in one of ten hash buckets are held out of training.
@@ -126,7 +131,6 @@ def features(found: DataFrame, entries: DataFrame) -> DataFrame:
     )
     classes = F.translate(kinds, "~", "s")
     rows = joined.withColumn("classes", classes)
-    around = F.concat_ws(" ", "before", "key")
     columns = {
         "length": F.length("value"),
         "n_distinct": F.size(F.array_distinct(F.split("value", ""))),
@@ -137,33 +141,40 @@ def features(found: DataFrame, entries: DataFrame) -> DataFrame:
         "is_path": F.expr("value rlike '[/\\\\\\\\@]|[a-z]\\\\.[a-z]'").cast("int"),
         "n_separators": F.regexp_count("value", F.lit("[^A-Za-z0-9]")),
         "own_key": (F.length("key") > 0).cast("int"),
-        "words_for": around.rlike(SECRET_WORDS).cast("int"),
-        "words_against": around.rlike(OTHER_WORDS).cast("int"),
         "before_quote": F.col("word").rlike("""^["']|[=:]["']""").cast("int"),
     }
     for t in TRANSITIONS:
         columns[f"t_{t}"] = F.regexp_count("classes", F.lit(f"{t[0]}(?={t[1]})")) / F.length("value")
     numbers = [c.cast("double").alias(name) for name, c in columns.items()]
-    return rows.select(*found.columns, *numbers)
-
-
-def shape_labels(found: DataFrame) -> DataFrame:
-    """Candidates whose shape decides, with label 1 or 0."""
-    secret = F.col("value").rlike("^AKIA[0-9A-Z]{16}$") | (
-        F.col("value").rlike("^[0-9a-f]{18}$|^[0-9a-f]{40}$")
-        & (F.trim(F.concat_ws(" ", "before", "key")).rlike("(?i)(pass\\w*|secret|token|key)( =| :)?$"))
-    )
-    harmless = F.col("value").rlike(
-        "@[a-z0-9.-]+\\.[a-z]+$|^[0-9. +()-]+$|^https?:|^[A-Za-z]+[.,!?]*$|^[0-9]+[a-z.]*$"
-    )
-    label = F.when(secret, 1).when(harmless, 0)
-    return found.select("doc_id", "pos", "nth", label.alias("label")).filter("label IS NOT NULL")
+    # The key and the two words before the value (a sign may be one of them), then all words around.
+    last = F.slice(F.reverse(F.split("before", " ")), 1, 2)
+    near = F.split(F.lower(F.concat_ws(" ", "key", last)), "[^a-z]+")
+    around = F.split(F.lower(F.concat_ws(" ", "before", "key", "after")), "[^a-z]+")
+    named = F.transform(F.filter(near, lambda w: F.length(w) > 1), lambda w: F.concat(F.lit("near "), w))
+    words = F.concat(named, F.filter(around, lambda w: F.length(w) > 1))
+    return rows.select(*found.columns, *numbers, words.alias("words"))
 
 
 def _bucket() -> Column:
     return F.pmod(F.xxhash64("doc_id"), F.lit(10))
 
 
+def _model(labelled: DataFrame, options: ForestOptions) -> PipelineModel | None:
+    """The forest of a bounded sample of described candidates with labels; None if one kind lacks."""
+    share = min(1.0, options.max_train_rows / max(1, labelled.count()))
+    place = F.pmod(F.xxhash64("doc_id", "pos", "value"), F.lit(1 << 30))
+    sample = labelled.filter(place < F.lit(int(share * (1 << 30))))
+    if sample.select("label").distinct().count() < 2:
+        return None
+    hashed = HashingTF(inputCol="words", outputCol="hashed", numFeatures=WORD_BUCKETS, binary=True)
+    assembler = VectorAssembler(inputCols=[*FEATURES, "hashed"], outputCol="features")
+    forest = RandomForestClassifier(
+        labelCol="label", featuresCol="features", numTrees=options.trees,
+        maxDepth=options.depth, seed=options.seed,
+    )
+    return Pipeline(stages=[hashed, assembler, forest]).fit(sample)
+
+
 def scan(
     spark: SparkSession,
     docs: DataFrame,
@@ -172,39 +183,44 @@ def scan(
     options: ForestOptions = ForestOptions(),
     doc_id: str = "doc_id",
     text: str = "text",
+    findings: DataFrame | None = None,
 ) -> DataFrame:
     """doc_id, pos, word, key, value, score, is_secret, label (null where there is none) and
-    held_out. Candidates are few next to words and are written once; training and scoring read
-    them."""
-    path = scratch_path(spark, "candidates")
-    candidates(docs, doc_id, text).write.parquet(path)
-    found = spark.read.parquet(path)
-    marked = shape_labels(found) if labels is None else labels.select("doc_id", "pos", "label")
-    place_of = [c for c in marked.columns if c != "label"]
-    marked = marked.groupBy(*place_of).agg(F.max("label").alias("label"))
-    described = features(found, dictionary(spark, dictionary_path))
+    held_out. Candidates are few next to words and are written once; scoring reads them. With labels
+    of candidates (doc_id, pos, label) the forest is trained on those of the documents, one tenth held
+    out; else on labelled texts, findings, by default the generated ones."""
+    known = dictionary(spark, dictionary_path)
+
+    def described(texts: DataFrame, doc_id: str, text: str) -> DataFrame:
+        path = scratch_path(spark, "candidates")
+        candidates(texts, doc_id, text).write.parquet(path)
+        return features(spark.read.parquet(path), known)
+
+    held_out = _bucket() == options.held_out_bucket
+    rows = described(docs, doc_id, text).withColumn("held_out", held_out)
+    if labels is not None:
+        marked = labels.groupBy("doc_id", "pos").agg(F.max("label").alias("label"))
+        marked = marked.select(F.col("doc_id").alias("of_id"), F.col("pos").alias("at"), "label")
+        same = F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.col("pos") == F.col("at"))
+        rows = rows.join(marked, same, "left").drop("of_id", "at")
+    else:
+        rows = rows.withColumn("label", F.lit(None).cast("int"))
     path = scratch_path(spark, "described")
-    described.join(marked, place_of, "left").withColumn(
-        "held_out", _bucket() == options.held_out_bucket
-    ).write.parquet(path)
+    rows.write.parquet(path)
     rows = spark.read.parquet(path)
 
-    labelled = rows.filter("label IS NOT NULL AND NOT held_out")
-    n = labelled.count()
-    share = min(1.0, options.max_train_rows / max(1, n))
-    place = F.pmod(F.xxhash64("doc_id", "pos", "value"), F.lit(1 << 30))
-    sample = labelled.filter(place < F.lit(int(share * (1 << 30))))
-    if sample.select("label").distinct().count() < 2:
+    if labels is not None:
+        labelled = rows.filter("label IS NOT NULL AND NOT held_out")
+    else:
+        texts = labelled_findings(spark) if findings is None else findings
+        label_of = texts.select(F.col("doc_id").alias("of_id"), "label")
+        labelled = described(texts, "doc_id", "text")
+        labelled = labelled.join(label_of, F.col("doc_id") == F.col("of_id"))
+    model = _model(labelled, options)
+    if model is None:
         scored = rows.withColumn("score", F.lit(None).cast("double"))
     else:
-        assembler = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
-        forest = RandomForestClassifier(
-            labelCol="label", featuresCol="features", numTrees=options.trees,
-            maxDepth=options.depth, seed=options.seed,
-        )
-        model = forest.fit(assembler.transform(sample))
-        predicted = model.transform(assembler.transform(rows))
-        scored = predicted.withColumn("score", vector_to_array("probability")[1])
+        scored = model.transform(rows).withColumn("score", vector_to_array("probability")[1])
     return scored.select(
         "doc_id", "pos", "word", "key", "value", "score",
         F.coalesce(F.col("score") >= options.threshold, F.lit(True)).alias("is_secret"),
