@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from meterloom.llm.common import str_texts
 
 NEVER = 1 << 40
+#: Remembered words; as many of those before them are kept as long as they are used.
 CACHE_WORDS = 200_000
 CACHE_PAIRS = 300_000
 
@@ -76,6 +77,7 @@ class BytePairCodec:
         self.left_edge = {r: self._edge(r, halves, 0) for r in self.bytes_of}
         self.pairs: dict[tuple[int, int], bool] = {}
         self.words: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
         self.unsafe = regex.compile(r"\s (?:\s|\Z)").search
 
     def _prefix(self, token: bytes) -> int:
@@ -167,9 +169,13 @@ class BytePairCodec:
         for word in rest:
             known = words.get(word)
             if known is None:
+                known = self.older.get(word)
+                if known is None:
+                    known = self._encode_cut(" " + word)
                 if len(words) >= CACHE_WORDS:
-                    words.clear()
-                known = words[word] = self._encode_cut(" " + word)
+                    self.older, self.words = words, {}
+                    words = self.words
+                words[word] = known
             ids += known
         return ids
 
