@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterloom.functions.time import in_range, seconds_between
-from meterloom.operators.sizing import maybe_broadcast
+from meterloom.operators.sizing import maybe_broadcast, tasks_for
 from meterloom.schemas import FIELDS
 
 _RANK_BIT = 62
@@ -128,16 +128,19 @@ def gaps(readings: DataFrame, expected_seconds: int = 3600) -> DataFrame:
     expected interval.
 
     Neighbours are compared in two levels, so that no task needs a whole entity: inside each
-    (entity, day), then between the days of an entity, of which there are few."""
-    keys = (
-        readings.filter("start_ts IS NOT NULL")
-        .select("metadata_id", "start_ts")
-        .distinct()
-        .selectExpr("metadata_id", "start_ts", "to_date(start_ts) AS day")
-    )
+    (entity, day), then between the days of an entity, of which there are few. Copies of a time
+    are neighbours without distance, so they need no aggregate of their own. The readings are
+    counted first: both exchanges deal them to as many tasks as keeps each small."""
+    timed = readings.filter("start_ts IS NOT NULL").select("metadata_id", "start_ts")
+    tasks = tasks_for(timed)
+    keys = timed.selectExpr("*", "to_date(start_ts) AS day").repartition(tasks, "metadata_id", "day")
     in_day = "lag(start_ts) OVER (PARTITION BY metadata_id, day ORDER BY start_ts)"
-    steps = keys.selectExpr("*", f"{in_day} AS earlier").selectExpr(
-        "metadata_id", "day", "start_ts", f"{seconds_between('earlier', 'start_ts')} AS step"
+    steps = (
+        keys.selectExpr("*", f"{in_day} AS earlier")
+        .filter("earlier IS NULL OR earlier <> start_ts")
+        .selectExpr(
+            "metadata_id", "day", "start_ts", f"{seconds_between('earlier', 'start_ts')} AS step"
+        )
     )
     wide = f"step > {expected_seconds}"
     days = steps.groupBy("metadata_id", "day").agg(
@@ -148,8 +151,10 @@ def gaps(readings: DataFrame, expected_seconds: int = 3600) -> DataFrame:
         F.max("start_ts").alias("last_ts"),
     )
     across = "lag(last_ts) OVER (PARTITION BY metadata_id ORDER BY day)"
-    bridged = days.selectExpr("*", f"{across} AS earlier").selectExpr(
-        "*", f"{seconds_between('earlier', 'first_ts')} AS step"
+    bridged = (
+        days.repartition(tasks, "metadata_id")
+        .selectExpr("*", f"{across} AS earlier")
+        .selectExpr("*", f"{seconds_between('earlier', 'first_ts')} AS step")
     )
     return bridged.groupBy("metadata_id").agg(
         F.sum("n").alias("n_readings"),

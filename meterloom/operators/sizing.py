@@ -18,3 +18,14 @@ def maybe_broadcast(side: DataFrame, small: bool) -> DataFrame:
     """Hint only what was measured; otherwise leave the join to Catalyst and AQE, which
     splits skewed partitions of the large side."""
     return F.broadcast(side) if small else side
+
+
+# A task that sorts so many narrow rows takes some 100 MB of memory.
+ROWS_PER_TASK = 500_000
+
+
+def tasks_for(rows: DataFrame) -> int:
+    """How many tasks share the rows so that what one task holds does not grow with the table. The
+    number of shuffle partitions in the session is fixed, and AQE only joins partitions."""
+    busy = rows.sparkSession.sparkContext.defaultParallelism
+    return max(busy, -(-rows.count() // ROWS_PER_TASK))

@@ -11,6 +11,7 @@ from meterloom.functions.time import epoch_of
 from meterloom.operators import entities as ent
 from meterloom.operators import quality as qa
 from meterloom.operators import readings as rd
+from meterloom.operators import sizing
 from meterloom.operators.sizing import is_small
 from meterloom.schemas import STATISTICS, STATISTICS_META
 from meterloom.sources import tables
@@ -137,6 +138,18 @@ def test_gaps_against_brute_force(spark):
     assert got == want
 
 
+def test_gaps_deal_few_readings_to_a_task_and_skip_copies(spark, monkeypatch):
+    """The tasks follow the number of readings, not the shuffle partitions of the session."""
+    monkeypatch.setattr(sizing, "ROWS_PER_TASK", 100, raising=False)
+    rows = [(i, i % 50, at(f"2024-01-{1 + i % 27:02d} 00:00:00"), 0, 1.0) for i in range(1350)]
+    rows += [(9000 + i, None, at(f"2024-01-0{1 + 2 * (i % 2)} 00:00:00"), 1, 1.0) for i in range(6)]
+    rows += [(9100, 7, None, 0, 1.0)]
+    found = rd.gaps(readings(spark, rows), -1)
+    assert found.rdd.getNumPartitions() == 14
+    got = {r.metadata_id: (r.n_readings, r.n_gaps, r.longest_gap_s) for r in found.collect()}
+    assert got == {None: (2, 1, 172800), **{e: (27, 26, 86400) for e in range(50)}}
+
+
 def test_range_is_half_open_and_the_empty_id_list_filters_nothing(spark):
     rows = readings(spark, [(i, i, at(f"2024-01-0{i} 00:00:00"), 0) for i in range(1, 5)])
     kept = rd.between(rows, "2024-01-02 00:00:00", "2024-01-04 00:00:00")
