@@ -32,15 +32,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def statistics_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
     units = ", ".join(lit(u) for u in UNITS)
-    return table(spark, sf_dir, "part").selectExpr(
-        "p_partkey AS id",
-        """concat(
+    # Generated, so that the text is made once per entity: a plain expression would be put in the
+    # place of every mention in the filters, and that code is too long to be compiled.
+    named = table(spark, sf_dir, "part").selectExpr(
+        "*",
+        """explode(array(concat(
              if(p_partkey % 41 = 0, '', coalesce(get(
                array('counter.', 'weather.', 'climate.', 'switch.'),
                CAST(p_partkey % 8 AS INT) - 4), 'sensor.')),
              replace(p_name, ' ', '_'),
              coalesce(get(array('_Status', '_rssi', '_online'), p_size - 2), ''),
-             '_', p_partkey) AS statistic_id""",
+             '_', p_partkey))) AS statistic_id""",
+    )
+    return named.selectExpr(
+        "p_partkey AS id",
+        "statistic_id",
         "CASE WHEN p_brand = 'Brand#7' THEN 'tibber' ELSE 'recorder' END AS source",
         f"get(array({units}), p_size % 16) AS unit_of_measurement",
         "p_size % 2 = 0 AS has_mean",
