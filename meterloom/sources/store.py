@@ -19,13 +19,13 @@ import uuid
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meterloom.functions.sql import holds
 from meterloom.functions.time import days_before, in_range, ntz
-from meterloom.operators.sizing import is_small, maybe_broadcast
+from meterloom.operators.sizing import ROWS_PER_TASK, is_small, maybe_broadcast
 from meterloom.operators.timeline import MIGRATED
 from meterloom.schemas import POINT, SERIES
 from meterloom.sources import files
@@ -33,7 +33,10 @@ from meterloom.sources.scratch import discard, scratch
 
 _STORED = T.StructType(POINT.fields + [T.StructField("period", T.DateType(), True)])
 _MARK = "until STRING"
+_COUNTS = "period DATE, n BIGINT"
 _DELTA = T.StructType(_STORED.fields + [T.StructField("seq", T.IntegerType(), True)])
+#: A period is not cut into files of fewer points.
+ROWS_PER_FILE = 100_000
 #: Points of one measurement, domain and hour are rolled up together.
 CHANGE = T.StructType(
     [
@@ -106,9 +109,11 @@ class PointStore:
     def _write(self, rows: DataFrame, path: str) -> None:
         """Rebalance by period: AQE joins small periods into one task and splits a hot one
         over many."""
+        self._write_dealt(rows.hint("rebalance", "period"), path)
+
+    def _write_dealt(self, rows: DataFrame, path: str) -> None:
         (
-            rows.hint("rebalance", "period")
-            .sortWithinPartitions("period", *SERIES, "ts")
+            rows.sortWithinPartitions("period", *SERIES, "ts")
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("period")
@@ -212,10 +217,32 @@ class PointStore:
                 self._merge(written)
 
     def _merge(self, incoming: DataFrame) -> None:
-        touched = incoming.select("period").distinct()
-        stored = self._in_periods(self._stored(), touched)
-        kept = stored.join(incoming, _same_point(stored, incoming), "left_anti")
-        self._write(kept.unionByName(incoming), self.path)
+        """One exchange, by period and, where a period has many points, by a hash of the key within
+        it. In it stored points meet the incoming ones of their key and give way, and the order that
+        this takes is the one of the files."""
+        with scratch(self.spark, "touched") as path:
+            counts = incoming.groupBy("period").agg(F.count("*").alias("n"))
+            counts.write.parquet(path)
+            touched = self.spark.read.schema(_COUNTS).parquet(path)
+            stored = self._in_periods(self._stored(), touched.select("period"))
+            sizes = stored.groupBy("period").agg(F.count("*").alias("n")).unionByName(touched)
+            busy = self.spark.sparkContext.defaultParallelism
+            rows = sizes.agg(F.sum("n")).first()[0] or 0
+            # Small enough for one task, and for all cores to have some.
+            most = min(ROWS_PER_TASK, max(ROWS_PER_FILE, rows // busy))
+            sizes = sizes.groupBy("period").agg(F.expr(f"CAST(ceil(sum(n) / {most}) AS BIGINT) AS spread"))
+            pieces = sizes.agg(F.sum("spread")).first()[0] or 1
+            tasks = min(pieces, max(busy, 2 * rows // ROWS_PER_TASK))
+            sizes = sizes.select(F.col("period").alias("sized"), "spread").filter("spread > 1")
+            # Only periods that are cut have a row there.
+            both = stored.withColumn("fresh", F.lit(False)).unionByName(incoming.withColumn("fresh", F.lit(True)))
+            sizes = maybe_broadcast(sizes, is_small(touched))
+            both = both.join(sizes, F.col("period") == F.col("sized"), "left")
+            piece = F.expr(f"pmod(xxhash64({', '.join(SERIES)}, ts), coalesce(spread, 1))")
+            dealt = both.withColumn("piece", piece).repartition(tasks, "period", "piece")
+            same = Window.partitionBy("period", *SERIES, "ts", "piece")
+            newest = dealt.withColumn("replaced", F.max("fresh").over(same)).filter("fresh = replaced")
+            self._write_dealt(newest.select(*_STORED.names), self.path)
 
     def _in_periods(self, rows: DataFrame, periods: DataFrame) -> DataFrame:
         """Periods are few next to points, which is checked; the join then prunes directories."""

@@ -5,6 +5,7 @@ from frames import meta
 
 from meterloom.operators import entities as ent
 from meterloom.rules import EntityRules
+from meterloom.sources import driver_tables as dt
 from meterloom.sources.tables import basic_metadata
 
 CASES = [
@@ -92,3 +93,9 @@ def test_empty_pattern_is_refused():
 
 def test_name_filter_is_case_insensitive(decided):
     assert {r.id for r in ent.named_like(decided, "Disc").collect()} == {12}
+
+
+def test_the_text_id_of_the_driver_tables_is_made_once_per_row(spark, sf_dir):
+    """Put in the place of every mention in the filters, it made a method too long to be compiled."""
+    kept = ent.filter_entities(basic_metadata(dt.statistics_meta(spark, sf_dir)))
+    assert kept._jdf.queryExecution().optimizedPlan().toString().count("replace(p_name") == 1

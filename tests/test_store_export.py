@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+from collections import Counter
 import os
 
 import pytest
@@ -13,6 +14,7 @@ from meterloom.plans.export import ExportOptions, run_export
 from meterloom.plans.lifecycle import maintain, roll_up_slice
 from meterloom.sources import driver_tables as dt
 from meterloom.sources import progress as pg
+from meterloom.sources import store as store_module
 from meterloom.sources.scratch import scratch_path
 from meterloom.sources.store import PointStore
 from meterloom.streaming import rollup as st
@@ -395,3 +397,22 @@ def test_unknown_stamp(spark):
 
 def test_store_names():
     assert (pt.RECENT, pt.HISTORICAL) == ("recent", "historical")
+
+
+def test_merge_cuts_a_large_period_and_replaces_by_key_in_every_piece(spark, tmp_path, monkeypatch):
+    """One month, more points than one piece: copies among the incoming stay, absent tags are equal."""
+    monkeypatch.setattr(store_module, "ROWS_PER_FILE", 100, raising=False)
+
+    def rows(value, n, first=0):
+        return [{"measurement": "W", "entity_id": f"e{i % 7}" if i % 3 else None, "value": value,
+                 "ts": at(f"2024-01-{1 + i // 24:02d} {i % 24:02d}:00:00")} for i in range(first, n)]
+
+    store = PointStore(spark, str(tmp_path / "points"), "month")
+    store.replace(points(spark, rows(1.0, 600)))
+    twice = rows(2.0, 700, 300) + rows(3.0, 301, 300)
+    store.replace(points(spark, twice))
+    found = Counter((r.entity_id, r.ts, r.value) for r in store.read().collect())
+    want = Counter((r.get("entity_id"), r["ts"], r["value"]) for r in rows(1.0, 300) + twice)
+    assert found == want
+    files = list((tmp_path / "points" / "period=2024-01-01").glob("part-*.parquet"))
+    assert 1 < len(files) <= 8
