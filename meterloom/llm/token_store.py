@@ -14,7 +14,7 @@ leaves at most files that nothing refers to.
 Defined results: a null text has no ids but the end id; null document ids come first and stay
 null; rows that repeat an id keep it, next to each other; an empty table gives an empty manifest.
 Only the named columns are read, so other columns may have any name. A task holds one Arrow batch,
-a cache of a fixed number of words and the index of the shard that it writes."""
+two generations of a fixed number of words each and the index of the shard that it writes."""
 
 from __future__ import annotations
 
@@ -28,21 +28,28 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import regex
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from meterloom.llm.common import filesystem, qualified, str_texts
+from meterloom.llm.common import filesystem, qualified
 
 MAGIC = b"IDFRAME1"
 HEADER = struct.Struct("<8sIQ")
 TRAILER = struct.Struct("<QQ8s")
 INDEX = np.dtype([("id", "<i8"), ("null", "u1"), ("offset", "<u8"), ("n", "<u8")])
 MANIFEST = "part long, shard long, path string, n_docs long, n_tokens long"
-CACHE_WORDS = 900_000
+#: Remembered words; as many of those before them are kept as long as they are used.
+CACHE_WORDS = 400_000
+#: Words that go through the tokenizer together.
+LEARN_WORDS = 1024
+#: A word of one letter; what follows a letter is learned behind it.
+STEM = "a"
+#: An ASCII letter or digit and what ends a run of either, whatever follows.
+BORDER = r"[0-9A-Za-z][\x00-&(-/:-@\[-`{-\x7F]"
 
 
 @dataclass(frozen=True)
@@ -59,13 +66,41 @@ class StoreOptions:
     shard_bytes: int = 128 << 20
 
 
+def _blank(words: pa.Array, at: int) -> np.ndarray:
+    """Whether words are empty or have white space at their start (0) or end (-1)."""
+    side = pc.utf8_slice_codeunits(words, at, 1 if at == 0 else None)
+    return pc.or_(pc.utf8_is_space(side), pc.equal(pc.binary_length(words), 0)).to_numpy(
+        zero_copy_only=False
+    )
+
+
+def _strings(words: pa.Array) -> list[str]:
+    return words.to_numpy(zero_copy_only=False).tolist()
+
+
+def _parts(words: pa.Array) -> tuple[pa.Array, pa.Array]:
+    """Words up to their first border, and what comes after it."""
+    words, n = words.cast(pa.large_string()), len(words)
+    _, offsets, text = words.buffers()
+    place = np.frombuffer(offsets, np.int64)[words.offset : words.offset + n + 1]
+    found = pc.find_substring_regex(words, BORDER).to_numpy()
+    both = np.empty(2 * n + 1, np.int64)
+    both[::2] = place
+    both[1::2] = np.where(found < 0, place[1:], place[:-1] + found + 1)
+    parts = pa.LargeStringArray.from_buffers(2 * n, pa.py_buffer(both), text or pa.py_buffer(b""))
+    heads, tails = pa.array(np.arange(0, 2 * n, 2)), pa.array(np.arange(1, 2 * n, 2))
+    return parts.take(heads), parts.take(tails)
+
+
 class TextEncoder:
     """Ids of texts by a tokenizer file, with the ids of words remembered.
 
     The split pattern of byte-level tokenizers never matches across a space that touches
-    something else than white space on one side. Texts without other spaces are cut there, new
-    words go through the tokenizer together, and its ids are cut again where a token starts with
-    a space. Other texts go through it as they are."""
+    something else than white space on one side. Texts without other spaces are cut there, and the
+    words once more behind the first ASCII letter or digit before an ASCII character that is neither
+    nor an apostrophe: the pattern ends there, too, and punctuation makes no new words. New words
+    go through the tokenizer together, and its ids are cut again where a token starts with a space.
+    Other texts go through it as they are."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -79,18 +114,21 @@ class TextEncoder:
         for token, i in self.tokenizer.get_vocab(with_added_tokens=False).items():
             self.opens[i] = token.startswith("Ġ")  # how the vocabulary writes a space
         self.words: dict[str, bytes] = {}
-        self.unsafe = regex.compile(r"\s (?:\s|\Z)").search
+        self.older: dict[str, bytes] = {}
 
     def whole(self, text: str) -> np.ndarray:
-        encoding = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0]
-        return np.array(encoding.ids, self.kind)
+        return self._each([text])[0]
+
+    def _each(self, texts: list[str]) -> list[np.ndarray]:
+        made = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(encoding.ids, self.kind) for encoding in made]
 
     def _learn(self, new: list[str]) -> None:
         plain, other = [], []
         for w in new:
             (other if not w or w[0].isspace() else plain).append(w)
-        for start in range(0, len(plain), 8192):
-            some = plain[start : start + 8192]
+        for start in range(0, len(plain), LEARN_WORDS):
+            some = plain[start : start + LEARN_WORDS]
             ids = self.whole(" " + " ".join(some))
             cuts = np.flatnonzero(self.opens[ids])
             if len(cuts) != len(some):  # a word that holds a space of its own: one by one
@@ -103,20 +141,79 @@ class TextEncoder:
                 begin = end
         self.words.update((w, self.whole(" " + w).tobytes()) for w in other)
 
-    def encode(self, texts: list[str]) -> Iterator[bytes]:
-        """Serialized ids of each text."""
-        cut = [None if self.unsafe(t) else t.split(" ") for t in texts]
-        new = {w for words in cut if words for w in words[1:]}
-        if len(self.words) + len(new) > CACHE_WORDS:
-            self.words.clear()
-        self._learn([w for w in new if w not in self.words])
-        known = self.words.__getitem__
-        for text, words in zip(texts, cut):
-            if words is None:
-                yield self.whole(text).tobytes()
+    def _known(self, words: list[str]) -> list[bytes]:
+        """Serialized ids of different words, each with a space before it."""
+        if len(self.words) >= CACHE_WORDS:
+            self.older, self.words = self.words, {}
+        found = list(map(self.words.get, words))
+        missing = [k for k, data in enumerate(found) if data is None]
+        new = []
+        for k in missing:
+            data = self.older.get(words[k])
+            if data is None:
+                new.append(words[k])
+            else:
+                self.words[words[k]] = data
+        self._learn(new)
+        for k in missing:
+            found[k] = self.words[words[k]]
+        return found
+
+    def _ids(self, words: pa.Array) -> pa.Array:
+        """The same for a column of different words, put together from their two parts."""
+        if not len(words):
+            return pa.array([], pa.large_binary())
+        heads, tails = (part.dictionary_encode() for part in _parts(words))
+        some, rest = _strings(heads.dictionary), _strings(tails.dictionary)
+        known = self._known([STEM, *some, *(STEM + w for w in rest)])
+        stem, split = len(known[0]), 1 + len(some)
+        head = pa.array(known[1:split], pa.large_binary()).take(heads.indices)
+        tail = pa.array([x[stem:] for x in known[split:]], pa.large_binary()).take(tails.indices)
+        return pc.binary_join_element_wise(head, tail, pa.scalar(b"", pa.large_binary()))
+
+    def encode(self, texts: pa.Array | list[str]) -> Iterator[bytes]:
+        """Serialized ids of each text; a null text counts as empty. Words are cut, numbered and
+        put together as columns, so that Python sees each different word of the texts once."""
+        if not isinstance(texts, pa.Array):
+            texts = pa.array(texts, pa.string())
+        if not len(texts):
+            return
+        texts = texts.fill_null("")
+        lists = pc.split_pattern(texts, " ")
+        counts = pc.list_value_length(lists).to_numpy().astype(np.int64)
+        starts = np.cumsum(counts) - counts
+        numbered = pc.list_flatten(lists).dictionary_encode()
+        words, codes = numbered.dictionary, numbered.indices.to_numpy()
+        first = _strings(words.take(pa.array(codes[starts])))
+
+        # A space between white space and white space or the end is no place to cut.
+        later = np.ones(len(codes), bool)
+        later[starts] = False
+        before = _blank(words, -1)[codes]
+        before[starts] &= np.fromiter(map(bool, first), bool, len(first))
+        after = _blank(words, 0)[codes]
+        wide = np.flatnonzero(before[:-1] & after[1:] & later[1:])
+        unsafe = np.zeros(len(texts), bool)
+        unsafe[np.searchsorted(starts, wide, side="right") - 1] = True
+
+        codes = codes[later & ~np.repeat(unsafe, counts)]
+        used = np.zeros(len(words), bool)
+        used[codes] = True
+        place = np.cumsum(used) - 1
+        data = self._ids(words.filter(pa.array(used))).take(pa.array(place[codes]))
+        ends = np.zeros(len(codes) + 1, np.int64)
+        np.cumsum(pc.binary_length(data).to_numpy(), out=ends[1:])
+        stops = ends[np.cumsum(np.where(unsafe, 0, counts - 1))].tolist()
+        body, begin = memoryview(data.buffers()[2] or b""), 0
+
+        heads = list({w for w, skip in zip(first, unsafe.tolist()) if w and not skip})
+        head = {"": b""} | {w: ids.tobytes() for w, ids in zip(heads, self._each(heads))}
+        for k, end in enumerate(stops):
+            if unsafe[k]:
+                yield self.whole(texts[k].as_py()).tobytes()
             else:
-                first = self.whole(words[0]).tobytes() if words[0] else b""
-                yield first + b"".join(map(known, words[1:]))
+                yield head[first[k]] + body[begin:end]
+            begin = end
 
 
 @lru_cache(maxsize=2)
@@ -124,17 +221,15 @@ def encoder(path: str) -> TextEncoder:
     return TextEncoder(path)
 
 
-def _chunks(texts: Iterator[str], most: int = 4 << 20) -> Iterator[list[str]]:
-    """Texts in runs of a few million characters."""
-    run, size = [], 0
-    for t in texts:
-        run.append(t)
-        size += len(t)
-        if size >= most:
-            yield run
-            run, size = [], 0
-    if run:
-        yield run
+def _runs(texts: pa.Array, most: int = 2 << 20) -> Iterator[pa.Array]:
+    """A column of texts in runs of a few million bytes."""
+    sizes = np.cumsum(pc.binary_length(texts).fill_null(0).to_numpy(), dtype=np.int64)
+    begin = 0
+    while begin < len(texts):
+        read = sizes[begin - 1] if begin else 0
+        end = min(int(np.searchsorted(sizes, read + most)) + 1, len(texts))
+        yield texts.slice(begin, end - begin)
+        begin = end
 
 
 def train_dictionary(
@@ -155,12 +250,13 @@ def train_dictionary(
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         samples, size = [], 0
         for batch in batches:
-            for ids in encoder(tokenizer).encode(list(str_texts(batch.column("text")))):
-                # In blocks, so that one long document does not outweigh the others.
-                for start in range(0, len(ids), 8192):
-                    if size < options.sample_bytes:
-                        samples.append(ids[start : start + 8192])
-                        size += len(samples[-1])
+            for run in _runs(batch.column("text")):
+                for ids in encoder(tokenizer).encode(run):
+                    # In blocks, so that one long document does not outweigh the others.
+                    for start in range(0, len(ids), 8192):
+                        if size < options.sample_bytes:
+                            samples.append(ids[start : start + 8192])
+                            size += len(samples[-1])
         try:
             made = zstandard.train_dictionary(options.dictionary_bytes, samples).as_bytes()
         except zstandard.ZstdError:
@@ -228,7 +324,7 @@ def write_store(
         part, shard, done = TaskContext.get().partitionId(), None, []
         for batch in batches:
             ids = iter(batch.column("doc_id").to_pylist())
-            for run in _chunks(str_texts(batch.column("text"))):
+            for run in _runs(batch.column("text")):
                 for data in encode.encode(run):
                     if shard is None:
                         shard = _Shard(folder, len(done), width, dictionary)

@@ -114,6 +114,36 @@ def test_store_encoder_equals_tokenizer(some):
     assert made == [exact.encode(t, add_special_tokens=False).ids for t in some]
 
 
+def test_store_encoder_cuts_words_exactly():
+    """Letters before everything that may follow them, in texts that are cut and texts that are not."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    exact = Tokenizer.from_file(path)
+    exact.encode_special_tokens = True
+    rng = random.Random(8)
+    marks = [*"aZé1 .,'_\n\t\x00\x1c\x7f\x85\u0301\u3000ß中😀", "ing", "'s", "'T", "n't", "\r\n", " the", "a,", "<|endoftext|>"]
+    some = ["".join(rng.choice(marks) for _ in range(rng.randint(0, 12))) for _ in range(4000)]
+    some += [a + b + c for a in marks for b in marks for c in marks] + [None, ""]
+    made = [np.frombuffer(x, "<u2").tolist() for x in token_store.encoder(path).encode(some)]
+    assert made == [exact.encode(t or "", add_special_tokens=False).ids for t in some]
+
+
+def test_store_encoder_takes_words_to_the_tokenizer_once(monkeypatch):
+    """Punctuation makes no new words, and words in use survive a full memory."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    exact, encoder, new = Tokenizer.from_file(path), token_store.TextEncoder(path), []
+    learn = encoder._learn
+    monkeypatch.setattr(encoder, "_learn", lambda words: (new.extend(words), learn(words)))
+    monkeypatch.setattr(token_store, "CACHE_WORDS", 300)
+    words, ends = [f"w{a}{b}x" for a in "abcdefghij" for b in "klmnopqrst"], ["", ",", ".", "!", ";", ".\nOh"]
+    for n in range(6):
+        others = [f"only{n}{a}{b}" for a in "abcdefghij" for b in "klmnopqrst"]
+        some = [" ".join(w + end for w in words + others) for end in ends]
+        made = [np.frombuffer(x, "<u2").tolist() for x in encoder.encode(some)]
+        assert made == [exact.encode(t, add_special_tokens=False).ids for t in some]
+    assert len(new) <= len(words) + 6 * len(others) + len(ends)
+    assert len(encoder.words) + len(encoder.older) < 1200
+
+
 def test_store_gives_single_documents(spark):
     path = public_tokenizers.path("byte_bpe_50k.json")
     exact = Tokenizer.from_file(path)
